@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from shapeloom.functions import buckets, geometry
@@ -175,8 +176,6 @@ SELECT resolution, n // 32 AS chunk, count(*) AS images, min(doc_id) AS first_id
 FROM numbered GROUP BY resolution, n // 32""",
 )
 def batch_apply(spark, sf_dir):
-    import pandas as pd
-
     images = assign_bucket(doc_images(spark, sf_dir), GRID_1024).select("doc_id", "resolution")
     chunked = batching.chunk_rows(images, ["resolution"], ["doc_id"], 32)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from shapeloom.functions import tensors
@@ -10,7 +12,7 @@ from shapeloom.functions.geometry import crop_plan, resize_plan
 from shapeloom.operators import encoders, pixels
 from shapeloom.session import table
 from shapeloom.workload import query
-from shapeloom.workload.standins import PICTURES_SQL, bucketed_sql, raw_pictures
+from shapeloom.workload.standins import PICTURES_SQL, bucketed_sql, picture_size, raw_pictures
 
 VALUES = """vals AS (
   SELECT vec_id, label, generate_subscripts(embedding, 1) - 1 AS pos, unnest(embedding)::DOUBLE AS v FROM embeddings)"""
@@ -121,7 +123,7 @@ def chw_to_hwc(spark, sf_dir):
 @query(
     "pad_tokens",
     """WITH tokens AS (SELECT item_id, string_split(text, ' ') AS t FROM benchmark),
-sized AS (SELECT item_id, list_transform(t, x -> length(x)) AS n FROM tokens),
+sized AS (SELECT item_id, list_transform(t, lambda x: length(x)) AS n FROM tokens),
 padded AS (SELECT item_id, CASE WHEN len(n) >= 32 THEN n ELSE list_resize(n, 32, 0) END AS n FROM sized)
 SELECT item_id, generate_subscripts(n, 1) - 1 AS pos, unnest(n)::BIGINT AS value FROM padded""",
 )
@@ -181,8 +183,6 @@ def embed_text(spark, sf_dir):
 )
 def caption_rows(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    from shapeloom.workload.standins import picture_size
-
     width, height, _ = picture_size(F.col("doc_id"))
     sized = docs.select("doc_id", width.alias("width"), height.alias("height"), "lang")
     captioner = encoders.template_captioner("width", "height", "lang")
@@ -205,9 +205,6 @@ SELECT doc_id, p.width::BIGINT AS width, p.height::BIGINT AS height, red::BIGINT
 FROM sums JOIN pictures p USING (doc_id)""",
 )
 def to_rgb(spark, sf_dir):
-    import numpy as np
-    import pandas as pd
-
     rgb = pixels.to_rgb(raw_pictures(spark, sf_dir), ["doc_id"])
 
     @F.pandas_udf("red bigint, green bigint, blue bigint")

@@ -19,6 +19,8 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shapeloom.functions.arithmetic import int_div
+
 
 @dataclass(frozen=True)
 class BucketGrid:
@@ -56,8 +58,8 @@ GRID_1024 = BucketGrid(1024, 64, 512, 2048)
 def bucket_table(spark: SparkSession, grid: BucketGrid) -> DataFrame:
     """The grid as a DataFrame ``(bucket, width, height, resolution, aspect)``."""
     axis = spark.range(grid.smallest, min(grid.largest, grid.area // grid.smallest) + 1, grid.step)
-    room = F.least(F.lit(grid.largest), F.expr(f"{grid.area} div id")) - grid.smallest
-    partner = (grid.smallest + F.floor(room / grid.step) * grid.step).cast("bigint")
+    room = F.least(F.lit(grid.largest), int_div(F.lit(grid.area), F.col("id"))) - grid.smallest
+    partner = grid.smallest + int_div(room, F.lit(grid.step)) * grid.step
     pairs = axis.select(F.col("id").alias("x"), partner.alias("y"))
     sizes = (
         pairs.select(F.col("x").alias("width"), F.col("y").alias("height"))
@@ -116,5 +118,5 @@ def assign_bucket(df: DataFrame, grid: BucketGrid, width: str = "width", height:
     """Add ``bucket, bucket_w, bucket_h, resolution``. Narrow: no exchange."""
     indexed = df.withColumn("bucket", bucket_index(F.col(width), F.col(height), grid))
     bw, bh = bucket_size(F.col("bucket"), grid)
-    sized = indexed.withColumns({"bucket_w": bw, "bucket_h": bh})
-    return sized.withColumn("resolution", resolution_label(F.col("bucket_w"), F.col("bucket_h")))
+    labels = F.array(*[F.lit(f"{h}x{w}") for w, h in grid.sizes()])
+    return indexed.withColumns({"bucket_w": bw, "bucket_h": bh, "resolution": F.get(labels, "bucket")})

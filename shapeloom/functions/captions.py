@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Caption sources by their short field in a url-keyed caption map.
@@ -27,19 +27,23 @@ def caption_list(captions: Column, fields: list[str] | None = None) -> Column:
 
 
 def sidecar_fields(json_text: Column) -> Column:
-    """``struct(valid, key, url, caption)`` of a sidecar document.
+    """``struct(valid, key, url, caption)`` of a sidecar document, parsed once.
 
     ``caption`` is '' only when the field is absent; an explicit null stays null.
-    Scalars that are not strings keep their JSON text. A document that does not
-    parse has ``valid = false`` instead of failing the job.
+    Values that are not strings keep their JSON text. Text that is no JSON object
+    has ``valid = false`` instead of failing the job.
     """
     doc = F.try_parse_json(json_text)
-    entries = F.from_json(json_text, "map<string,string>")
-    valid = doc.isNotNull() & entries.isNotNull()
-    has_caption = F.coalesce(F.map_contains_key(entries, F.lit("caption")), F.lit(False))
+    valid = F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False))
+    entry = F.try_variant_get(doc, "$.caption", "variant")
     return F.struct(
         valid.alias("valid"),
-        F.when(valid, entries["key"]).alias("key"),
-        F.when(valid, entries["url"]).alias("url"),
-        F.when(valid, F.when(has_caption, entries["caption"]).otherwise(F.lit(""))).alias("caption"),
+        F.when(valid, F.try_variant_get(doc, "$.key", "string")).alias("key"),
+        F.when(valid, F.try_variant_get(doc, "$.url", "string")).alias("url"),
+        F.when(valid, F.when(entry.isNull(), F.lit("")).otherwise(entry.cast("string"))).alias("caption"),
     )
+
+
+def with_sidecar(df: DataFrame, json_text: str) -> DataFrame:
+    """Add ``valid, key, url, caption``. The generator keeps later filters from parsing again."""
+    return df.select("*", F.inline(F.array(sidecar_fields(F.col(json_text)))))

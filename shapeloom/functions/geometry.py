@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shapeloom.functions.arithmetic import int_div
+
 # Fixed values.
 ASPECT_TOLERANCE = 1e-6
 OVERSIZE_PIXELS = 16_000_000
@@ -36,7 +38,7 @@ def resize_plan(df: DataFrame, width: str = "width", height: str = "height", tar
 
 def center_offset(resized: Column, target: Column) -> Column:
     spare = (resized - target).cast("bigint")
-    return F.when(spare > 0, F.floor(spare / 2).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    return F.when(spare > 0, int_div(spare, 2)).otherwise(F.lit(0).cast("bigint"))
 
 
 def random_offset(resized: Column, target: Column, key: Column, axis: str, seed: int = 42) -> Column:
@@ -85,7 +87,7 @@ def oversize_guard(df: DataFrame, to_bucket: bool = True, limit: int = OVERSIZE_
 
 def latent_shape(channels: int, factor: int = LATENT_FACTOR, target_w: str = "bucket_w", target_h: str = "bucket_h") -> Column:
     """``[channels, h, w]`` of the latent of a bucket-sized image."""
-    spatial = [F.floor(F.col(c) / factor).cast("bigint") for c in (target_h, target_w)]
+    spatial = [int_div(F.col(c), factor) for c in (target_h, target_w)]
     return F.array(F.lit(channels).cast("bigint"), *spatial)
 
 

@@ -94,6 +94,7 @@ def add_dimensions(df: DataFrame, content: str = "content") -> DataFrame:
         for series in batches:
             yield _parse_all(series)
 
+    parse = parse.asNondeterministic()  # filters on the result must not repeat the call
     first = df.withColumn("header", parse(F.substring(F.col(content), 1, HEADER_BYTES)))
     unfinished = (F.col("header.mode") == "short") & (F.length(content) > HEADER_BYTES)
     retried = first.withColumn("header_long", parse(F.when(unfinished, F.col(content))))

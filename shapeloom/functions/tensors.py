@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
+from shapeloom.functions.arithmetic import int_div
+
 # binary16 and FP8 E5M2 limits (IEEE 754; Micikevicius et al. 2022).
 HALF_OVERFLOW = 65520.0
 HALF_MIN_NORMAL = 2.0**-14
@@ -67,7 +69,7 @@ def chw_to_hwc(flat: Column, channels: Column, height: Column, width: Column) ->
     plane = height * width
     return F.transform(
         F.sequence(F.lit(0), (channels * plane).cast("int") - 1),
-        lambda i: F.get(flat, ((i % channels) * plane + F.floor(i / channels)).cast("int")),
+        lambda i: F.get(flat, ((i % channels) * plane + int_div(i, channels)).cast("int")),
     )
 
 
@@ -75,7 +77,7 @@ def hwc_to_chw(flat: Column, channels: Column, height: Column, width: Column) ->
     plane = height * width
     return F.transform(
         F.sequence(F.lit(0), (channels * plane).cast("int") - 1),
-        lambda i: F.get(flat, ((i % plane) * channels + F.floor(i / plane)).cast("int")),
+        lambda i: F.get(flat, ((i % plane) * channels + int_div(i, plane)).cast("int")),
     )
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shapeloom.functions.arithmetic import int_div
+from shapeloom.functions.buckets import BucketGrid, assign_bucket
 from shapeloom.operators.ordered import number_rows
 
 BatchFn = Callable[[pd.DataFrame], pd.DataFrame]
@@ -24,7 +26,7 @@ def chunk_rows(df: DataFrame, shape: list[str], order: list[str], batch_size: in
     zero_based = F.col("shape_position") - 1
     return numbered.withColumns(
         {
-            "chunk": F.floor(zero_based / batch_size).cast("bigint"),
+            "chunk": int_div(zero_based, batch_size),
             "chunk_pos": (zero_based % batch_size).cast("bigint"),
         }
     ).drop("shape_position")
@@ -96,5 +98,23 @@ def apply_local_batches(df: DataFrame, shape: list[str], fn: BatchFn, schema: T.
     return df.mapInPandas(run, schema)
 
 
+def first_in_file(images: DataFrame, file: str, order: str, grid: BucketGrid) -> DataFrame:
+    """One row per file: the bucket of its first image (map-side-combined ``min_by``)."""
+    first = images.groupBy(file).agg(F.min_by(F.struct("width", "height"), order).alias("first"))
+    return assign_bucket(first.select(file, "first.width", "first.height"), grid)
+
+
+def spread_rows(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Give rows that feed costly per-row work at least one task per core.
+
+    Only a scan with fewer partitions than the cluster has slots is exchanged;
+    large inputs already split well and pass through untouched.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, *[F.col(k) for k in keys])
+
+
 def shape_histogram(df: DataFrame, shape: list[str]) -> DataFrame:
     return df.groupBy(*shape).agg(F.count(F.lit(1)).alias("images"))

@@ -24,12 +24,17 @@ from pyspark.sql import types as T
 TEXT_WIDTH = 1152
 
 
+def run_once(model):
+    """Keep the optimizer from copying a costly call into filters it infers or pushes down."""
+    return model.asNondeterministic()
+
+
 def encode_tensors(values: Column, make_fn: Callable, input_width: int, batch_size: int = 32) -> Column:
     """Flat tensors -> ``ARRAY<DOUBLE>`` latents through a batch model."""
     model = predict_batch_udf(
         make_fn, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size, input_tensor_shapes=[[input_width]]
     )
-    return model(values)
+    return run_once(model)(values)
 
 
 def encode_texts(texts: Column, make_fn: Callable[[], Callable[[list[str]], np.ndarray]], batch_size: int = 32) -> Column:
@@ -45,7 +50,7 @@ def encode_texts(texts: Column, make_fn: Callable[[], Callable[[list[str]], np.n
                 out.extend(np.asarray(model(rows[begin : begin + batch_size]), dtype=np.float64))
             yield pd.Series(out, dtype=object)
 
-    return run(texts)
+    return run_once(run)(texts)
 
 
 def caption_images(columns: list[Column], make_fn: Callable[[], Callable[[pd.DataFrame], list[str]]]) -> Column:
@@ -57,7 +62,7 @@ def caption_images(columns: list[Column], make_fn: Callable[[], Callable[[pd.Dat
         for frame in batches:
             yield pd.Series(model(frame), dtype=object)
 
-    return run(F.struct(*columns))
+    return run_once(run)(F.struct(*columns))
 
 
 # ---- stand-ins -----------------------------------------------------------------

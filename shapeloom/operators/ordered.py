@@ -12,12 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shapeloom.functions.arithmetic import int_div
+
 BLOCK_ROWS = 1 << 20
 
 
 def range_block(order: str, rows: int = BLOCK_ROWS) -> Column:
     """Blocks of consecutive values; for unique integer ids at most ``rows`` rows each."""
-    return F.floor(F.col(order) / rows).cast("bigint")
+    return int_div(F.col(order), rows)
 
 
 def hash_block(columns: list[str], blocks: int) -> Column:
@@ -75,7 +77,7 @@ def rolling_mean(df: DataFrame, group: list[str], order: list[str], value: str,
     if piece < reach:
         raise ValueError("piece must be at least rows - 1")
     numbered = number_rows(df, group, order, block, "position")
-    home = F.floor((F.col("position") - 1) / piece)
+    home = int_div(F.col("position") - 1, piece)
     fills_next = (F.col("position") - 1) % piece >= piece - reach if reach else F.lit(False)
     targets = F.when(fills_next, F.array(home, home + 1)).otherwise(F.array(home))
     spread = numbered.withColumn("home_piece", home).withColumn("piece", F.explode(targets))

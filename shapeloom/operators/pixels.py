@@ -14,8 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-# Cubic coefficient of the two resamplers in use, and the luma-free
-# alpha rule (alpha is discarded, grey is repeated).
+# Cubic coefficients of the 8-bit and of the float resampler.
 CUBIC_ANTIALIASED = -0.5
 CUBIC_INTERPOLATED = -0.75
 
@@ -47,49 +46,71 @@ def _cubic(x: np.ndarray, a: float) -> np.ndarray:
     return np.where(x < 1, near, np.where(x < 2, far, 0.0))
 
 
-def resample_weights(source: int, target: int, antialias: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(tap indices, tap weights), each ``[target, taps]``, of a 1-D cubic resize.
+def _lanczos(x: np.ndarray) -> np.ndarray:
+    return np.where(np.abs(x) < 3, np.sinc(x) * np.sinc(x / 3), 0.0)
 
-    Pixel centres align at half-integers. ``antialias`` widens the kernel when
-    shrinking and drops taps beyond the edge; otherwise edge pixels repeat.
+
+def resample_weights(source: int, target: int, kernel: str) -> tuple[np.ndarray, np.ndarray]:
+    """(tap indices, tap weights), each ``[target, taps]``, of a 1-D resize.
+
+    Pixel centres align at half-integers. 'cubic' and 'lanczos' widen the kernel
+    when shrinking and drop taps beyond the edge; 'interpolate' is a fixed-width
+    cubic that repeats edge pixels.
     """
     scale = source / target
-    stretch = max(scale, 1.0) if antialias else 1.0
-    a = CUBIC_ANTIALIASED if antialias else CUBIC_INTERPOLATED
+    widen = kernel != "interpolate"
+    stretch = max(scale, 1.0) if widen else 1.0
     centre = (np.arange(target) + 0.5) * scale - 0.5
-    reach = int(np.ceil(2 * stretch)) + 1
+    reach = int(np.ceil((3 if kernel == "lanczos" else 2) * stretch)) + 1
     taps = np.floor(centre).astype(int)[:, None] + np.arange(-reach, reach + 1)[None, :]
-    weights = _cubic((taps - centre[:, None]) / stretch, a)
-    if antialias:
+    distance = (taps - centre[:, None]) / stretch
+    if kernel == "lanczos":
+        weights = _lanczos(distance)
+    else:
+        weights = _cubic(distance, CUBIC_ANTIALIASED if widen else CUBIC_INTERPOLATED)
+    if widen:
         weights = np.where((taps >= 0) & (taps < source), weights, 0.0)
-    weights = weights / weights.sum(axis=1, keepdims=True)
-    return np.clip(taps, 0, source - 1), weights
+    used = np.flatnonzero((weights != 0).any(axis=0))
+    taps, weights = taps[:, used], weights[:, used]
+    return np.clip(taps, 0, source - 1), weights / weights.sum(axis=1, keepdims=True)
 
 
-def resize_axis(image: np.ndarray, target: int, axis: int, antialias: bool, window: tuple[int, int] | None = None) -> np.ndarray:
-    """Resize one axis; with ``window`` only that output range is computed."""
-    taps, weights = resample_weights(image.shape[axis], target, antialias)
-    if window is not None:
-        taps, weights = taps[window[0] : window[1]], weights[window[0] : window[1]]
-    moved = np.moveaxis(image, axis, 0)
-    matrix = np.zeros((len(taps), moved.shape[0]))
-    np.add.at(matrix, (np.arange(len(taps))[:, None], taps), weights)
-    return np.moveaxis(np.tensordot(matrix, moved, axes=(1, 0)), 0, axis)
+def _apply_taps(image: np.ndarray, taps: np.ndarray, weights: np.ndarray, axis: int) -> np.ndarray:
+    """Weighted sum of shifted slices: work grows with the number of taps, not with the source size."""
+    shape = [1] * image.ndim
+    shape[axis] = len(taps)
+    total = 0.0
+    for k in range(taps.shape[1]):
+        total = total + image.take(taps[:, k], axis=axis) * weights[:, k].reshape(shape).astype(np.float32)
+    return total
 
 
-def resize_crop(image: np.ndarray, plan: dict[str, int], antialias: bool) -> np.ndarray:
-    """Apply a resize-and-crop plan to ``[h, w, c]``; the crop window is all that is computed.
+def resize_crop(image: np.ndarray, plan: dict[str, int], kernel: str) -> np.ndarray:
+    """Apply a resize-and-crop plan to ``[h, w, c]``; only the crop window is computed.
 
-    ``antialias`` rounds back to 8-bit values, as resizing an 8-bit image does;
-    the other resampler keeps fractions.
+    8-bit resampling ('cubic', 'lanczos') rounds after each axis, width first;
+    'interpolate' keeps fractions.
     """
-    rows = (plan["crop_y"], plan["crop_y"] + plan["bucket_h"])
-    cols = (plan["crop_x"], plan["crop_x"] + plan["bucket_w"])
-    wide = resize_axis(image.astype(np.float64), plan["resize_w"], 1, antialias, cols)
-    if antialias:
-        wide = np.clip(np.floor(wide + 0.5), 0, 255)
-    out = resize_axis(wide, plan["resize_h"], 0, antialias, rows)
-    return np.clip(np.floor(out + 0.5), 0, 255) if antialias else out
+    x, y = plan["crop_x"], plan["crop_y"]
+    tx, wx = resample_weights(image.shape[1], plan["resize_w"], kernel)
+    ty, wy = resample_weights(image.shape[0], plan["resize_h"], kernel)
+    tx, wx = tx[x : x + plan["bucket_w"]], wx[x : x + plan["bucket_w"]]
+    ty, wy = ty[y : y + plan["bucket_h"]], wy[y : y + plan["bucket_h"]]
+    top, bottom = int(ty.min()), int(ty.max()) + 1
+    out = image[top:bottom].astype(np.float32)
+    for taps, weights, axis in ((tx, wx, 1), (ty - top, wy, 0)):
+        out = _apply_taps(out, taps, weights, axis)
+        if kernel != "interpolate":
+            out = np.clip(np.floor(out + 0.5), 0, 255)
+    return out
+
+
+def carry_out(image: np.ndarray, plan: dict[str, int], kernel: str) -> np.ndarray:
+    """Bring an image to its planned load size if that differs, then resize and crop it."""
+    if image.shape[:2] != (plan["load_h"], plan["load_w"]):
+        whole = {"resize_w": plan["load_w"], "resize_h": plan["load_h"], "crop_x": 0, "crop_y": 0}
+        image = resize_crop(image, whole | {"bucket_w": plan["load_w"], "bucket_h": plan["load_h"]}, "lanczos")
+    return resize_crop(image, plan, kernel)
 
 
 def normalized_chw(image: np.ndarray) -> np.ndarray:
@@ -97,7 +118,7 @@ def normalized_chw(image: np.ndarray) -> np.ndarray:
     return (image.transpose(2, 0, 1) / 255.0 * 2.0 - 1.0).astype(np.float32)
 
 
-PLAN_COLUMNS = ["resize_w", "resize_h", "crop_x", "crop_y", "bucket_w", "bucket_h"]
+PLAN_COLUMNS = ["load_w", "load_h", "resize_w", "resize_h", "crop_x", "crop_y", "bucket_w", "bucket_h"]
 
 
 def to_rgb(images: DataFrame, keep: list[str], order: str = "BGR") -> DataFrame:
@@ -122,7 +143,7 @@ def to_rgb(images: DataFrame, keep: list[str], order: str = "BGR") -> DataFrame:
     return images.select(*keep, "height", "width", "nChannels", "data").mapInPandas(run, T.StructType(fields))
 
 
-def resize_pixels(images: DataFrame, keep: list[str], antialias: bool = True) -> DataFrame:
+def resize_pixels(images: DataFrame, keep: list[str], kernel: str = "cubic") -> DataFrame:
     """Carry out each row's plan: RGB ``data`` -> normalised flat ``pixels`` with ``pixel_shape``.
 
     Narrow: every image is resized where it already is.
@@ -135,7 +156,7 @@ def resize_pixels(images: DataFrame, keep: list[str], antialias: bool = True) ->
     def run(batches):
         for pdf in batches:
             tensors = [
-                normalized_chw(resize_crop(rgb_from_bytes(d, h, w, 3, "RGB"), plan, antialias))
+                normalized_chw(carry_out(rgb_from_bytes(d, h, w, 3, "RGB"), plan, kernel))
                 for d, h, w, plan in zip(pdf["data"], pdf["height"], pdf["width"], pdf[PLAN_COLUMNS].to_dict("records"))
             ]
             yield pdf[keep].assign(pixels=[t.ravel() for t in tensors], pixel_shape=[list(t.shape) for t in tensors])
@@ -148,7 +169,7 @@ def encode_batch(
     encode: Callable[[np.ndarray], np.ndarray],
     frame: pd.DataFrame,
     content: str,
-    antialias: bool,
+    kernel: str,
 ) -> tuple[list[np.ndarray | None], list[str | None]]:
     """(latents, errors) for rows of one bucket size; a bad image only loses its own row."""
     stacked, places = [], []
@@ -156,7 +177,7 @@ def encode_batch(
     errors: list[str | None] = [None] * len(frame)
     for place, (data, plan) in enumerate(zip(frame[content], frame[PLAN_COLUMNS].to_dict("records"))):
         try:
-            stacked.append(normalized_chw(resize_crop(decode(data), plan, antialias)))
+            stacked.append(normalized_chw(carry_out(decode(data), plan, kernel)))
             places.append(place)
         except Exception as problem:  # any decoder failure is that row's reject
             errors[place] = f"{type(problem).__name__}: {problem}"[:500]

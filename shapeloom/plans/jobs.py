@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shapeloom.functions.buckets import GRID_256, BucketGrid, assign_bucket
-from shapeloom.functions.captions import sidecar_fields
-from shapeloom.functions.geometry import crop_plan, has_min_pixels, resize_plan
+from shapeloom.functions.captions import with_sidecar
+from shapeloom.functions.geometry import crop_plan, has_min_pixels, oversize_guard, resize_plan
 from shapeloom.functions.image_header import add_dimensions
 from shapeloom.functions.tensors import pack_float16, pack_fp8
 from shapeloom.operators import ledger
-from shapeloom.operators.batching import apply_local_batches
+from shapeloom.operators.batching import apply_local_batches, first_in_file
 from shapeloom.operators.consolidate import caption_map
 from shapeloom.operators.encoders import caption_images, encode_texts
 from shapeloom.operators.joins import optional_captions, pair_members, required_captions, valid_metadata
@@ -39,7 +39,13 @@ class ImageSettings:
 
     ``make_encoder`` loads the model once per Python task and returns
     ``[n, 3, h, w] float32 -> [n, c, h', w']``. ``decode`` turns bytes into RGB
-    ``[h, w, 3]``. ``precision`` is 'float32', 'float16' or 'fp8'.
+    ``[h, w, 3]``. ``kernel`` is 'cubic' (8-bit, widened when shrinking) or
+    'interpolate' (fixed-width cubic on floats). ``precision`` is 'float32',
+    'float16' or 'fp8'.
+
+    ``shrink_first`` loads images above 16M pixels at their bucket size before
+    anything else, size filter included. That distorts them and lets only the
+    buckets of full area pass the filter, so it is off by default.
     """
 
     make_encoder: Callable[[], Callable[[np.ndarray], np.ndarray]]
@@ -48,21 +54,37 @@ class ImageSettings:
     min_side: int | None = None
     crop: str = "random"
     seed: int = 42
-    antialias: bool = True
+    kernel: str = "cubic"
     batch_size: int = 32
     precision: str = "float32"
     keep: list[str] = field(default_factory=list)
+    shrink_first: bool = False
 
 
 def plan_images(images: DataFrame, settings: ImageSettings, key: str = "image_id") -> DataFrame:
-    """Filter on the original size, then add bucket, resize and crop columns. Narrow."""
+    """Filter on size, then add bucket, load size, resize and crop columns. Narrow."""
     kept = images.filter(F.col("width").isNotNull() & (F.col("width") > 0) & (F.col("height") > 0))
+    if settings.shrink_first:
+        loaded = oversize_guard(assign_bucket(kept, settings.grid))
+    else:
+        loaded = kept.withColumns({"load_w": F.col("width"), "load_h": F.col("height")})
     if settings.min_side:
-        kept = kept.filter(has_min_pixels(F.col("width"), F.col("height"), settings.min_side))
-    planned = resize_plan(assign_bucket(kept, settings.grid))
+        loaded = loaded.filter(has_min_pixels(F.col("load_w"), F.col("load_h"), settings.min_side))
+    planned = resize_plan(assign_bucket(loaded, settings.grid, "load_w", "load_h"), "load_w", "load_h")
     return crop_plan(planned, settings.crop, key, settings.seed)
 
 
+def replan(planned: DataFrame, of_file: DataFrame, file: str, settings: ImageSettings, key: str = "image_id") -> DataFrame:
+    """Use the file's bucket instead of the row's and plan again.
+
+    ``of_file`` has one row per input of the round, so its size is bounded by the
+    round's ``max_files`` and it is broadcast: rows with pixels stay in place.
+    """
+    bucket = ["bucket", "bucket_w", "bucket_h", "resolution"]
+    shared = planned.drop(*bucket).join(F.broadcast(of_file.select(file, *bucket)), file)
+    return crop_plan(resize_plan(shared, "load_w", "load_h"), settings.crop, key, settings.seed)
+
+
 def encode_images(planned: DataFrame, settings: ImageSettings, keep: list[str], content: str | None = None, folder: str | None = None) -> DataFrame:
     """Pixels to latents in one narrow pass over batches of one bucket size.
 
@@ -76,7 +98,7 @@ def encode_images(planned: DataFrame, settings: ImageSettings, keep: list[str],
     ]
     source = [content] if content else ["shard", "offset", "size"]
     slim = planned.select(*dict.fromkeys([*keep, "resolution", *PLAN_COLUMNS, *source]))
-    make_encoder, decode, antialias = settings.make_encoder, settings.decode, settings.antialias
+    make_encoder, decode, kernel = settings.make_encoder, settings.decode, settings.kernel
     state: dict = {}
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
@@ -88,7 +110,7 @@ def encode_images(planned: DataFrame, settings: ImageSettings, keep: list[str],
             files = state.setdefault("files", ShardFiles(folder))
             items = pd.Series(list(zip(frame["shard"], frame["offset"], frame["size"])), dtype=object)
             loader = lambda place: decode(files.read(place[0], int(place[1]), int(place[2])))
-        latents, errors = encode_batch(loader, state["encode"], frame.assign(payload=items.to_numpy()), "payload", antialias)
+        latents, errors = encode_batch(loader, state["encode"], frame.assign(payload=items.to_numpy()), "payload", kernel)
         return frame[[*keep, "resolution"]].assign(
             latent=[None if t is None else t.astype(np.float32).ravel() for t in latents],
             latent_shape=[None if t is None else list(t.shape) for t in latents],
@@ -168,6 +190,7 @@ def prepare_catalog(
     make_text_encoder: Callable | None = None,
     second_captions: DataFrame | None = None,
     on_missing: str = "fail",
+    bucket_per_file: bool = False,
     max_files: int = 10_000,
 ) -> DataFrame:
     """Parquet catalogue -> latents by resolution, with a ledger; returns all committed rows.
@@ -176,6 +199,7 @@ def prepare_catalog(
     ``caption`` or made by ``make_captioner`` from ``width, height`` and that column.
     ``make_text_encoder`` adds a ``text_embedding``. ``second_captions``
     (``image_id, caption``) turns the caption into a two-element list.
+    ``bucket_per_file`` gives all images of a file the bucket of its first row.
     """
     space = Workspace(work)
     listing = list_inputs(spark, root, "*.parquet")
@@ -186,10 +210,18 @@ def prepare_catalog(
     for run_id, paths in _rounds(spark, space, listing, run, max_files):
         rows = scan_catalog(spark, root, paths)
         images = rows.select(
-            F.col(key).cast("string").alias("image_id"), F.col(image).alias("bytes"), F.col(caption).alias("caption"), *settings.keep
+            F.col(key).cast("string").alias("image_id"),
+            F.col(image).alias("bytes"),
+            F.col(caption).alias("caption"),
+            "source_file",
+            "source_row",
+            *settings.keep,
         )
         sized = add_dimensions(images, "bytes")
         planned = plan_images(sized, settings)
+        if bucket_per_file:
+            first = first_in_file(sized, "source_file", "source_row", settings.grid)
+            planned = replan(planned, first, "source_file", settings)
         if make_captioner is not None:
             planned = planned.withColumn("caption", caption_images([F.col(c) for c in ("width", "height", "caption")], make_captioner))
         staged = _stage(spark, encode_images(planned, settings, keep, content="bytes"), space, run_id)
@@ -232,10 +264,7 @@ def prepare_tar(
         readable = members.drop("error").join(failed.select("shard"), "shard", "left_anti")
 
         pairs = pair_members(readable, carry=["offset", "size", "width", "height"])
-        meta = pairs.withColumn("meta", sidecar_fields(F.col("json_text"))).select(
-            "shard", "member", "offset", "size", "width", "height",
-            F.col("meta.key").alias("image_id"), F.col("meta.url").alias("url"), F.col("meta.caption").alias("caption"),
-        )
+        meta = with_sidecar(pairs, "json_text").withColumnRenamed("key", "image_id").drop("json_text", "json_member", "stem")
         valid = valid_metadata(meta, ["image_id"] if url_captions is None else ["image_id", "url"])
         planned = plan_images(valid, settings)
         if url_captions is not None:

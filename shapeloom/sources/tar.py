@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from shapeloom.functions.arithmetic import int_div
 from shapeloom.functions.image_header import HEADER_BYTES, Truncated, read_header
 from shapeloom.sources.files import list_files, resolve
 
@@ -183,7 +184,7 @@ def place_by_range(members: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFr
     Only (shard, offset, ...) rows move. A shard larger than ``range_bytes`` is
     read by several tasks.
     """
-    span = F.floor(F.col("offset") / range_bytes)
+    span = int_div(F.col("offset"), range_bytes)
     return members.repartition(F.col("shard"), span).sortWithinPartitions("shard", "offset")
 
 

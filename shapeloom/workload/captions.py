@@ -121,8 +121,7 @@ def sidecar_docs(spark, sf_dir):
 
 
 def parsed_sidecars(spark, sf_dir):
-    parsed = sidecar_docs(spark, sf_dir).withColumn("meta", cap.sidecar_fields(F.col("doc")))
-    return parsed.select("event_id", "event_type", "meta.valid", "meta.key", "meta.url", "meta.caption")
+    return cap.with_sidecar(sidecar_docs(spark, sf_dir), "doc").drop("doc")
 
 
 @query("json_sidecar", f"WITH {SIDECAR_SQL} SELECT event_id, valid, key, url, caption FROM fields")

@@ -64,8 +64,7 @@ SELECT d.doc_id, d.source, b.resolution FROM doc_images d JOIN bucketed b USING
 )
 def file_bucket(spark, sf_dir):
     images = doc_images(spark, sf_dir)
-    first = images.groupBy("source").agg(F.min_by(F.struct("width", "height"), "doc_id").alias("first"))
-    of_file = assign_bucket(first.select("source", "first.width", "first.height"), GRID_1024).select("source", "resolution")
+    of_file = batching.first_in_file(images, "source", "doc_id", GRID_1024).select("source", "resolution")
     return skew.lookup_join(images.select("doc_id", "source"), of_file, ["source"], ["doc_id"], "inner")
 
 

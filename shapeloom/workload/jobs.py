@@ -73,7 +73,7 @@ def job_tar(spark, sf_dir):
     document = F.to_json(F.struct("key", F.col("lang").alias("caption"))).cast("binary")
     sidecars = drawn.filter(F.col("doc_id") % 9 != 0).select(shard, F.concat("key", F.lit(".json")).alias("member"), document.alias("payload"))
     write_shards(union_tables([images, sidecars]), f"{out}/in")
-    settings = ImageSettings(block_mean_encoder(8), SMALL_GRID, open_png, 32, "center", antialias=False, precision="float16")
+    settings = ImageSettings(block_mean_encoder(8), SMALL_GRID, open_png, 32, "center", kernel="interpolate", precision="float16")
     rows = prepare_tar(spark, f"{out}/in", f"{out}/work", "a", settings)
     return rows.select(
         "shard",
@@ -95,7 +95,7 @@ def job_table(spark, sf_dir):
     """Registered table -> 8-bit latents with a caption lookup."""
     images = pictures(spark, sf_dir).select(F.col("key").alias("image_id"), F.col("jpg").alias("image"), F.lit(None).cast("string").alias("issues"))
     captions = label_captions(spark, sf_dir).select(F.col("doc_id").cast("string").alias("image_id"), F.col("label_caption").alias("caption"))
-    settings = ImageSettings(block_mean_encoder(8), SMALL_GRID, open_png, 32, antialias=False, precision="fp8")
+    settings = ImageSettings(block_mean_encoder(8), SMALL_GRID, open_png, 32, kernel="interpolate", precision="fp8")
     rows = prepare_table(images, captions, settings, drop=["issues"], on_missing="drop")
     return rows.select("image_id", "caption", _shape_text(), F.length("latent").cast("bigint").alias("n_bytes"))
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shapeloom.functions.buckets import GRID_1024, BucketGrid
+from shapeloom.operators.batching import spread_rows
 from shapeloom.session import table
 
 # Image sizes of the lineitem rows (no unique key) and of the documents (unique id).
@@ -117,7 +118,7 @@ def open_png(content: bytes) -> np.ndarray:
 
 def pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, lang, key, jpg, text)``: one encoded picture per document."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread_rows(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), ["doc_id"])
     width, height, channels = picture_size(F.col("doc_id"))
 
     @F.pandas_udf(T.BinaryType())
@@ -131,7 +132,7 @@ def pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decoded pictures in the layout of Spark's image source: interleaved, colour order BGR(A)."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread_rows(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), ["doc_id"])
     width, height, channels = picture_size(F.col("doc_id"))
 
     @F.pandas_udf(T.BinaryType())

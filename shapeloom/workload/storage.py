@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shapeloom.functions.buckets import GRID_1024, assign_bucket
 from shapeloom.functions.image_header import add_dimensions
+from shapeloom.operators.batching import split_on_keys
 from shapeloom.session import shared_dir, table
 from shapeloom.sinks import writers
 from shapeloom.sources import catalog, tar
@@ -82,15 +83,16 @@ def export_map_json(spark, sf_dir):
 
 @query("caption_map_load", "SELECT doc_id::VARCHAR AS key, quality::VARCHAR AS caption FROM labels")
 def caption_map_load(spark, sf_dir):
-    """One JSON object per file, one file per task of the labels scan; converted to Parquet once."""
+    """One JSON object per file, one file per Arrow batch of the labels scan; converted to Parquet once."""
     out = shared_dir(spark, "caption-map")
 
     def one_object(batches):
-        entries = [f'"{d}": {{"caption": "{q}"}}' for pdf in batches for d, q in zip(pdf["doc_id"], pdf["quality"])]
-        if entries:
+        for pdf in batches:
+            entries = [f'"{d}": {{"caption": "{q}"}}' for d, q in zip(pdf["doc_id"], pdf["quality"])]
             yield pd.DataFrame({"value": ["{" + ",\n".join(entries) + "}"]})
 
-    table(spark, sf_dir, "labels").mapInPandas(one_object, "value string").write.text(f"{out}/json")
+    objects = table(spark, sf_dir, "labels").mapInPandas(one_object, "value string")
+    objects.write.option("maxRecordsPerFile", 1).text(f"{out}/json")
     loaded = catalog.convert_caption_map(spark, f"{out}/json", f"{out}/parquet", "struct<caption:string>")
     return loaded.select("key", F.col("caption.caption").alias("caption"))
 
@@ -115,11 +117,11 @@ def regroup_catalog(spark, sf_dir):
 
 
 def write_shards(rows, folder: str) -> None:
-    """``(shard, member, payload BINARY)`` rows to one tar per shard, each written by the task that holds it."""
+    """``(shard, member, payload BINARY)`` rows to one tar per shard; a task holds one shard at a time."""
 
     def run(batches):
-        pdf = pd.concat(list(batches), ignore_index=True) if batches is not None else None
-        for shard, members in pdf.groupby("shard") if len(pdf) else []:
+        for members in split_on_keys(batches, ["shard"]):
+            shard = members["shard"].iloc[0]
             system, inner = resolve(f"{folder}/{shard}.tar")
             system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
             with system.open_output_stream(inner) as stream, tarfile.open(fileobj=stream, mode="w|") as archive:

@@ -10,6 +10,7 @@ from shapeloom.functions import tensors
 from shapeloom.functions.buckets import BucketGrid, assign_bucket
 from shapeloom.functions.geometry import crop_plan, resize_plan
 from shapeloom.operators import encoders, pixels
+from shapeloom.operators.batching import spread_rows
 from shapeloom.session import table
 from shapeloom.workload import query
 from shapeloom.workload.standins import PICTURES_SQL, bucketed_sql, picture_size, raw_pictures
@@ -171,7 +172,7 @@ norms AS (SELECT doc_id, sqrt(sum(n * n)) AS norm FROM slots GROUP BY doc_id)
 SELECT doc_id, pos, round(n / norm, 6) AS value FROM slots JOIN norms USING (doc_id)""",
 )
 def embed_text(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
     vector = encoders.encode_texts(F.col("text"), encoders.hashing_text_encoder())
     out = elements(docs.select("doc_id", vector.alias("embedding")), "embedding", "doc_id")
     return out.filter(F.col("value") != 0).withColumn("value", F.round("value", 6))
@@ -227,7 +228,8 @@ SELECT doc_id, resolution, 3::BIGINT AS channels, bucket_h AS height, bucket_w A
 def resize_pixels(spark, sf_dir):
     raw = raw_pictures(spark, sf_dir)
     rgb = pixels.to_rgb(raw, ["doc_id"])
-    planned = crop_plan(resize_plan(assign_bucket(rgb, SMALL_GRID)), "center")
+    loaded = rgb.withColumns({"load_w": F.col("width"), "load_h": F.col("height")})
+    planned = crop_plan(resize_plan(assign_bucket(loaded, SMALL_GRID)), "center")
     out = pixels.resize_pixels(planned, ["doc_id", "resolution"])
     shape = F.col("pixel_shape")
     return out.select(

@@ -5,14 +5,16 @@ count still fits the budget, and for every height the widest one. An image goes
 to the bucket whose aspect ratio is nearest in log space.
 
 The grid is configuration (a few dozen sizes), so it is folded into the plan as
-a decision tree of ``CASE WHEN`` comparisons. The comparison is exact: the
-midpoint in log space between two aspects a and b is sqrt(a*b), and
-``w/h > sqrt(n/d)`` is the integer test ``w*w*d > h*h*n``. That keeps the whole
-assignment in generated code, with no join, shuffle or per-row array.
+a decision tree of ``CASE WHEN`` comparisons: the midpoint in log space between two
+aspects a and b is sqrt(a*b). No image of sane size lies within rounding distance
+of such a midpoint, so comparing doubles picks the same bucket as comparing
+logarithms. The assignment stays in generated code, with no join, shuffle or
+per-row array.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from fractions import Fraction
 
@@ -84,26 +86,31 @@ def resolution_label(width: Column, height: Column) -> Column:
     return F.concat_ws("x", height.cast("string"), width.cast("string"))
 
 
-def bucket_index(width: Column, height: Column, grid: BucketGrid) -> Column:
-    """Index into ``grid.sizes()`` of the nearest bucket; ties go to the lower index."""
-    sizes = grid.sizes()
-    w = width.cast("bigint")
-    h = height.cast("bigint")
-    cuts = []
-    for (w0, h0), (w1, h1) in zip(sizes, sizes[1:]):
-        mid = Fraction(w0, h0) * Fraction(w1, h1)
-        if Fraction(w0, h0) >= Fraction(w1, h1):
-            raise ValueError(f"bucket aspects must ascend strictly: {w0}x{h0}, {w1}x{h1}")
-        cuts.append((mid.numerator, mid.denominator))
+def aspect_ratio(width: Column, height: Column) -> Column:
+    """Width over height; 0 stands for sizes that are missing or not positive."""
+    ratio = width / F.nullif(height, F.lit(0))
+    return F.coalesce(F.greatest(ratio, F.lit(0.0)), F.lit(0.0))
+
+
+def bucket_index(aspect: Column, grid: BucketGrid) -> Column:
+    """Index into ``grid.sizes()`` of the bucket nearest to an aspect column, null for aspect 0.
+
+    Pass a plain column: every comparison mentions it, and an expression would be
+    repeated in each. Comparing one non-null double keeps the generated method small
+    enough for the JVM to compile it (a method over 8,000 bytes stays interpreted).
+    """
+    aspects = [Fraction(w, h) for w, h in grid.sizes()]
+    if any(a >= b for a, b in zip(aspects, aspects[1:])):
+        raise ValueError("bucket aspects must ascend strictly")
+    cuts = [math.sqrt(a * b) for a, b in zip(aspects, aspects[1:])]
 
     def pick(lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        n, d = cuts[mid]
-        return F.when(w * w * F.lit(d) > h * h * F.lit(n), pick(mid + 1, hi)).otherwise(pick(lo, mid))
+        return F.when(aspect > F.lit(cuts[mid]), pick(mid + 1, hi)).otherwise(pick(lo, mid))
 
-    return F.when((w > 0) & (h > 0), pick(0, len(sizes) - 1))
+    return F.when(aspect > F.lit(0.0), pick(0, len(aspects) - 1))
 
 
 def bucket_size(index: Column, grid: BucketGrid) -> tuple[Column, Column]:
@@ -116,7 +123,8 @@ def bucket_size(index: Column, grid: BucketGrid) -> tuple[Column, Column]:
 
 def assign_bucket(df: DataFrame, grid: BucketGrid, width: str = "width", height: str = "height") -> DataFrame:
     """Add ``bucket, bucket_w, bucket_h, resolution``. Narrow: no exchange."""
-    indexed = df.withColumn("bucket", bucket_index(F.col(width), F.col(height), grid))
+    with_aspect = df.withColumn("bucket_aspect", aspect_ratio(F.col(width), F.col(height)))
+    indexed = with_aspect.withColumn("bucket", bucket_index(F.col("bucket_aspect"), grid)).drop("bucket_aspect")
     bw, bh = bucket_size(F.col("bucket"), grid)
     labels = F.array(*[F.lit(f"{h}x{w}") for w, h in grid.sizes()])
     return indexed.withColumns({"bucket_w": bw, "bucket_h": bh, "resolution": F.get(labels, "bucket")})

@@ -26,15 +26,15 @@ def caption_list(captions: Column, fields: list[str] | None = None) -> Column:
     return F.array(*[map_field(captions, f) for f in (fields or SHORT_CAPTION_FIELDS)])
 
 
-def sidecar_fields(json_text: Column) -> Column:
-    """``struct(valid, key, url, caption)`` of a sidecar document, parsed once.
+def sidecar_fields(doc: Column, json_text: Column) -> Column:
+    """``struct(valid, key, url, caption)`` of a sidecar text and its parsed VARIANT.
 
     ``caption`` is '' only when the field is absent; an explicit null stays null.
-    Values that are not strings keep their JSON text. Text that is no JSON object
-    has ``valid = false`` instead of failing the job.
+    Values that are not strings keep their JSON text. What is no JSON object has
+    ``valid = false`` instead of failing the job.
     """
-    doc = F.try_parse_json(json_text)
-    valid = F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False))
+    is_object = F.ltrim(json_text, F.lit(" \t\r\n")).startswith("{")
+    valid = F.coalesce(doc.isNotNull() & is_object, F.lit(False))
     entry = F.try_variant_get(doc, "$.caption", "variant")
     return F.struct(
         valid.alias("valid"),
@@ -45,5 +45,10 @@ def sidecar_fields(json_text: Column) -> Column:
 
 
 def with_sidecar(df: DataFrame, json_text: str) -> DataFrame:
-    """Add ``valid, key, url, caption``. The generator keeps later filters from parsing again."""
-    return df.select("*", F.inline(F.array(sidecar_fields(F.col(json_text)))))
+    """Add ``valid, key, url, caption``, parsing each document once.
+
+    The document is its own projection, and the generator keeps later filters from
+    being pushed below it and parsing again.
+    """
+    parsed = df.withColumn("sidecar_doc", F.try_parse_json(F.col(json_text)))
+    return parsed.select("*", F.inline(F.array(sidecar_fields(F.col("sidecar_doc"), F.col(json_text))))).drop("sidecar_doc")

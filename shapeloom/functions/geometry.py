@@ -41,14 +41,15 @@ def center_offset(resized: Column, target: Column) -> Column:
     return F.when(spare > 0, int_div(spare, 2)).otherwise(F.lit(0).cast("bigint"))
 
 
-def random_offset(resized: Column, target: Column, key: Column, axis: str, seed: int = 42) -> Column:
-    """Uniform offset in [0, resized - target], a pure function of key, axis and seed.
+def crop_digest(key: Column, seed: int = 42) -> Column:
+    """MD5 of seed and key: the fixed stand-in for random draws, so that a retried or
+    speculative task picks the same window."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
 
-    The first 32 bits of an MD5 digest stand in for a random draw, so a retried
-    or speculative task picks the same window.
-    """
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(axis), key.cast("string")).cast("binary"))
-    draw = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+
+def random_offset(resized: Column, target: Column, digest: Column, axis: int) -> Column:
+    """Uniform offset in [0, resized - target] from 32 bits of the digest, other bits per axis."""
+    draw = F.conv(F.substring(digest, 1 + 8 * axis, 8), 16, 10).cast("bigint")
     return draw % (F.greatest(resized - target, F.lit(0)).cast("bigint") + 1)
 
 
@@ -60,12 +61,9 @@ def crop_plan(df: DataFrame, mode: str = "center", key: str | None = None, seed:
     if mode == "random":
         if key is None:
             raise ValueError("random crops need a key column, so that retries agree")
-        return df.withColumns(
-            {
-                "crop_x": random_offset(rw, tw, F.col(key), "x", seed),
-                "crop_y": random_offset(rh, th, F.col(key), "y", seed),
-            }
-        )
+        drawn = df.withColumn("crop_digest", crop_digest(F.col(key), seed))
+        offsets = {"crop_x": random_offset(rw, tw, F.col("crop_digest"), 0), "crop_y": random_offset(rh, th, F.col("crop_digest"), 1)}
+        return drawn.withColumns(offsets).drop("crop_digest")
     raise ValueError(f"unknown crop mode: {mode}")
 
 

@@ -118,15 +118,15 @@ def center_crop(spark, sf_dir):
     return geometry.crop_plan(planned, "center").select(*LINE_KEY, "crop_x", "crop_y")
 
 
-def _draw_sql(axis: str) -> str:
-    return f"('0x' || substr(md5('42:{axis}:' || doc_id), 1, 8))::BIGINT"
+def _draw_sql(axis: int) -> str:
+    return f"('0x' || substr(md5('42:' || doc_id), {1 + 8 * axis}, 8))::BIGINT"
 
 
 @query(
     "random_crop",
     f"""{DOC_BUCKETED}, {PLANNED}
-SELECT doc_id, {_draw_sql('x')} % (greatest(resize_w - bucket_w, 0) + 1) AS crop_x,
-       {_draw_sql('y')} % (greatest(resize_h - bucket_h, 0) + 1) AS crop_y
+SELECT doc_id, {_draw_sql(0)} % (greatest(resize_w - bucket_w, 0) + 1) AS crop_x,
+       {_draw_sql(1)} % (greatest(resize_h - bucket_h, 0) + 1) AS crop_y
 FROM planned""",
 )
 def random_crop(spark, sf_dir):

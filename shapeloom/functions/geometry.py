@@ -44,7 +44,7 @@ def center_offset(resized: Column, target: Column) -> Column:
 def crop_digest(key: Column, seed: int = 42) -> Column:
     """MD5 of seed and key: the fixed stand-in for random draws, so that a retried or
     speculative task picks the same window."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))).cast("binary"))
 
 
 def random_offset(resized: Column, target: Column, digest: Column, axis: int) -> Column:

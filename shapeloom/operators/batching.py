@@ -55,14 +55,17 @@ def split_on_keys(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[
         yield pd.concat(held, ignore_index=True) if len(held) > 1 else held[0].reset_index(drop=True)
 
 
-def apply_batches(chunked: DataFrame, shape: list[str], fn: BatchFn, schema: T.StructType | str, order: list[str] | None = None) -> DataFrame:
+def apply_batches(chunked: DataFrame, shape: list[str], fn: BatchFn, schema: T.StructType | str, order: list[str] | None = None, tasks: int | None = None) -> DataFrame:
     """Run ``fn`` once per ``(shape, chunk)`` on a frame of at most one batch.
 
     Rows are exchanged by (shape, chunk), not by shape: a hot shape spreads as
-    evenly as its chunks do. A task holds one batch at a time.
+    evenly as its chunks do. A task holds one batch at a time. The task count is
+    explicit (default ``spark.sql.shuffle.partitions``): adaptive execution would
+    size tasks by the rows' bytes, which say little about the cost of ``fn``.
     """
     keys = [*shape, "chunk"]
-    placed = chunked.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, *(order or ["chunk_pos"]))
+    tasks = tasks or int(chunked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = chunked.repartition(tasks, *[F.col(k) for k in keys]).sortWithinPartitions(*keys, *(order or ["chunk_pos"]))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in split_on_keys(batches, keys):
@@ -107,8 +110,8 @@ def first_in_file(images: DataFrame, file: str, order: str, grid: BucketGrid) ->
 def spread_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     """Give rows that feed costly per-row work at least one task per core.
 
-    Only a scan with fewer partitions than the cluster has slots is exchanged;
-    large inputs already split well and pass through untouched.
+    Call it on a scan. One with fewer partitions than the cluster has slots is
+    exchanged; large inputs already split well and pass through untouched.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= slots:

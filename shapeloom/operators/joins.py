@@ -49,20 +49,21 @@ def optional_captions(images: DataFrame, captions: DataFrame, url: str = "url",
     return joined.withColumn(into, caption_list(F.col(caps), fields or SHORT_CAPTION_FIELDS)).drop(caps)
 
 
-def required_captions(images: DataFrame, captions: DataFrame, key: str = "image_id", caption: str = "caption", on_missing: str = "fail", spread_by: list[str] | None = None) -> DataFrame:
+def required_captions(images: DataFrame, captions: DataFrame, key: str = "image_id", caption: str = "caption", on_missing: str = "fail", spread_by: list[str] | None = None, count_from: DataFrame | None = None) -> DataFrame:
     """Attach the caption of each key. ``on_missing``: 'fail' the job, 'drop' the row, or 'null'.
 
-    A key that is listed with a null caption counts as found.
+    A key that is listed with a null caption counts as found. Where computing
+    ``images`` is costly, pass a cheap table with the same keys as ``count_from``.
     """
     if on_missing not in ("fail", "drop", "null"):
         raise ValueError(f"on_missing must be fail, drop or null, not {on_missing}")
     lookup = captions.select(key, caption)
     spread = spread_by or [key]
     if on_missing == "drop":
-        return lookup_join(images, lookup, [key], spread, "inner")
+        return lookup_join(images, lookup, [key], spread, "inner", count_from)
     if on_missing == "null":
-        return lookup_join(images, lookup, [key], spread, "left")
-    joined = lookup_join(images, lookup.withColumn("caption_found", F.lit(True)), [key], spread, "left")
+        return lookup_join(images, lookup, [key], spread, "left", count_from)
+    joined = lookup_join(images, lookup.withColumn("caption_found", F.lit(True)), [key], spread, "left", count_from)
     message = F.concat(F.lit("no caption for key "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
     found = F.when(F.col("caption_found").isNull(), F.raise_error(message).cast("string")).otherwise(F.col(caption))
     return joined.withColumn(caption, found).drop("caption_found")

@@ -25,8 +25,8 @@ SALTS = 64
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of the optimized plan, or None where unavailable."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except (AttributeError, TypeError):
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except AttributeError:  # no JVM behind this session
         return None
 
 
@@ -71,23 +71,34 @@ def lookup_join(
     keys: list[str],
     spread_by: list[str],
     how: str = "left",
+    count_from: DataFrame | None = None,
     share: float = HOT_SHARE,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join ``lookup`` to ``fact`` on ``keys``; see the module text for how it balances.
 
     ``spread_by`` names fact columns that tell rows of one key apart (an id).
-    ``how`` is 'left' or 'inner'.
+    ``how`` is 'left' or 'inner'. Hot keys are counted on ``count_from`` (default the
+    facts): name a table with the same keys where the facts are costly to compute.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"lookup_join supports left and inner, not {how}")
     if fits_broadcast(lookup):
         return fact.join(lookup, keys, how)
-    return salted_join(fact, lookup, keys, spread_by, how, share, salts)
+    return salted_join(fact, lookup, keys, spread_by, how, count_from, share, salts)
 
 
-def salted_join(fact: DataFrame, lookup: DataFrame, keys: list[str], spread_by: list[str], how: str, share: float, salts: int) -> DataFrame:
-    hot = F.broadcast(hot_keys(fact, keys, share).withColumn("is_hot", F.lit(True)))
+def salted_join(
+    fact: DataFrame,
+    lookup: DataFrame,
+    keys: list[str],
+    spread_by: list[str],
+    how: str = "left",
+    count_from: DataFrame | None = None,
+    share: float = HOT_SHARE,
+    salts: int = SALTS,
+) -> DataFrame:
+    hot = F.broadcast(hot_keys(fact if count_from is None else count_from, keys, share).withColumn("is_hot", F.lit(True)))
     spread = F.col("is_hot").isNotNull() | ~_all_present(keys)
     salted_fact = (
         fact.join(hot, keys, "left")

@@ -30,7 +30,7 @@ from shapeloom.operators.joins import optional_captions, pair_members, required_
 from shapeloom.operators.pixels import PLAN_COLUMNS, decode_with_pillow, encode_batch
 from shapeloom.sinks.writers import write_partitioned
 from shapeloom.sources.catalog import scan_catalog
-from shapeloom.sources.tar import ShardFiles, list_inputs, list_shards, place_by_range, scan_tar
+from shapeloom.sources.tar import ShardFiles, fetch_tasks, list_inputs, list_shards, place_by_range, scan_tar
 
 
 @dataclass(frozen=True)
@@ -271,7 +271,8 @@ def prepare_tar(
             planned = optional_captions(planned.drop("caption"), url_captions, fields=caption_fields, spread_by=["shard", "member"])
         else:
             planned = planned.withColumn("caption", F.array("caption"))
-        encoded = encode_images(place_by_range(planned), settings, ["shard", "image_id", "caption"], folder=folder)
+        placed = place_by_range(planned, fetch_tasks(readable))
+        encoded = encode_images(placed, settings, ["shard", "image_id", "caption"], folder=folder)
         good, bad = ledger.split_rejects(_stage(spark, encoded, space, run_id))
         _write(at_precision(good, settings.precision), bad, space, run_id, "shard")
 
@@ -292,7 +293,7 @@ def prepare_table(images: DataFrame, captions: DataFrame, settings: ImageSetting
     keep = [c for c in slim.columns if c != "bytes"]
     encoded = encode_images(planned, settings, keep, content="bytes")
     good = at_precision(encoded.filter(F.col("error").isNull()).drop("error", "resolution"), settings.precision)
-    return required_captions(good, captions, "image_id", "caption", on_missing)
+    return required_captions(good, captions, "image_id", "caption", on_missing, count_from=images.select("image_id"))
 
 
 def consolidate_captions(table: DataFrame, url: str, sequence: list[str], fields: dict[str, str]) -> DataFrame:

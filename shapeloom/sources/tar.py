@@ -29,7 +29,8 @@ MEMBER_SCHEMA = (
     "width bigint, height bigint, mode string, error string"
 )
 ROWS_PER_BATCH = 4096
-RANGE_BYTES = 256 << 20
+RANGE_BYTES = 64 << 20
+TASK_BYTES = 256 << 20
 
 
 class ShardPartition(InputPartition):
@@ -178,17 +179,25 @@ class ShardFiles:
         self.shard = None
 
 
-def place_by_range(members: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def fetch_tasks(members: DataFrame) -> int:
+    """How many tasks should read the payloads of ``members``: one per 256 MB, at least one per core."""
+    total = members.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    return max(members.sparkSession.sparkContext.defaultParallelism, -(-int(total) // TASK_BYTES))
+
+
+def place_by_range(members: DataFrame, tasks: int | None = None) -> DataFrame:
     """Bring members of one byte range of a shard together, in file order.
 
-    Only (shard, offset, ...) rows move. A shard larger than ``range_bytes`` is
-    read by several tasks.
+    Only (shard, offset, ...) rows move, and a large shard is read by several
+    tasks. The task count is explicit because adaptive execution would size tasks
+    by these slim rows instead of by the bytes they stand for.
     """
-    span = int_div(F.col("offset"), range_bytes)
-    return members.repartition(F.col("shard"), span).sortWithinPartitions("shard", "offset")
+    tasks = tasks or int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    span = int_div(F.col("offset"), RANGE_BYTES)
+    return members.repartition(tasks, F.col("shard"), span).sortWithinPartitions("shard", "offset")
 
 
-def fetch_members(members: DataFrame, folder: str, into: str = "bytes") -> DataFrame:
+def fetch_members(members: DataFrame, folder: str, into: str = "bytes", tasks: int | None = None) -> DataFrame:
     """Read the payload of each ``(shard, offset, size)`` row."""
     schema = T.StructType([*members.schema.fields, T.StructField(into, T.BinaryType())])
 
@@ -200,4 +209,4 @@ def fetch_members(members: DataFrame, folder: str, into: str = "bytes") -> DataF
         finally:
             files.close()
 
-    return place_by_range(members).mapInPandas(run, schema)
+    return place_by_range(members, tasks).mapInPandas(run, schema)

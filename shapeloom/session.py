@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_base: str | None = None
+_shipped_to: dict[str, str] = {}
 
 
 def build_session(app: str = "shapeloom", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -42,5 +45,23 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Needed where the executors do not have it installed: functions that run in
+    Python tasks, and the tar data source, import it there.
+    """
+    context = spark.sparkContext
+    if _shipped_to.get("app") == context.applicationId:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="shapeloom-pkg-")) / "shapeloom.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, Path("shapeloom") / source.relative_to(root))
+    context.addPyFile(str(archive))
+    _shipped_to["app"] = context.applicationId
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -160,7 +160,7 @@ def e5m2_encode(values: np.ndarray) -> np.ndarray:
     v = np.asarray(values, dtype=np.float64)
     a = np.abs(v)
     finite = np.where(np.isfinite(a), np.minimum(a, E5M2_OVERFLOW), 0.0)
-    exponent = np.maximum(np.frexp(finite)[1] - 1, -14)
+    exponent = np.where(finite > 0, np.maximum(np.frexp(finite)[1] - 1, -14), -14)
     steps = np.rint(np.ldexp(finite, 2 - exponent)).astype(np.int64)
     code = (exponent + 14) * 4 + steps
     code = np.where(a >= E5M2_OVERFLOW, E5M2_INF, code)

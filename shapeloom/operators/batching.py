@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,6 +102,23 @@ def apply_local_batches(df: DataFrame, shape: list[str], fn: BatchFn, schema: T.
     return df.mapInPandas(run, schema)
 
 
+def map_frames(df: DataFrame, fn: Callable[[pd.DataFrame, int, object], pd.DataFrame], schema: T.StructType | str, make_state: Callable[[], object] | None = None) -> DataFrame:
+    """``fn(frame, worker, state)`` on every Arrow batch, for work columns cannot express.
+
+    ``worker`` is the partition index (to pick a device) and ``state`` whatever
+    ``make_state`` loaded, once per task. Filter with column expressions beforehand:
+    the optimizer cannot move a filter across this call.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        worker = TaskContext.get().partitionId()
+        state = make_state() if make_state else None
+        for frame in batches:
+            yield fn(frame, worker, state)
+
+    return df.mapInPandas(run, schema)
+
+
 def first_in_file(images: DataFrame, file: str, order: str, grid: BucketGrid) -> DataFrame:
     """One row per file: the bucket of its first image (map-side-combined ``min_by``)."""
     first = images.groupBy(file).agg(F.min_by(F.struct("width", "height"), order).alias("first"))

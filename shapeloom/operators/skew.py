@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 HOT_SHARE = 1.0 / 512
 SALTS = 64
+COUNTED_ONE_IN = 16
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -44,13 +45,19 @@ def fits_broadcast(df: DataFrame) -> bool:
     return size is not None and size <= broadcast_limit(df)
 
 
-def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFrame:
+def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, spread_by: list[str] | None = None) -> DataFrame:
     """Distinct key tuples holding more than ``share`` of the rows: fewer than ``1/share`` of them.
 
-    Reads only the key columns; the counts combine map-side before the shuffle.
+    Reads only the columns named; the counts combine map-side before the shuffle.
+    With ``spread_by`` they are taken on one row in ``COUNTED_ONE_IN`` by content
+    hash, which is plenty for keys this frequent. That only decides where rows are
+    placed, never which rows come out.
     """
-    counts = df.filter(_all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    counted = df
+    if spread_by and set(spread_by) <= set(df.columns) and not set(spread_by) <= set(keys):
+        counted = df.filter(row_salt(spread_by, COUNTED_ONE_IN) == 0)
+    counts = counted.filter(_all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))
+    total = counted.agg(F.count(F.lit(1)).alias("n")).scalar()
     return counts.filter(F.col("key_rows") > total * F.lit(share)).select(*keys)
 
 
@@ -98,7 +105,7 @@ def salted_join(
     share: float = HOT_SHARE,
     salts: int = SALTS,
 ) -> DataFrame:
-    hot = F.broadcast(hot_keys(fact if count_from is None else count_from, keys, share).withColumn("is_hot", F.lit(True)))
+    hot = F.broadcast(hot_keys(fact if count_from is None else count_from, keys, share, spread_by).withColumn("is_hot", F.lit(True)))
     spread = F.col("is_hot").isNotNull() | ~_all_present(keys)
     salted_fact = (
         fact.join(hot, keys, "left")

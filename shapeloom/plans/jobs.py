@@ -151,7 +151,10 @@ def _rounds(spark: SparkSession, space: Workspace, listing: DataFrame, run: str,
 
     A round takes at most ``max_files`` inputs, which bounds what is in flight, what
     a lost run has to repeat, and the path list the driver hands to the reader.
+    The folder is listed once per call and the listing kept as a table.
     """
+    listing.write.mode("overwrite").parquet(space.part("listing", run))
+    listing = spark.read.schema("path string").parquet(space.part("listing", run))
     number = 0
     while True:
         log = ledger.read_log(spark, space.log)

@@ -68,9 +68,9 @@ def sink_by_shard(spark, sf_dir):
 @query("sink_rolled", f"WITH {LINE_IMAGES_SQL} SELECT count(*) AS images, 0::BIGINT AS files_over_cap FROM line_images")
 def sink_rolled(spark, sf_dir):
     out = shared_dir(spark, "rolled")
-    writers.write_rolled(line_images(spark, sf_dir), out, 1000)
+    writers.write_rolled(line_images(spark, sf_dir), out, 10_000)
     per_file = spark.read.parquet(out).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
-    return per_file.agg(F.sum("n").alias("images"), F.count_if(F.col("n") > 1000).alias("files_over_cap"))
+    return per_file.agg(F.sum("n").alias("images"), F.count_if(F.col("n") > 10_000).alias("files_over_cap"))
 
 
 @query("export_map_json", "SELECT doc_id::VARCHAR AS key, text AS caption FROM documents")

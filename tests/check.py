@@ -25,7 +25,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else value + 0.0
+        return "nan" if math.isnan(value) else value.hex()  # tells -0.0 from 0.0
     return value
 
 

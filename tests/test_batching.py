@@ -81,3 +81,13 @@ def test_caption_map_last_row_wins_whole(spark):
         "u": {"cap_florence": "a2", "cap_florence_short": None},
         "v": {"cap_florence": None, "cap_florence_short": "b"},
     }
+
+
+def test_frames_see_their_worker_and_shared_state(spark):
+    def tag(frame, worker, state):
+        state.append(len(frame))
+        return frame.assign(worker=worker, calls=len(state))
+
+    df = spark.range(0, 100, 1, 4)
+    out = batching.map_frames(df, tag, "id bigint, worker int, calls int", list).collect()
+    assert len(out) == 100 and {r.worker for r in out} == {0, 1, 2, 3}

@@ -45,7 +45,7 @@ def optional_captions(images: DataFrame, captions: DataFrame, url: str = "url",
 
     ``captions`` is ``(url, caps MAP<STRING,STRING>)``, one row per url.
     """
-    joined = lookup_join(images, captions.select(url, caps), [url], spread_by or [url], "left")
+    joined = lookup_join(images, captions.select(url, caps), [url], spread_by, "left")
     return joined.withColumn(into, caption_list(F.col(caps), fields or SHORT_CAPTION_FIELDS)).drop(caps)
 
 
@@ -58,12 +58,11 @@ def required_captions(images: DataFrame, captions: DataFrame, key: str = "image_
     if on_missing not in ("fail", "drop", "null"):
         raise ValueError(f"on_missing must be fail, drop or null, not {on_missing}")
     lookup = captions.select(key, caption)
-    spread = spread_by or [key]
     if on_missing == "drop":
-        return lookup_join(images, lookup, [key], spread, "inner", count_from)
+        return lookup_join(images, lookup, [key], spread_by, "inner", count_from)
     if on_missing == "null":
-        return lookup_join(images, lookup, [key], spread, "left", count_from)
-    joined = lookup_join(images, lookup.withColumn("caption_found", F.lit(True)), [key], spread, "left", count_from)
+        return lookup_join(images, lookup, [key], spread_by, "left", count_from)
+    joined = lookup_join(images, lookup.withColumn("caption_found", F.lit(True)), [key], spread_by, "left", count_from)
     message = F.concat(F.lit("no caption for key "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
     found = F.when(F.col("caption_found").isNull(), F.raise_error(message).cast("string")).otherwise(F.col(caption))
     return joined.withColumn(caption, found).drop("caption_found")

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HOT_SHARE = 1.0 / 512
 SALTS = 64
@@ -72,11 +73,17 @@ def row_salt(columns: list[str], salts: int) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
 
 
+def spread_columns(df: DataFrame, keys: list[str]) -> list[str]:
+    """Columns that can tell rows of one key apart: plain values other than the keys."""
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, T.BinaryType)]
+    return [c for c in plain if c not in keys] or keys
+
+
 def lookup_join(
     fact: DataFrame,
     lookup: DataFrame,
     keys: list[str],
-    spread_by: list[str],
+    spread_by: list[str] | None = None,
     how: str = "left",
     count_from: DataFrame | None = None,
     share: float = HOT_SHARE,
@@ -84,7 +91,8 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``lookup`` to ``fact`` on ``keys``; see the module text for how it balances.
 
-    ``spread_by`` names fact columns that tell rows of one key apart (an id).
+    ``spread_by`` names fact columns that tell rows of one key apart (an id);
+    without it all plain columns are used.
     ``how`` is 'left' or 'inner'. Hot keys are counted on ``count_from`` (default the
     facts): name a table with the same keys where the facts are costly to compute.
     """
@@ -92,7 +100,7 @@ def lookup_join(
         raise ValueError(f"lookup_join supports left and inner, not {how}")
     if fits_broadcast(lookup):
         return fact.join(lookup, keys, how)
-    return salted_join(fact, lookup, keys, spread_by, how, count_from, share, salts)
+    return salted_join(fact, lookup, keys, spread_by or spread_columns(fact, keys), how, count_from, share, salts)
 
 
 def salted_join(

@@ -48,6 +48,12 @@ def test_hot_rows_spread_over_tasks(settings, facts, lookup):
     assert largest(skew.lookup_join(facts, lookup, ["key"], ["id"])) < 2500
 
 
+def test_default_spread_leaves_keys_and_bytes_out(facts):
+    wide = facts.withColumn("bytes", F.lit(b"x")).withColumn("list", F.array("id"))
+    assert skew.spread_columns(wide, ["key"]) == ["id"]
+    assert skew.spread_columns(wide.select("key"), ["key"]) == ["key"]
+
+
 def test_hot_keys_are_bounded(facts):
     hot = skew.hot_keys(facts, ["key"], share=1 / 8)
     assert [r.key for r in hot.collect()] == ["hot"]

@@ -1,14 +1,15 @@
 """Pluggable model functions run on Arrow batches, and deterministic stand-ins.
 
 A model is given as ``make_fn``: a function without arguments that loads the
-model and returns ``batch -> result``. Spark calls it once per Python worker and
-feeds it fixed-size numpy batches. The stand-ins below have the same shape as
-real encoders and let every job run without weights.
+model and returns ``batch -> result``. It is called once per Python worker process,
+which Spark reuses for many tasks, and is fed batches of fixed size. The stand-ins
+below have the same shape as real encoders and let every job run without weights.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -24,6 +25,24 @@ from pyspark.sql import types as T
 TEXT_WIDTH = 1152
 
 
+_loaded: dict[str, object] = {}
+MODELS_KEPT = 4
+
+
+def model_token() -> str:
+    """Names one use of a model in a plan; taken on the driver and sent along with the task."""
+    return uuid.uuid4().hex
+
+
+def once_per_worker(token: str, make_fn: Callable):
+    """The model of ``token``, loaded at its first use in this worker process."""
+    if token not in _loaded:
+        while len(_loaded) >= MODELS_KEPT:
+            _loaded.pop(next(iter(_loaded)))
+        _loaded[token] = make_fn()
+    return _loaded[token]
+
+
 def run_once(model):
     """Keep the optimizer from copying a costly call into filters it infers or pushes down."""
     return model.asNondeterministic()
@@ -39,10 +58,11 @@ def encode_tensors(values: Column, make_fn: Callable, input_width: int, batch_si
 
 def encode_texts(texts: Column, make_fn: Callable[[], Callable[[list[str]], np.ndarray]], batch_size: int = 32) -> Column:
     """Strings -> ``ARRAY<DOUBLE>`` embeddings; null text counts as empty."""
+    token = model_token()
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = make_fn()
+        model = once_per_worker(token, make_fn)
         for series in batches:
             rows = [t if t is not None else "" for t in series]
             out: list[np.ndarray] = []
@@ -55,10 +75,11 @@ def encode_texts(texts: Column, make_fn: Callable[[], Callable[[list[str]], np.n
 
 def caption_images(columns: list[Column], make_fn: Callable[[], Callable[[pd.DataFrame], list[str]]]) -> Column:
     """Image columns -> caption strings. Pass original or resized images as the caller prefers."""
+    token = model_token()
 
     @F.pandas_udf(T.StringType())
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-        model = make_fn()
+        model = once_per_worker(token, make_fn)
         for frame in batches:
             yield pd.Series(model(frame), dtype=object)
 

@@ -25,7 +25,7 @@ from shapeloom.functions.tensors import pack_float16, pack_fp8
 from shapeloom.operators import ledger
 from shapeloom.operators.batching import apply_local_batches, first_in_file
 from shapeloom.operators.consolidate import caption_map
-from shapeloom.operators.encoders import caption_images, encode_texts
+from shapeloom.operators.encoders import caption_images, encode_texts, model_token, once_per_worker
 from shapeloom.operators.joins import optional_captions, pair_members, required_captions, valid_metadata
 from shapeloom.operators.pixels import PLAN_COLUMNS, decode_with_pillow, encode_batch
 from shapeloom.sinks.writers import write_partitioned
@@ -37,7 +37,7 @@ from shapeloom.sources.tar import ShardFiles, fetch_tasks, list_inputs, list_sha
 class ImageSettings:
     """How images become latents.
 
-    ``make_encoder`` loads the model once per Python task and returns
+    ``make_encoder`` loads the model, once per Python worker, and returns
     ``[n, 3, h, w] float32 -> [n, c, h', w']``. ``decode`` turns bytes into RGB
     ``[h, w, 3]``. ``kernel`` is 'cubic' (8-bit, widened when shrinking) or
     'interpolate' (fixed-width cubic on floats). ``precision`` is 'float32',
@@ -99,18 +99,18 @@ def encode_images(planned: DataFrame, settings: ImageSettings, keep: list[str],
     source = [content] if content else ["shard", "offset", "size"]
     slim = planned.select(*dict.fromkeys([*keep, "resolution", *PLAN_COLUMNS, *source]))
     make_encoder, decode, kernel = settings.make_encoder, settings.decode, settings.kernel
-    state: dict = {}
+    token = model_token()
+    opened: dict[str, ShardFiles] = {}
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        if "encode" not in state:
-            state["encode"] = make_encoder()
+        encode = once_per_worker(token, make_encoder)
         if content:
             loader, items = decode, frame[content]
         else:
-            files = state.setdefault("files", ShardFiles(folder))
+            files = opened.setdefault(folder, ShardFiles(folder))
             items = pd.Series(list(zip(frame["shard"], frame["offset"], frame["size"])), dtype=object)
             loader = lambda place: decode(files.read(place[0], int(place[1]), int(place[2])))
-        latents, errors = encode_batch(loader, state["encode"], frame.assign(payload=items.to_numpy()), "payload", kernel)
+        latents, errors = encode_batch(loader, encode, frame.assign(payload=items.to_numpy()), "payload", kernel)
         return frame[[*keep, "resolution"]].assign(
             latent=[None if t is None else t.astype(np.float32).ravel() for t in latents],
             latent_shape=[None if t is None else list(t.shape) for t in latents],

@@ -2,7 +2,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from shapeloom.operators import batching, consolidate
+from shapeloom.operators import batching, consolidate, encoders
 
 SCHEMA = "shape string, images bigint, task int"
 
@@ -91,3 +91,25 @@ def test_frames_see_their_worker_and_shared_state(spark):
     df = spark.range(0, 100, 1, 4)
     out = batching.map_frames(df, tag, "id bigint, worker int, calls int", list).collect()
     assert len(out) == 100 and {r.worker for r in out} == {0, 1, 2, 3}
+
+
+def test_models_load_once_per_worker_process(spark, tmp_path):
+    def make_fn():
+        import os
+        import uuid
+
+        (tmp_path / f"{os.getpid()}-{uuid.uuid4().hex}").touch()
+        return lambda texts: [[float(len(t))] for t in texts]
+
+    df = spark.range(0, 400, 1, 40).select(F.col("id").cast("string").alias("t"))
+    out = df.select(F.length("t").alias("n"), encoders.encode_texts(F.col("t"), make_fn, 7)[0].alias("v"))
+    assert out.filter("n != v").count() == 0
+    loads = [p.name.split("-")[0] for p in tmp_path.iterdir()]
+    assert len(loads) == len(set(loads)) < 40
+
+
+def test_a_filter_on_a_model_result_does_not_run_it_again(spark, plan):
+    vectors = spark.createDataFrame([([1.0, 2.0],)], "v array<float>")
+    latent = encoders.encode_tensors(F.col("v"), encoders.projection_encoder(2, 3), 2)
+    exploded = vectors.select(F.explode(latent).alias("x")).filter("x > -100")
+    assert plan(exploded).count("ArrowEvalPython") == 1

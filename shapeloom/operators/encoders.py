@@ -159,3 +159,18 @@ def block_mean_encoder(factor: int) -> Callable:
         return encode
 
     return make_fn
+
+
+def sampling_encoder(factor: int, spread: float = 0.01) -> Callable:
+    """Like ``block_mean_encoder`` plus noise drawn from each image's own seed."""
+
+    def make_fn():
+        encode = block_mean_encoder(factor)()
+
+        def sample(images: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+            means = encode(images)
+            return np.stack([m + spread * np.random.default_rng(s).standard_normal(m.shape) for m, s in zip(means, seeds)])
+
+        return sample
+
+    return make_fn

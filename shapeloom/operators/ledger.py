@@ -3,9 +3,10 @@
 The log is an append-only table ``(path, status, attempt, run, error, logged_at)``.
 Inputs are keyed by their full relative path: base names repeat across folders.
 
-A job writes its output under ``run=<id>`` and then appends the inputs it finished
-with that run id. The append is the commit: output of a run that died before it
-is never read, and its inputs are still pending.
+A job logs the inputs of a round as started, writes its output under ``run=<id>``
+and then appends the inputs it finished with that id. The second append is the
+commit: output of a round that died before it is never read, and its inputs are
+still pending. Ids are never used twice.
 """
 
 from __future__ import annotations
@@ -28,22 +29,42 @@ def pending_inputs(listing: DataFrame, *settled: DataFrame, path: str = "path")
     return listing.join(done, path, "left_anti")
 
 
-def crashed_inputs(log: DataFrame) -> DataFrame:
-    """Inputs with a ``started`` attempt that never settled.
+def crashed_inputs(log: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """``keys`` (default path and attempt) that were ``started`` and never settled.
 
-    One aggregation per (path, attempt) instead of a self anti-join.
+    One aggregation instead of a self anti-join.
     """
-    per_attempt = log.groupBy("path", "attempt").agg(
+    keys = keys or ["path", "attempt"]
+    per_attempt = log.groupBy(*keys).agg(
         F.bool_or(F.col("status") == STARTED).alias("began"),
         F.bool_or(F.col("status").isin(SETTLED)).alias("settled"),
     )
-    return per_attempt.filter("began and not settled").select("path", "attempt")
+    return per_attempt.filter("began and not settled").select(*keys)
 
 
 def quarantine(log: DataFrame) -> DataFrame:
-    """Inputs to leave out of later runs: failed, or crashed without a result."""
-    failed = log.filter(F.col("status") == FAILED).select("path")
-    return failed.unionByName(crashed_inputs(log).select("path")).distinct()
+    """Inputs to leave out of later runs: failed, or crashed while being worked on alone."""
+    return _failed(log).unionByName(crashed_inputs(log).select("path")).distinct()
+
+
+def suspects(log: DataFrame) -> DataFrame:
+    """``(path, round_size)``: inputs of rounds that never finished, with the smallest such round.
+
+    A lost round says little about any one of its inputs, so they are tried again in
+    smaller rounds until the one that breaks its task stands alone.
+    """
+    sizes = log.filter(F.col("status") == STARTED).groupBy("run").agg(F.count_distinct("path").alias("round_size"))
+    crashed = crashed_inputs(log, ["path", "run"])
+    return crashed.join(sizes, "run").groupBy("path").agg(F.min("round_size").alias("round_size"))
+
+
+def quarantine_isolated(log: DataFrame) -> DataFrame:
+    """Like ``quarantine`` for rounds of many inputs: only an input that crashed alone is left out."""
+    return _failed(log).unionByName(suspects(log).filter("round_size = 1").select("path")).distinct()
+
+
+def _failed(log: DataFrame) -> DataFrame:
+    return log.filter(F.col("status") == FAILED).select("path")
 
 
 def split_rejects(df: DataFrame, problem: str = "error") -> tuple[DataFrame, DataFrame]:
@@ -70,7 +91,11 @@ def read_log(spark: SparkSession, location: str) -> DataFrame:
 
 
 def append_log(entries: DataFrame, location: str) -> None:
-    """Append log rows; missing columns are filled in."""
+    """Append log rows in one file, so that they appear together or not at all.
+
+    A call carries one entry per input of a round, which bounds its size. Missing
+    columns are filled in.
+    """
     have = set(entries.columns)
     fill = {
         "attempt": F.lit(1),
@@ -79,7 +104,8 @@ def append_log(entries: DataFrame, location: str) -> None:
         "logged_at": F.current_timestamp(),
     }
     full = entries.withColumns({c: v for c, v in fill.items() if c not in have})
-    full.select("path", "status", F.col("attempt").cast("int").alias("attempt"), "run", "error", "logged_at").write.mode("append").parquet(location)
+    rows = full.select("path", "status", F.col("attempt").cast("int").alias("attempt"), "run", "error", "logged_at")
+    rows.repartition(1).write.mode("append").parquet(location)
 
 
 def path_exists(spark: SparkSession, location: str) -> bool:

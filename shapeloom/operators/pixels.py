@@ -7,6 +7,7 @@ numpy helpers only carry a plan out on one image at a time.
 from __future__ import annotations
 
 import io
+import zlib
 from collections.abc import Callable
 
 import numpy as np
@@ -164,14 +165,23 @@ def resize_pixels(images: DataFrame, keep: list[str], kernel: str = "cubic") ->
     return images.select(*dict.fromkeys([*keep, "height", "width", "data", *PLAN_COLUMNS])).mapInPandas(run, T.StructType(fields))
 
 
+def image_seeds(keys: pd.Series, seed: int) -> np.ndarray:
+    """One 32-bit seed per image key, for encoders that sample."""
+    return np.array([zlib.crc32(f"{seed}:{key}".encode()) for key in keys], dtype=np.uint32)
+
+
 def encode_batch(
     decode: Callable[[bytes], np.ndarray],
-    encode: Callable[[np.ndarray], np.ndarray],
+    encode: Callable[..., np.ndarray],
     frame: pd.DataFrame,
     content: str,
     kernel: str,
+    seeds: np.ndarray | None = None,
 ) -> tuple[list[np.ndarray | None], list[str | None]]:
-    """(latents, errors) for rows of one bucket size; a bad image only loses its own row."""
+    """(latents, errors) for rows of one bucket size; a bad image only loses its own row.
+
+    With ``seeds`` the encoder is called as ``encode(images, seeds)``.
+    """
     stacked, places = [], []
     latents: list[np.ndarray | None] = [None] * len(frame)
     errors: list[str | None] = [None] * len(frame)
@@ -183,7 +193,8 @@ def encode_batch(
             errors[place] = f"{type(problem).__name__}: {problem}"[:500]
     if stacked:
         try:
-            for place, latent in zip(places, encode(np.stack(stacked))):
+            extra = () if seeds is None else (seeds[places],)
+            for place, latent in zip(places, encode(np.stack(stacked), *extra)):
                 latents[place] = latent
         except Exception as problem:  # a failed batch loses its rows only
             for place in places:

@@ -8,6 +8,7 @@ decodes, resizes, encodes and drops them. Pixel bytes are never shuffled.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -27,7 +28,7 @@ from shapeloom.operators.batching import apply_local_batches, first_in_file
 from shapeloom.operators.consolidate import caption_map
 from shapeloom.operators.encoders import caption_images, encode_texts, model_token, once_per_worker
 from shapeloom.operators.joins import optional_captions, pair_members, required_captions, valid_metadata
-from shapeloom.operators.pixels import PLAN_COLUMNS, decode_with_pillow, encode_batch
+from shapeloom.operators.pixels import PLAN_COLUMNS, decode_with_pillow, encode_batch, image_seeds
 from shapeloom.sinks.writers import write_partitioned
 from shapeloom.sources.catalog import scan_catalog
 from shapeloom.sources.tar import ShardFiles, fetch_tasks, list_inputs, list_shards, place_by_range, scan_tar
@@ -43,6 +44,9 @@ class ImageSettings:
     'interpolate' (fixed-width cubic on floats). ``precision`` is 'float32',
     'float16' or 'fp8'.
 
+    An encoder that draws from a distribution sets ``sampling``: it is then called with
+    one seed per image, taken from ``seed`` and the image id, so that retries agree.
+
     ``shrink_first`` loads images above 16M pixels at their bucket size before
     anything else, size filter included. That distorts them and lets only the
     buckets of full area pass the filter, so it is off by default.
@@ -59,6 +63,8 @@ class ImageSettings:
     precision: str = "float32"
     keep: list[str] = field(default_factory=list)
     shrink_first: bool = False
+    sampling: bool = False
+    rows_per_file: int | None = None
 
 
 def plan_images(images: DataFrame, settings: ImageSettings, key: str = "image_id") -> DataFrame:
@@ -99,6 +105,7 @@ def encode_images(planned: DataFrame, settings: ImageSettings, keep: list[str],
     source = [content] if content else ["shard", "offset", "size"]
     slim = planned.select(*dict.fromkeys([*keep, "resolution", *PLAN_COLUMNS, *source]))
     make_encoder, decode, kernel = settings.make_encoder, settings.decode, settings.kernel
+    sampling, seed = settings.sampling, settings.seed
     token = model_token()
     opened: dict[str, ShardFiles] = {}
 
@@ -110,7 +117,8 @@ def encode_images(planned: DataFrame, settings: ImageSettings, keep: list[str],
             files = opened.setdefault(folder, ShardFiles(folder))
             items = pd.Series(list(zip(frame["shard"], frame["offset"], frame["size"])), dtype=object)
             loader = lambda place: decode(files.read(place[0], int(place[1]), int(place[2])))
-        latents, errors = encode_batch(loader, encode, frame.assign(payload=items.to_numpy()), "payload", kernel)
+        seeds = image_seeds(frame["image_id"], seed) if sampling else None
+        latents, errors = encode_batch(loader, encode, frame.assign(payload=items.to_numpy()), "payload", kernel, seeds)
         return frame[[*keep, "resolution"]].assign(
             latent=[None if t is None else t.astype(np.float32).ravel() for t in latents],
             latent_shape=[None if t is None else list(t.shape) for t in latents],
@@ -146,25 +154,36 @@ class Workspace:
         return f"{self.base}/{kind}/run={run}"
 
 
+SHRINK = 4
+
+
 def _rounds(spark: SparkSession, space: Workspace, listing: DataFrame, run: str, max_files: int) -> Iterator[tuple[str, list[str]]]:
-    """(run id, input paths) until nothing is pending.
+    """(new run id, input paths) until nothing is pending.
 
     A round takes at most ``max_files`` inputs, which bounds what is in flight, what
-    a lost run has to repeat, and the path list the driver hands to the reader.
-    The folder is listed once per call and the listing kept as a table.
+    a lost round has to repeat, and the path list the driver hands to the reader.
+    Inputs of a lost round come first and in smaller rounds. The folder is listed
+    once per call and the listing kept as a table.
     """
-    listing.write.mode("overwrite").parquet(space.part("listing", run))
-    listing = spark.read.schema("path string").parquet(space.part("listing", run))
+    call = uuid.uuid4().hex[:12]
+    listing.write.mode("overwrite").parquet(space.part("listing", f"{run}-{call}"))
+    listing = spark.read.schema("path string").parquet(space.part("listing", f"{run}-{call}"))
     number = 0
     while True:
         log = ledger.read_log(spark, space.log)
         settled = log.filter(F.col("status").isin(ledger.FINISHED, ledger.EMPTY))
-        pending = ledger.pending_inputs(listing, settled, ledger.quarantine(log))
-        take = [r["path"] for r in pending.orderBy("path").limit(max_files).collect()]
-        if not take:
+        pending = ledger.pending_inputs(listing, settled, ledger.quarantine_isolated(log)).join(ledger.suspects(log), "path", "left")
+        rows = pending.orderBy(F.col("round_size").asc_nulls_last(), "path").limit(max_files).collect()
+        if not rows:
             return
-        round_id = f"{run}-{number:05d}"
-        yield round_id, take
+        smallest = rows[0]["round_size"]
+        take = [r["path"] for r in rows if r["round_size"] == smallest]
+        if smallest is not None:
+            take = take[: max(1, smallest // SHRINK)]
+        run_id = f"{run}-{number:05d}-{call}"
+        entries = spark.createDataFrame([(p, ledger.STARTED, run_id) for p in take], "path string, status string, run string")
+        ledger.append_log(entries, space.log)
+        yield run_id, take
         number += 1
 
 
@@ -174,8 +193,8 @@ def _stage(spark: SparkSession, encoded: DataFrame, space: Workspace, run: str)
     return spark.read.parquet(space.part("staged", run))
 
 
-def _write(good: DataFrame, bad: DataFrame, space: Workspace, run: str, partition: str) -> None:
-    write_partitioned(good.withColumn("run", F.lit(run)), space.data, ["run", partition])
+def _write(good: DataFrame, bad: DataFrame, space: Workspace, run: str, partition: str, rows_per_file: int | None) -> None:
+    write_partitioned(good.withColumn("run", F.lit(run)), space.data, ["run", partition], rows_per_file)
     bad.drop("latent", "latent_shape").write.mode("overwrite").parquet(space.part("rejects", run))
 
 
@@ -235,7 +254,7 @@ def prepare_catalog(
             both = required_captions(staged, second, "image_id", "second_caption", on_missing)
             staged = both.withColumn("caption", F.array("caption", "second_caption")).drop("second_caption")
         good, bad = ledger.split_rejects(staged)
-        _write(at_precision(good, settings.precision), bad, space, run_id, "resolution")
+        _write(at_precision(good, settings.precision), bad, space, run_id, "resolution", settings.rows_per_file)
         done = spark.createDataFrame([(p, ledger.FINISHED, run_id) for p in paths], "path string, status string, run string")
         ledger.append_log(done, space.log)
     return ledger.read_committed(spark, space.data, ledger.read_log(spark, space.log))
@@ -277,7 +296,7 @@ def prepare_tar(
         placed = place_by_range(planned, fetch_tasks(readable))
         encoded = encode_images(placed, settings, ["shard", "image_id", "caption"], folder=folder)
         good, bad = ledger.split_rejects(_stage(spark, encoded, space, run_id))
-        _write(at_precision(good, settings.precision), bad, space, run_id, "shard")
+        _write(at_precision(good, settings.precision), bad, space, run_id, "shard", settings.rows_per_file)
 
         usable = valid.select(F.col("shard").alias("path"), F.lit(True).alias("usable")).distinct()
         taken = spark.createDataFrame([(p,) for p in paths], "path string")

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -143,11 +143,11 @@ def list_shards(spark: SparkSession, folder: str) -> DataFrame:
 def list_inputs(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     """``(path)``: files under ``folder`` relative to it; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder)
-    return files.select(relative_path(spark, F.col("path"), folder).alias("path"))
+    return files.select(relative_path(spark, F.col("_metadata.file_path"), folder).alias("path"))
 
 
-def relative_path(spark: SparkSession, path, folder: str):
-    """Path column relative to ``folder``, whatever way Spark spells the URI."""
+def relative_path(spark: SparkSession, path: Column, folder: str) -> Column:
+    """``_metadata.file_path`` (a percent-encoded URI) as a plain path below ``folder``."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(folder)
     root = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop).toUri()
     start = len(root.getPath().rstrip("/")) + 2

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shapeloom.functions.buckets import BucketGrid
 from shapeloom.functions.tensors import unpack_float16, unpack_fp8
 from shapeloom.operators import ledger, pixels
-from shapeloom.operators.encoders import block_mean_encoder, template_captioner
+from shapeloom.operators.encoders import block_mean_encoder, sampling_encoder, template_captioner
 from shapeloom.plans.jobs import ImageSettings, prepare_catalog, prepare_table, prepare_tar
 from shapeloom.workload.standins import draw, open_png, png_bytes
 
@@ -73,7 +73,7 @@ def test_catalogue_job(spark, catalogue):
         assert row.resolution == resolution and row.caption == f"cap {image_id}"
         assert list(row.latent_shape) == list(latent.shape)
         np.testing.assert_allclose(np.array(row.latent), latent.ravel(), atol=1e-4)
-    log = ledger.read_log(spark, f"{work}/log").collect()
+    log = ledger.read_log(spark, f"{work}/log").filter("status = 'finished'").collect()
     assert len(log) == 2 and len({r.run for r in log}) == 2, "one round per file"
     rejects = spark.read.parquet(f"{work}/rejects").collect()
     assert [r.image_id for r in rejects] == ["3"] and rejects[0].error
@@ -82,15 +82,45 @@ def test_catalogue_job(spark, catalogue):
     assert again.count() == len(got), "nothing is pending, nothing is added"
 
 
+def lose_driver_before_commit(monkeypatch):
+    real = ledger.append_log
+
+    def append(entries, location):
+        if entries.first()["status"] == ledger.STARTED:
+            return real(entries, location)
+        raise RuntimeError("lost driver")
+
+    monkeypatch.setattr(ledger, "append_log", append)
+
+
 def test_run_that_died_before_its_log_entry_is_repeated(spark, catalogue, monkeypatch):
     root, work = str(catalogue / "cat"), str(catalogue / "work")
     with monkeypatch.context() as patch:
-        patch.setattr(ledger, "append_log", lambda *a: (_ for _ in ()).throw(RuntimeError("lost driver")))
+        lose_driver_before_commit(patch)
         with pytest.raises(RuntimeError, match="lost driver"):
-            prepare_catalog(spark, root, work, "r", SETTINGS, ["0"])
-    for run in ("r", "t"):  # same run id (overwrites) and then a new one (nothing left)
-        rows = prepare_catalog(spark, root, work, run, SETTINGS, ["0"])
-        assert rows.count() == rows.select("image_id").distinct().count() == 17
+            prepare_catalog(spark, root, work, "r", SETTINGS)
+    for run in ("r", "t"):
+        rows = prepare_catalog(spark, root, work, run, SETTINGS)
+        assert rows.count() == rows.select("image_id").distinct().count() == 37
+
+
+def test_an_input_that_always_breaks_its_round_is_isolated(spark, catalogue, monkeypatch):
+    root, work = str(catalogue / "cat"), str(catalogue / "work")
+    with monkeypatch.context() as patch:
+        lose_driver_before_commit(patch)
+        for _ in range(3):  # both together, then each alone
+            with pytest.raises(RuntimeError):
+                prepare_catalog(spark, root, work, "r", SETTINGS)
+    log = ledger.read_log(spark, f"{work}/log")
+    assert log.groupBy("run").count().agg({"count": "max"}).first()[0] == 2
+    assert ledger.quarantine_isolated(log).count() == 2
+    assert ledger.pending_inputs(log.select("path").distinct(), ledger.quarantine_isolated(log)).count() == 0
+
+
+def test_same_run_name_adds_later_inputs(spark, catalogue):
+    root, work = catalogue / "cat", str(catalogue / "work")
+    assert prepare_catalog(spark, str(root), work, "daily", SETTINGS, ["0"]).count() == 17
+    assert prepare_catalog(spark, str(root), work, "daily", SETTINGS).count() == 37
 
 
 def test_catalogue_options(spark, catalogue):
@@ -155,7 +185,7 @@ def test_tar_job(spark, shards):
         assert row.shard == ("good.tar" if i == 0 else "more.tar")
         assert row.resolution == resolution and list(row.caption) == [f"cap {i}"]
         np.testing.assert_allclose(np.array(row["values"]), latent.ravel().astype(np.float16), atol=2e-3)
-    status = {r.path: r.status for r in ledger.read_log(spark, f"{work}/log").collect()}
+    status = {r.path: r.status for r in ledger.read_log(spark, f"{work}/log").filter("status <> 'started'").collect()}
     assert status == {"good.tar": "finished", "more.tar": "finished", "empty.tar": "empty", "unpaired.tar": "empty", "cut.tar": "failed"}
     assert [r.image_id for r in spark.read.parquet(f"{work}/rejects").collect()] == ["k6"]
     assert prepare_tar(spark, folder, work, "s", settings).count() == 21, "quarantined and finished shards are left alone"
@@ -185,3 +215,16 @@ def test_table_job(spark):
         assert np.abs(np.array(row["values"]) - latent).max() <= np.abs(latent).max() / 8 + 1e-6
     with pytest.raises(Exception, match="no caption for key"):
         prepare_table(images, captions.filter(F.col("image_id") != "3"), settings).collect()
+
+
+def test_sampled_latents_repeat_whatever_the_batches(spark):
+    rows = [(str(i), bytearray(png_bytes(draw(i, *sizes(i), 3)))) for i in range(24)]
+    captions = spark.createDataFrame([(str(i), "c") for i in range(24)], "image_id string, caption string")
+
+    def latents(parts, batch, seed):
+        images = spark.createDataFrame(rows, "image_id string, image binary").repartition(parts)
+        settings = ImageSettings(sampling_encoder(8), GRID, open_png, crop="random", seed=seed, batch_size=batch, sampling=True)
+        return {r.image_id: r.latent for r in prepare_table(images, captions, settings).collect()}
+
+    assert latents(1, 5, 1) == latents(4, 3, 1)
+    assert latents(1, 5, 1) != latents(1, 5, 2)

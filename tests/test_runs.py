@@ -9,6 +9,7 @@ from shapeloom.functions import paths
 from shapeloom.operators import ledger, metrics
 from shapeloom.sinks import writers
 from shapeloom.sources import catalog
+from shapeloom.sources.tar import list_inputs
 from shapeloom.streaming import intake, progress
 
 
@@ -151,6 +152,20 @@ def test_catalog_scan_reads_only_what_is_asked(spark, tmp_path, plan):
     assert filtered.first().source_row == 4
 
 
+def test_odd_file_names_round_trip(spark, tmp_path):
+    root = tmp_path / "odd root+%41"
+    names = ["plain.parquet", "a b.parquet", "c+d.parquet", "e%20f.parquet", "g%h.parquet", "é=1/x.parquet"]
+    spark.range(3).coalesce(1).write.parquet(str(tmp_path / "one"))
+    content = next((tmp_path / "one").glob("*.parquet")).read_bytes()
+    for name in names:
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(content)
+    listed = sorted(r.path for r in list_inputs(spark, str(root), "*.parquet").collect())
+    assert listed == sorted(names)
+    rows = catalog.scan_catalog(spark, str(root), listed, ["id"])
+    assert sorted({r.source_file for r in rows.collect()}) == sorted(names) and rows.count() == 18
+
+
 def test_caption_dictionaries(spark, tmp_path):
     (tmp_path / "flat.json").write_text('{"a": "one",\n "b": null}')
     (tmp_path / "nested.json").write_text('{"a": {"caption": "one"}}')

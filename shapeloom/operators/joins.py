@@ -40,12 +40,12 @@ def valid_metadata(df: DataFrame, fields: list[str]) -> DataFrame:
     return df.filter(F.coalesce(keep, F.lit(False)))
 
 
-def optional_captions(images: DataFrame, captions: DataFrame, url: str = "url", caps: str = "caps", fields: list[str] | None = None, spread_by: list[str] | None = None, into: str = "caption") -> DataFrame:
+def optional_captions(images: DataFrame, captions: DataFrame, url: str = "url", caps: str = "caps", fields: list[str] | None = None, spread_by: list[str] | None = None, into: str = "caption", count_from: DataFrame | None = None) -> DataFrame:
     """Attach one caption per field by url; images without an entry get ''.
 
     ``captions`` is ``(url, caps MAP<STRING,STRING>)``, one row per url.
     """
-    joined = lookup_join(images, captions.select(url, caps), [url], spread_by, "left")
+    joined = lookup_join(images, captions.select(url, caps), [url], spread_by, "left", count_from)
     return joined.withColumn(into, caption_list(F.col(caps), fields or SHORT_CAPTION_FIELDS)).drop(caps)
 
 

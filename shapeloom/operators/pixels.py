@@ -185,7 +185,7 @@ def encode_batch(
     stacked, places = [], []
     latents: list[np.ndarray | None] = [None] * len(frame)
     errors: list[str | None] = [None] * len(frame)
-    for place, (data, plan) in enumerate(zip(frame[content], frame[PLAN_COLUMNS].to_dict("records"))):
+    for place, (data, plan) in enumerate(zip(frame[content], frame[PLAN_COLUMNS].astype("int64").to_dict("records"))):
         try:
             stacked.append(normalized_chw(carry_out(decode(data), plan, kernel)))
             places.append(place)

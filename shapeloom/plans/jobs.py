@@ -8,13 +8,14 @@ decodes, resizes, encodes and drops them. Pixel bytes are never shuffled.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,16 +68,24 @@ class ImageSettings:
     rows_per_file: int | None = None
 
 
-def plan_images(images: DataFrame, settings: ImageSettings, key: str = "image_id") -> DataFrame:
-    """Filter on size, then add bucket, load size, resize and crop columns. Narrow."""
-    kept = images.filter(F.col("width").isNotNull() & (F.col("width") > 0) & (F.col("height") > 0))
+def plan_images(images: DataFrame, settings: ImageSettings, key: str = "image_id", observation: Observation | None = None) -> DataFrame:
+    """Filter on size, then add bucket, load size, resize and crop columns. Narrow.
+
+    Images without readable dimensions stay, with a null resolution: the encoder
+    turns them into rejects. ``observation`` counts ``images`` and ``too_small``.
+    """
+    readable = F.col("width").isNotNull() & (F.col("width") > 0) & (F.col("height") > 0)
+    known = images.withColumns({c: F.when(readable, F.col(c)) for c in ("width", "height")})
     if settings.shrink_first:
-        loaded = oversize_guard(assign_bucket(kept, settings.grid))
+        loaded = oversize_guard(assign_bucket(known, settings.grid))
     else:
-        loaded = kept.withColumns({"load_w": F.col("width"), "load_h": F.col("height")})
+        loaded = known.withColumns({"load_w": F.col("width"), "load_h": F.col("height")})
+    large = F.lit(True)
     if settings.min_side:
-        loaded = loaded.filter(has_min_pixels(F.col("load_w"), F.col("load_h"), settings.min_side))
-    planned = resize_plan(assign_bucket(loaded, settings.grid, "load_w", "load_h"), "load_w", "load_h")
+        large = F.coalesce(has_min_pixels(F.col("load_w"), F.col("load_h"), settings.min_side), F.lit(True))
+    if observation is not None:
+        loaded = loaded.observe(observation, F.count(F.lit(1)).alias("images"), F.count_if(~large).alias("too_small"))
+    planned = resize_plan(assign_bucket(loaded.filter(large), settings.grid, "load_w", "load_h"), "load_w", "load_h")
     return crop_plan(planned, settings.crop, key, settings.seed)
 
 
@@ -109,7 +118,12 @@ def encode_images(planned: DataFrame, settings: ImageSettings, keep: list[str],
     token = model_token()
     opened: dict[str, ShardFiles] = {}
 
+    def unreadable(frame: pd.DataFrame) -> pd.DataFrame:
+        return frame[[*keep, "resolution"]].assign(latent=None, latent_shape=None, error="unreadable image header")
+
     def run(frame: pd.DataFrame) -> pd.DataFrame:
+        if frame["resolution"].iloc[0] is None:
+            return unreadable(frame)
         encode = once_per_worker(token, make_encoder)
         if content:
             loader, items = decode, frame[content]
@@ -150,6 +164,10 @@ class Workspace:
     def data(self) -> str:
         return f"{self.base}/data"
 
+    @property
+    def metrics(self) -> str:
+        return f"{self.base}/metrics"
+
     def part(self, kind: str, run: str) -> str:
         return f"{self.base}/{kind}/run={run}"
 
@@ -195,7 +213,18 @@ def _stage(spark: SparkSession, encoded: DataFrame, space: Workspace, run: str)
 
 def _write(good: DataFrame, bad: DataFrame, space: Workspace, run: str, partition: str, rows_per_file: int | None) -> None:
     write_partitioned(good.withColumn("run", F.lit(run)), space.data, ["run", partition], rows_per_file)
-    bad.drop("latent", "latent_shape").write.mode("overwrite").parquet(space.part("rejects", run))
+    bad.write.mode("overwrite").parquet(space.part("rejects", run))
+
+
+def _report(spark: SparkSession, staged: DataFrame, observation: Observation, space: Workspace, run: str, inputs: int, began: float) -> None:
+    """One row of counters per round, the input of the throughput functions."""
+    counted = staged.agg(
+        F.count_if(F.col("error").isNull()).alias("encoded"), F.count_if(F.col("error").isNotNull()).alias("rejected")
+    )
+    seen = observation.get
+    fixed = {"run": run, "inputs": inputs, "images": seen["images"], "too_small": seen["too_small"], "seconds": time.time() - began}
+    row = counted.select(*[F.lit(v).alias(k) for k, v in fixed.items()], "encoded", "rejected", F.current_timestamp().alias("logged_at"))
+    row.write.mode("append").parquet(space.metrics)
 
 
 def prepare_catalog(
@@ -239,14 +268,16 @@ def prepare_catalog(
             "source_row",
             *settings.keep,
         )
+        seen, began = Observation(), time.time()
         sized = add_dimensions(images, "bytes")
-        planned = plan_images(sized, settings)
+        planned = plan_images(sized, settings, observation=seen)
         if bucket_per_file:
             first = first_in_file(sized, "source_file", "source_row", settings.grid)
             planned = replan(planned, first, "source_file", settings)
         if make_captioner is not None:
             planned = planned.withColumn("caption", caption_images([F.col(c) for c in ("width", "height", "caption")], make_captioner))
         staged = _stage(spark, encode_images(planned, settings, keep, content="bytes"), space, run_id)
+        _report(spark, staged, seen, space, run_id, len(paths), began)
         if make_text_encoder is not None:
             staged = staged.withColumn("text_embedding", encode_texts(F.col("caption"), make_text_encoder).cast("array<float>"))
         if second_captions is not None:
@@ -254,6 +285,7 @@ def prepare_catalog(
             both = required_captions(staged, second, "image_id", "second_caption", on_missing)
             staged = both.withColumn("caption", F.array("caption", "second_caption")).drop("second_caption")
         good, bad = ledger.split_rejects(staged)
+        bad = bad.drop("latent", "latent_shape", "text_embedding")
         _write(at_precision(good, settings.precision), bad, space, run_id, "resolution", settings.rows_per_file)
         done = spark.createDataFrame([(p, ledger.FINISHED, run_id) for p in paths], "path string, status string, run string")
         ledger.append_log(done, space.log)
@@ -288,14 +320,21 @@ def prepare_tar(
         pairs = pair_members(readable, carry=["offset", "size", "width", "height"])
         meta = with_sidecar(pairs, "json_text").withColumnRenamed("key", "image_id").drop("json_text", "json_member", "stem")
         valid = valid_metadata(meta, ["image_id"] if url_captions is None else ["image_id", "url"])
-        planned = plan_images(valid, settings)
+        seen, began = Observation(), time.time()
+        planned = plan_images(valid, settings, observation=seen)
         if url_captions is not None:
-            planned = optional_captions(planned.drop("caption"), url_captions, fields=caption_fields, spread_by=["shard", "member"])
+            place = ["shard", "member"]
+            planned = optional_captions(planned.drop("caption"), url_captions, fields=caption_fields, spread_by=place, count_from=valid)
         else:
             planned = planned.withColumn("caption", F.array("caption"))
         placed = place_by_range(planned, fetch_tasks(readable))
-        encoded = encode_images(placed, settings, ["shard", "image_id", "caption"], folder=folder)
-        good, bad = ledger.split_rejects(_stage(spark, encoded, space, run_id))
+        encoded = encode_images(placed, settings, ["shard", "member", "image_id", "caption"], folder=folder)
+        staged = _stage(spark, encoded, space, run_id)
+        _report(spark, staged, seen, space, run_id, len(paths), began)
+        good, bad = ledger.split_rejects(staged)
+        good, bad = good.drop("member"), bad.select("shard", "member", "image_id", "error")
+        malformed = meta.filter(~F.col("valid")).select("shard", "member", "image_id", F.lit("malformed sidecar").alias("error"))
+        bad = bad.unionByName(malformed)
         _write(at_precision(good, settings.precision), bad, space, run_id, "shard", settings.rows_per_file)
 
         usable = valid.select(F.col("shard").alias("path"), F.lit(True).alias("usable")).distinct()

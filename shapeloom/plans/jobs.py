@@ -30,6 +30,7 @@ from shapeloom.operators.consolidate import caption_map
 from shapeloom.operators.encoders import caption_images, encode_texts, model_token, once_per_worker
 from shapeloom.operators.joins import optional_captions, pair_members, required_captions, valid_metadata
 from shapeloom.operators.pixels import PLAN_COLUMNS, decode_with_pillow, encode_batch, image_seeds
+from shapeloom.operators.skew import fits_broadcast
 from shapeloom.sinks.writers import write_partitioned
 from shapeloom.sources.catalog import scan_catalog
 from shapeloom.sources.tar import ShardFiles, fetch_tasks, list_inputs, list_shards, place_by_range, scan_tar
@@ -205,26 +206,41 @@ def _rounds(spark: SparkSession, space: Workspace, listing: DataFrame, run: str,
         number += 1
 
 
-def _stage(spark: SparkSession, encoded: DataFrame, space: Workspace, run: str) -> DataFrame:
-    """Materialise encoder output once; the good/bad split and joins read it back."""
-    encoded.write.mode("overwrite").parquet(space.part("staged", run))
-    return spark.read.parquet(space.part("staged", run))
+def _write(encoded: DataFrame, space: Workspace, run: str, partition: str, settings: ImageSettings, rebalance: bool) -> Observation:
+    """Write good and rejected rows in one pass, told apart by the ``outcome`` folder."""
+    good = F.col("error").isNull()
+    counts = Observation()
+    rows = at_precision(encoded, settings.precision).withColumns(
+        {"run": F.lit(run), "outcome": F.when(good, F.lit("ok")).otherwise(F.lit("rejected"))}
+    )
+    counted = rows.observe(counts, F.count_if(good).alias("encoded"), F.count_if(~good).alias("rejected"))
+    columns = ["run", "outcome", partition]
+    write_partitioned(counted, space.data, columns, settings.rows_per_file, mode="append", rebalance=rebalance)
+    return counts
 
 
-def _write(good: DataFrame, bad: DataFrame, space: Workspace, run: str, partition: str, rows_per_file: int | None) -> None:
-    write_partitioned(good.withColumn("run", F.lit(run)), space.data, ["run", partition], rows_per_file)
-    bad.write.mode("overwrite").parquet(space.part("rejects", run))
+def _report(spark: SparkSession, space: Workspace, run: str, inputs: int, began: float, *counts: Observation) -> None:
+    """One row of counters per round, the input of the throughput functions."""
+    row = {"run": run, "inputs": inputs, "seconds": time.time() - began}
+    for c in counts:
+        row |= c.get
+    columns = [F.lit(v).alias(k) for k, v in row.items()]
+    spark.range(1).select(*columns, F.current_timestamp().alias("logged_at")).write.mode("append").parquet(space.metrics)
 
 
-def _report(spark: SparkSession, staged: DataFrame, observation: Observation, space: Workspace, run: str, inputs: int, began: float) -> None:
-    """One row of counters per round, the input of the throughput functions."""
-    counted = staged.agg(
-        F.count_if(F.col("error").isNull()).alias("encoded"), F.count_if(F.col("error").isNotNull()).alias("rejected")
-    )
-    seen = observation.get
-    fixed = {"run": run, "inputs": inputs, "images": seen["images"], "too_small": seen["too_small"], "seconds": time.time() - began}
-    row = counted.select(*[F.lit(v).alias(k) for k, v in fixed.items()], "encoded", "rejected", F.current_timestamp().alias("logged_at"))
-    row.write.mode("append").parquet(space.metrics)
+def _committed(spark: SparkSession, space: Workspace, outcome: str) -> DataFrame:
+    log = ledger.read_log(spark, space.log)
+    return ledger.read_committed(spark, space.data, log).filter(F.col("outcome") == outcome).drop("outcome")
+
+
+def read_output(spark: SparkSession, work: str) -> DataFrame:
+    """Rows of all committed rounds of a job."""
+    return _committed(spark, Workspace(work), "ok").drop("error")
+
+
+def read_rejects(spark: SparkSession, work: str) -> DataFrame:
+    """Rejected rows of all committed rounds, with their ``error``."""
+    return _committed(spark, Workspace(work), "rejected").drop("latent", "latent_shape", "text_embedding")
 
 
 def prepare_catalog(
@@ -242,6 +258,7 @@ def prepare_catalog(
     second_captions: DataFrame | None = None,
     on_missing: str = "fail",
     bucket_per_file: bool = False,
+    compact: bool = False,
     max_files: int = 10_000,
 ) -> DataFrame:
     """Parquet catalogue -> latents by resolution, with a ledger; returns all committed rows.
@@ -251,6 +268,9 @@ def prepare_catalog(
     ``make_text_encoder`` adds a ``text_embedding``. ``second_captions``
     (``image_id, caption``) turns the caption into a two-element list.
     ``bucket_per_file`` gives all images of a file the bucket of its first row.
+
+    By default nothing is exchanged: a task writes one file per resolution it meets.
+    ``compact`` shuffles the latents once for fewer, larger files.
     """
     space = Workspace(work)
     listing = list_inputs(spark, root, "*.parquet")
@@ -272,24 +292,26 @@ def prepare_catalog(
         sized = add_dimensions(images, "bytes")
         planned = plan_images(sized, settings, observation=seen)
         if bucket_per_file:
-            first = first_in_file(sized, "source_file", "source_row", settings.grid)
+            heads = add_dimensions(images.filter("source_row = 0"), "bytes")
+            first = first_in_file(heads, "source_file", "source_row", settings.grid)
             planned = replan(planned, first, "source_file", settings)
         if make_captioner is not None:
             planned = planned.withColumn("caption", caption_images([F.col(c) for c in ("width", "height", "caption")], make_captioner))
-        staged = _stage(spark, encode_images(planned, settings, keep, content="bytes"), space, run_id)
-        _report(spark, staged, seen, space, run_id, len(paths), began)
+        encoded = encode_images(planned, settings, keep, content="bytes")
         if make_text_encoder is not None:
-            staged = staged.withColumn("text_embedding", encode_texts(F.col("caption"), make_text_encoder).cast("array<float>"))
+            embedding = encode_texts(F.col("caption"), make_text_encoder)
+            encoded = encoded.withColumn("text_embedding", embedding.cast("array<float>"))
         if second_captions is not None:
             second = second_captions.select("image_id", F.col("caption").alias("second_caption"))
-            both = required_captions(staged, second, "image_id", "second_caption", on_missing)
-            staged = both.withColumn("caption", F.array("caption", "second_caption")).drop("second_caption")
-        good, bad = ledger.split_rejects(staged)
-        bad = bad.drop("latent", "latent_shape", "text_embedding")
-        _write(at_precision(good, settings.precision), bad, space, run_id, "resolution", settings.rows_per_file)
+            ids = scan_catalog(spark, root, paths, [key]).select(F.col(key).cast("string").alias("image_id"))
+            both = required_captions(encoded, second, "image_id", "second_caption", on_missing, count_from=ids)
+            encoded = both.withColumn("caption", F.array("caption", "second_caption")).drop("second_caption")
+            compact = compact or not fits_broadcast(second)  # such a join mixes resolutions in every task
+        written = _write(encoded, space, run_id, "resolution", settings, compact)
+        _report(spark, space, run_id, len(paths), began, seen, written)
         done = spark.createDataFrame([(p, ledger.FINISHED, run_id) for p in paths], "path string, status string, run string")
         ledger.append_log(done, space.log)
-    return ledger.read_committed(spark, space.data, ledger.read_log(spark, space.log))
+    return read_output(spark, work)
 
 
 def prepare_tar(
@@ -329,13 +351,10 @@ def prepare_tar(
             planned = planned.withColumn("caption", F.array("caption"))
         placed = place_by_range(planned, fetch_tasks(readable))
         encoded = encode_images(placed, settings, ["shard", "member", "image_id", "caption"], folder=folder)
-        staged = _stage(spark, encoded, space, run_id)
-        _report(spark, staged, seen, space, run_id, len(paths), began)
-        good, bad = ledger.split_rejects(staged)
-        good, bad = good.drop("member"), bad.select("shard", "member", "image_id", "error")
         malformed = meta.filter(~F.col("valid")).select("shard", "member", "image_id", F.lit("malformed sidecar").alias("error"))
-        bad = bad.unionByName(malformed)
-        _write(at_precision(good, settings.precision), bad, space, run_id, "shard", settings.rows_per_file)
+        rows = encoded.unionByName(malformed, allowMissingColumns=True)
+        written = _write(rows, space, run_id, "shard", settings, rebalance=False)
+        _report(spark, space, run_id, len(paths), began, seen, written)
 
         usable = valid.select(F.col("shard").alias("path"), F.lit(True).alias("usable")).distinct()
         taken = spark.createDataFrame([(p,) for p in paths], "path string")
@@ -344,7 +363,7 @@ def prepare_tar(
             F.when(F.col("error").isNotNull(), ledger.FAILED).when(F.col("usable"), ledger.FINISHED).otherwise(F.lit(ledger.EMPTY))
         )
         ledger.append_log(outcome.select("path", status.alias("status"), F.lit(run_id).alias("run"), "error"), space.log)
-    return ledger.read_committed(spark, space.data, ledger.read_log(spark, space.log))
+    return read_output(spark, work)
 
 
 def prepare_table(images: DataFrame, captions: DataFrame, settings: ImageSettings, image: str = "image", drop: list[str] | None = None, on_missing: str = "fail") -> DataFrame:

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from shapeloom.functions.arithmetic import int_div
 from shapeloom.functions.image_header import HEADER_BYTES, Truncated, read_header
 from shapeloom.sources.files import list_files, resolve
 
@@ -29,7 +28,6 @@ MEMBER_SCHEMA = (
     "width bigint, height bigint, mode string, error string"
 )
 ROWS_PER_BATCH = 4096
-RANGE_BYTES = 64 << 20
 TASK_BYTES = 256 << 20
 
 
@@ -186,15 +184,14 @@ def fetch_tasks(members: DataFrame) -> int:
 
 
 def place_by_range(members: DataFrame, tasks: int | None = None) -> DataFrame:
-    """Bring members of one byte range of a shard together, in file order.
+    """Give each task one contiguous stretch of members, in file order.
 
     Only (shard, offset, ...) rows move, and a large shard is read by several
     tasks. The task count is explicit because adaptive execution would size tasks
     by these slim rows instead of by the bytes they stand for.
     """
     tasks = tasks or int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    span = int_div(F.col("offset"), RANGE_BYTES)
-    return members.repartition(tasks, F.col("shard"), span).sortWithinPartitions("shard", "offset")
+    return members.repartitionByRange(tasks, "shard", "offset").sortWithinPartitions("shard", "offset")
 
 
 def fetch_members(members: DataFrame, folder: str, into: str = "bytes", tasks: int | None = None) -> DataFrame:

@@ -173,8 +173,7 @@ def test_one_partition_per_shard(spark, shards):
     assert tar.scan_tar(spark, str(shards), ["a.tar"]).rdd.getNumPartitions() == 1
 
 
-def test_payloads_come_back_by_range(spark, shards, monkeypatch):
-    monkeypatch.setattr(tar, "RANGE_BYTES", 2048)
+def test_payloads_come_back_by_range(spark, shards):
     members = tar.scan_tar(spark, str(shards), ["sub/b.tar"]).select("shard", "member", "offset", "size")
     fetched = tar.fetch_members(members, str(shards), tasks=4)
     rows = fetched.withColumn("task", F.spark_partition_id()).collect()

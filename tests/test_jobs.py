@@ -10,7 +10,7 @@ from shapeloom.functions.buckets import BucketGrid
 from shapeloom.functions.tensors import unpack_float16, unpack_fp8
 from shapeloom.operators import ledger, pixels
 from shapeloom.operators.encoders import block_mean_encoder, sampling_encoder, template_captioner
-from shapeloom.plans.jobs import ImageSettings, prepare_catalog, prepare_table, prepare_tar
+from shapeloom.plans.jobs import ImageSettings, prepare_catalog, prepare_table, prepare_tar, read_rejects
 from shapeloom.workload.standins import draw, open_png, png_bytes
 
 GRID = BucketGrid(32, 8, 16, 64)
@@ -75,7 +75,7 @@ def test_catalogue_job(spark, catalogue):
         np.testing.assert_allclose(np.array(row.latent), latent.ravel(), atol=1e-4)
     log = ledger.read_log(spark, f"{work}/log").filter("status = 'finished'").collect()
     assert len(log) == 2 and len({r.run for r in log}) == 2, "one round per file"
-    rejects = {r.image_id: r.error for r in spark.read.parquet(f"{work}/rejects").collect()}
+    rejects = {r.image_id: r.error for r in read_rejects(spark, work).collect()}
     assert set(rejects) == {"3", "5"} and rejects["5"] == "unreadable image header"
     counts = spark.read.parquet(f"{work}/metrics").agg(*[F.sum(c).alias(c) for c in ("inputs", "images", "too_small", "encoded", "rejected")])
     assert tuple(counts.first()) == (2, 40, 1, 37, 2), "every image is kept, skipped or rejected"
@@ -189,7 +189,7 @@ def test_tar_job(spark, shards):
         np.testing.assert_allclose(np.array(row["values"]), latent.ravel().astype(np.float16), atol=2e-3)
     status = {r.path: r.status for r in ledger.read_log(spark, f"{work}/log").filter("status <> 'started'").collect()}
     assert status == {"good.tar": "finished", "more.tar": "finished", "empty.tar": "empty", "unpaired.tar": "empty", "cut.tar": "failed"}
-    rejects = {r.member: r.error for r in spark.read.parquet(f"{work}/rejects").collect()}
+    rejects = {r.member: r.error for r in read_rejects(spark, work).collect()}
     assert set(rejects) == {"img/2.jpg", "img/6.jpg"} and rejects["img/2.jpg"] == "malformed sidecar"
     assert prepare_tar(spark, folder, work, "s", settings).count() == 21, "quarantined and finished shards are left alone"
 

@@ -195,7 +195,10 @@ def place_by_range(members: DataFrame, tasks: int | None = None) -> DataFrame:
 
 
 def fetch_members(members: DataFrame, folder: str, into: str = "bytes", tasks: int | None = None) -> DataFrame:
-    """Read the payload of each ``(shard, offset, size)`` row."""
+    """Read the payload of each ``(shard, offset, size)`` row.
+
+    Placing the rows samples them first, so store a listing before fetching from it.
+    """
     schema = T.StructType([*members.schema.fields, T.StructField(into, T.BinaryType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -145,7 +145,7 @@ SELECT shard, member, octet_length(encode(payload)) AS size, CASE WHEN member LI
 )
 def scan_tar(spark, sf_dir):
     """Pages as shards of 64; members listed from headers, payloads fetched by byte range."""
-    out = shared_dir(spark, "tar")
+    out, listing = shared_dir(spark, "tar"), shared_dir(spark, "tar-members")
     pages = table(spark, sf_dir, "pages")
     number = F.col("page_id").cast("string")
     members = F.array(
@@ -157,8 +157,8 @@ def scan_tar(spark, sf_dir):
     )
     shard = F.concat(F.lit("shard_"), F.floor(F.col("page_id") / 64).cast("string"))
     write_shards(pages.select(shard.alias("shard"), F.explode(members).alias("m")).select("shard", "m.*"), out)
-    listed = tar.scan_tar(spark, out).select("shard", "member", "offset", "size", "content")
-    fetched = tar.fetch_members(listed, out)
+    tar.scan_tar(spark, out).select("shard", "member", "offset", "size", "content").write.parquet(listing)
+    fetched = tar.fetch_members(spark.read.parquet(listing), out)
     return fetched.select("shard", "member", "size", "content", F.md5("bytes").alias("digest"))
 
 

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 from check import compare, connect
+from shapeloom import workload
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 
@@ -17,7 +18,10 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+workload.load_all()
+
+
+@pytest.mark.parametrize("name", sorted(workload.QUERIES))
 def test_query_matches_sql(spark, con, name):
     oracle = entry_point.oracle_sql()
     assert name in oracle

@@ -73,3 +73,18 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(l.text, '') EN
        coalesce(r.n, 0) AS lines_removed, coalesce(r.spans, 0) AS spans_removed
 FROM d LEFT JOIN runs r USING (doc_id) LEFT JOIN left_over l USING (doc_id)
 """
+
+
+def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """``docs`` after ``dedup_lines``, same columns; ``chars_col``, if there, is counted anew.
+
+    Documents that lost all their text go; those that had none stay.
+    """
+    work = docs.withColumnsRenamed({c: f"__in_{c}" for c in docs.columns})
+    out = dedup_lines(work, f"__in_{id_col}", f"__in_{text_col}")
+    out = out.where((F.col("lines_removed") == 0) | (F.length(f"__in_{text_col}") > 0))
+    if chars_col in docs.columns:
+        kind = docs.schema[chars_col].dataType
+        changed = F.length(f"__in_{text_col}").cast(kind)
+        out = out.withColumn(f"__in_{chars_col}", F.when(F.col("lines_removed") > 0, changed).otherwise(F.col(f"__in_{chars_col}")))
+    return out.select(*[F.col(f"__in_{c}").alias(c) for c in docs.columns])

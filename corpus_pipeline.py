@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shapeloom.llm import lines, mixing, quality
+from shapeloom.llm import lines, mixing, ngram_join, quality
 from shapeloom.llm import queries as q
 from shapeloom.llm.common import ship, stored
 from shapeloom.session import table
@@ -23,6 +23,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return lines.without_repeated_lines(docs)
 
 
+def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every near-duplicate class."""
+    return ngram_join.one_of_each(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their rate says."""
     return mixing.mixed(docs, q.label_domains(spark, sf_dir), q.MIX_TARGETS, anchor="clean")
@@ -31,6 +36,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", reject_poor),
     ("line dedup", drop_repeated_lines),
+    ("n-gram Jaccard join", one_of_each_class),
     ("mixing sources to target weights", mix),
 ]
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shapeloom.llm import lines, mixing, quality
+from shapeloom.llm import lines, mixing, ngram_join, quality
 from shapeloom.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,9 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.classify_quality(docs)
     return scored.select("doc_id", "quality_score", (F.col("quality_score") >= 0.5).alias("keep"))
+
+
+@query
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.ngram_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumnRenamed("id", "doc_id")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shapeloom.llm import lines, mixing, ngram_join, quality
+from shapeloom.llm import lines, mixing, ngram_join, pieces, quality
 from shapeloom.llm import queries as q
 from shapeloom.llm.common import ship, stored
 from shapeloom.session import table
@@ -33,11 +34,19 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs, q.label_domains(spark, sf_dir), q.MIX_TARGETS, anchor="clean")
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, with its id and source."""
+    model = pieces.load_model()
+    encoded = pieces.with_pieces(docs, model)
+    return encoded.select("doc_id", "lang", "source", F.size("pieces").alias("n_pieces"), "pieces")
+
+
 STAGES = [
     ("quality classifier", reject_poor),
     ("line dedup", drop_repeated_lines),
     ("n-gram Jaccard join", one_of_each_class),
     ("mixing sources to target weights", mix),
+    ("SentencePiece encoding and decoding", encode),
 ]
 
 

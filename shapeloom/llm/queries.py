@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shapeloom.llm import lines, mixing, ngram_join, quality
+from shapeloom.llm import lines, mixing, ngram_join, pieces, quality
 from shapeloom.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,11 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.ngram_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.load_model()
+    docs = pieces.with_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    read = docs.withColumn("back", pieces.decode(F.col("pieces"), model))
+    return read.select("doc_id", F.size("pieces").alias("n_pieces"), "pieces", F.col("back").eqNullSafe(F.col("text")).alias("lossless"))

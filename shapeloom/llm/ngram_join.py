@@ -18,14 +18,15 @@ size of their bucket or cluster.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shapeloom.llm.common import mix, run_starts, ship, slices, stored, text_buffers, whole_groups
+from shapeloom.llm import blocks
+from shapeloom.llm.common import mix, ship, slices, stored, text_buffers
 from shapeloom.llm.components import connected_components
 from shapeloom.llm.words import distinct_sorted, word_ngrams
 
@@ -98,7 +99,7 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int, seed: int) -> Dat
 
 
 def _full_sets(rows: DataFrame, n: int) -> DataFrame:
-    """Adds the sorted n-gram set of ``text`` as bytes; drops rows whose set is not the one of the class."""
+    """Adds the sorted n-gram set of ``text`` as ``payload``; drops rows whose set is not the one of the class."""
     carried = [f for f in rows.schema.fields if f.name not in ("text", "d1", "d2")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,11 +111,11 @@ def _full_sets(rows: DataFrame, n: int) -> DataFrame:
                 part = batch.slice(a, b - a)
                 same = (d1 == part["d1"].to_numpy()) & (d2 == part["d2"].to_numpy())
                 packed = pa.array([grams[at[i] : at[i + 1]].tobytes() for i in range(b - a)], pa.binary())
-                out = pa.RecordBatch.from_arrays([*[part[f.name] for f in carried], packed], [*[f.name for f in carried], "grams"])
+                out = pa.RecordBatch.from_arrays([*[part[f.name] for f in carried], packed], [*[f.name for f in carried], "payload"])
                 yield out.filter(pa.array(same))
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in carried)
-    return rows.mapInArrow(run, f"{schema}, grams binary")
+    return rows.mapInArrow(run, f"{schema}, payload binary")
 
 
 def _shared(grams: list[np.ndarray], split: int) -> np.ndarray:
@@ -137,60 +138,15 @@ def _shared(grams: list[np.ndarray], split: int) -> np.ndarray:
     return out
 
 
-def _local_roots(linked: np.ndarray) -> np.ndarray:
-    """Smallest position reachable over a symmetric matrix of links."""
-    root = np.arange(len(linked))
-    while True:
-        near = np.where(linked, root[None, :], len(root)).min(1)
-        new = np.minimum(root, near)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
-def _verify(similarity: float):
-    def compare(ids: np.ndarray, mult: np.ndarray, grams: list[np.ndarray], split: int) -> tuple[np.ndarray, np.ndarray]:
-        """Links of every member to members of the other block (or its own), and its smallest linked member."""
+def _alike(similarity: float) -> Callable[[list[bytes], int], np.ndarray]:
+    def linked(packed: list[bytes], split: int) -> np.ndarray:
+        grams = [np.frombuffer(g, np.uint64) for g in packed]
         sizes = np.array([len(g) for g in grams], np.float64)
-        rest = len(grams) - split
         shared = _shared(grams, split).astype(np.float64)
-        left, right = sizes[:split], sizes[split:] if rest else sizes
-        union = left[:, None] + right[None, :] - shared
-        linked = shared >= similarity * union - 1e-9
-        if not rest:
-            np.fill_diagonal(linked, False)
-            return linked @ mult, ids[_local_roots(linked)]
-        links = np.append(linked @ mult[split:], linked.T @ mult[:split])
-        whole = np.zeros((len(grams), len(grams)), bool)
-        whole[:split, split:] = linked
-        whole[split:, :split] = linked.T
-        by_id = np.argsort(ids, kind="stable")
-        roots = np.empty(len(ids), np.int64)
-        roots[by_id] = ids[by_id][_local_roots(whole[np.ix_(by_id, by_id)])]
-        return links, roots
+        union = sizes[:split, None] + (sizes[split:] if split < len(grams) else sizes)[None, :] - shared
+        return shared >= similarity * union - 1e-9
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = ["cluster", "lo", "hi"]
-        for table in whole_groups(batches, keys):
-            cluster, lo, hi, block, rep, mult, blocks = (table[c].to_numpy() for c in ("cluster", "lo", "hi", "block", "rep", "mult", "blocks"))
-            packed = table["grams"].combine_chunks() if table["grams"].num_chunks != 1 else table["grams"].chunk(0)
-            bounds = run_starts(cluster, lo, hi)
-            out = []
-            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                rows = np.arange(a, b)
-                rows = rows[np.append(True, (rep[rows[1:]] != rep[rows[:-1]]))]  # repeated rows of one document
-                sets = [np.frombuffer(packed[int(i)].as_buffer(), np.uint64) for i in rows]
-                split = len(rows) if lo[a] == hi[a] else int((block[rows] == lo[a]).sum())
-                if split == 0 or (lo[a] != hi[a] and split == len(rows)):
-                    continue
-                links, roots = compare(rep[rows], mult[rows], sets, split)
-                found = np.flatnonzero(links > 0)
-                out.append((rep[rows][found], links[found], roots[found], np.full(len(found), blocks[a])))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out, strict=True)], ["rep", "links", "root", "blocks"])
-
-    return run
+    return linked
 
 
 def ngram_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: float = 0.8, recall: float = 0.99999, max_hashes: int = 256, seed: int = 17) -> DataFrame:
@@ -219,22 +175,9 @@ def ngram_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     edges = keyed.join(hubs, ["band", "h"]).where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     clusters = connected_components(edges).withColumnsRenamed({"id": "rep", "component": "cluster"})
     members = stored(clusters.join(classes.drop("bands"), "rep"), "members")
-    sizes = members.groupBy("cluster").agg(F.greatest(F.ceil(F.count(F.lit(1)) / _BLOCK_SETS), F.ceil(F.sum("n_grams") / _BLOCK_GRAMS)).cast("int").alias("blocks"))
-    members = members.join(stored(sizes, "sizes"), "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-
-    sets = _full_sets(members.join(texts.withColumnRenamed("id", "rep"), "rep").select("cluster", "blocks", "block", "rep", "mult", "d1", "d2", "text"), n)
-    pairs = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs = pairs.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other")
-    keys = ["cluster", "lo", "hi"]
-    dealt = pairs.repartition(*keys).sortWithinPartitions(*keys, "block", "rep")
-    found = stored(dealt.mapInArrow(_verify(similarity), "rep long, links long, root long, blocks long"), "found")
-
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"), F.min("root").alias("root"), F.max("blocks").alias("blocks"))
-    several = found.where("blocks > 1").select(F.col("rep").alias("a"), F.col("root").alias("b"))
-    if not several.isEmpty():
-        joined = connected_components(several).withColumnRenamed("id", "rep")
-        links = links.join(joined, "rep", "left").withColumn("root", F.coalesce("component", "root"))
-    links = stored(links.select("rep", "links", "root"), "links")
+    members = blocks.assign(members, {_BLOCK_SETS: F.count(F.lit(1)), _BLOCK_GRAMS: F.sum("n_grams")})
+    sets = _full_sets(members.join(texts.withColumnRenamed("id", "rep"), "rep").select(*blocks.MEMBER, "d1", "d2", "text"), n)
+    links = blocks.links_within(sets, _alike(similarity))
 
     by_class = classes.select("d1", "d2", "n_grams", "rep", "mult").join(links, "rep", "left")
     by_class = stored(by_class.select("d1", "d2", "n_grams", "rep", F.coalesce("root", "rep").alias("root"), (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("links")), "by_class")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shapeloom.llm import lines, mixing, ngram_join, pieces, quality
+from shapeloom.llm import lines, mixing, ngram_join, pieces, quality, vectors
 from shapeloom.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,8 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pieces.with_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
     read = docs.withColumn("back", pieces.decode(F.col("pieces"), model))
     return read.select("doc_id", F.size("pieces").alias("n_pieces"), "pieces", F.col("back").eqNullSafe(F.col("text")).alias("lossless"))
+
+
+@query
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")

@@ -30,6 +30,15 @@ class DomainModel:
     weights: list[list[float]]
 
 
+def _numbers(values: list[float]) -> Column:
+    """A constant array that the plan holds as one value, however long."""
+    return F.split(F.lit(",".join(map(repr, map(float, values)))), ",").cast("array<double>")
+
+
+def _strings(values: list[str]) -> Column:
+    return F.split(F.lit("\x01".join(values)), "\x01")
+
+
 def words_of(text: Column) -> Column:
     """Lower-case words of a text without the punctuation around them (null: none)."""
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\s.,;:()\"]+"), "")
@@ -92,7 +101,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, domain_col: str = "domain",
 def _fit_softmax(sample: DataFrame, domains: list[str], vocabulary: list[str], ridge: float, rounds: int = 20) -> tuple[list[float], list[list[float]]]:
     """Limited-memory quasi-Newton; every evaluation is one aggregate over the stored sample."""
     k, v = len(domains), len(vocabulary)
-    stored_sample = stored(sample.select(F.array_position(F.lit(domains), F.col("domain")).alias("y"), _places(F.col("f"), vocabulary).alias("at")), "sample")
+    stored_sample = stored(sample.select(F.array_position(_strings(domains), F.col("domain")).alias("y"), _places(F.col("f"), vocabulary).alias("at")), "sample")
     n = stored_sample.count()
 
     def evaluate(x: np.ndarray) -> tuple[float, np.ndarray]:
@@ -150,12 +159,12 @@ def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def _places(found: Column, vocabulary: list[str]) -> Column:
     """Positions in the vocabulary of the features that a document has."""
-    known = F.lit(vocabulary or [""])
+    known = _strings(vocabulary or [""])
     return F.transform(F.array_intersect(found, known), lambda w: F.array_position(known, w).cast("int") - 1)
 
 
 def _scores(places: Column, base: list[float], flat_weights: list[float], k: int) -> Column:
-    flat = F.lit(flat_weights or [0.0])
+    flat = _numbers(flat_weights or [0.0])
 
     def score(j: int) -> Column:
         return F.aggregate(places, F.lit(float(base[j])), lambda s, i: s + F.get(flat, i * k + j))
@@ -182,7 +191,7 @@ def rate_of(chances: Column, steps: list[list[float]]) -> Column:
     if not steps:
         return F.lit(1.0)
     k = len(steps[0])
-    flat = F.lit([x for step in steps for x in step])
+    flat = _numbers([x for step in steps for x in step])
 
     def follow(rate: Column, i: Column) -> Column:
         for j in range(k):

@@ -45,7 +45,7 @@ def words_of(text: Column) -> Column:
 
 
 def features(text: Column, words: Column) -> Column:
-    """Distinct words and four traits of a text in coarse steps."""
+    """Words and four traits of a text in coarse steps; words may repeat."""
     text = F.coalesce(text, F.lit(""))
     chars = F.greatest(F.length(text), F.lit(1))
 
@@ -57,7 +57,7 @@ def features(text: Column, words: Column) -> Column:
 
     size = F.concat(F.lit(" size "), F.floor(F.log2(chars.cast("double")) / 2).cast("string"))
     traits = F.array(step("capitals", r"\p{Lu}+"), step("marks", r"[^\p{L}\p{N}\s.,;:?'-]+"), step("stops", r"[.?]+"), size)
-    return F.concat(F.array_distinct(words), traits)
+    return F.concat(words, traits)
 
 
 def fit_domains(docs: DataFrame, labels: DataFrame, domain_col: str = "domain", id_col: str = "doc_id", text_col: str = "text", max_rows: int = 20_000, max_vocabulary: int = 200, least_documents: int = 10, least_surprise: float = 5.0, least_ratio: float = 4.0, ridge: float = 1e-4, seed: int = 11) -> DomainModel:
@@ -77,7 +77,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, domain_col: str = "domain",
         raise ValueError("no labelled rows to learn domains from")
     picked = labels.where(share("id", seed=seed) < max_rows / total)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
-    marked = rows.select("domain", F.explode(F.concat(features(F.col("text"), words_of(F.col("text"))), F.array(F.lit("")))).alias("w"))
+    marked = rows.select("domain", F.explode(F.array_append(F.array_distinct(features(F.col("text"), words_of(F.col("text")))), F.lit(""))).alias("w"))
     counted = stored(marked.groupBy("w", "domain").agg(F.count(F.lit(1)).alias("n")), "features")
     kept = {r["domain"]: r["n"] for r in counted.where("w = ''").collect()}
     if not kept:
@@ -264,20 +264,23 @@ def copies_of(rate: Column, *key: Column | str, seed: int = 13) -> Column:
     return (F.floor(rate) + (share(*key, seed=seed) < rate - F.floor(rate)).cast("long")).cast("long")
 
 
-def mix_rates(docs: DataFrame, labels: DataFrame, weights: dict[str, float], anchor: str, domain_col: str = "domain", id_col: str = "doc_id", text_col: str = "text", out: str = "", **fit: int) -> tuple[DataFrame, Mixture]:
+def mix_rates(docs: DataFrame, labels: DataFrame, weights: dict[str, float], anchor: str, carry: list[str] | None = None, domain_col: str = "domain", id_col: str = "doc_id", text_col: str = "text", out: str = "", **fit: int) -> tuple[DataFrame, Mixture]:
     """``docs`` with ``tokens``, ``chances`` (array by domain), ``rate`` and ``copies``, and the fitted mixture.
 
-    ``out`` is a prefix for the new columns, which replace columns of their names.
+    ``carry`` names the columns of ``docs`` to return (default: all); ``out`` is a
+    prefix for the new columns, which replace columns of their names.
     Null and empty texts have no tokens: they follow the prior and count nothing.
     Rows with a null id share one rounding. Repeated rows are separate rows with
-    the same rate. An empty table gives an empty table. Texts are scanned twice
-    (once for totals, once for the result) and never shuffled.
+    the same rate. An empty table gives an empty table. Texts are judged in one
+    scan, written with the columns to carry, and never shuffled.
     """
     model = fit_domains(docs, labels, domain_col, id_col, text_col, **fit)
-    slim = with_chances(docs.select(F.col(text_col).alias("text")), model).select(F.col("__tokens").alias("tokens"), F.col("__chances").alias("chances"))
-    mixture = fit_rates(stored(slim, "chances"), model.domains, weights, anchor)
-    rated = with_chances(docs, model, text_col).withColumn("__rate", rate_of(F.col("__chances"), mixture.steps))
-    rated = rated.withColumn("__copies", copies_of(F.col("__rate"), F.col(id_col)))
+    new = ("__tokens", "__chances", "__key")
+    judged = with_chances(docs, model, text_col).withColumn("__key", F.col(id_col))
+    judged = stored(judged.select(*(docs.columns if carry is None else carry), *new), "chances")
+    mixture = fit_rates(judged.select(F.col("__tokens").alias("tokens"), F.col("__chances").alias("chances")), model.domains, weights, anchor)
+    rated = judged.withColumn("__rate", rate_of(F.col("__chances"), mixture.steps))
+    rated = rated.withColumn("__copies", copies_of(F.col("__rate"), "__key")).drop("__key")
     for name in ("tokens", "chances", "rate", "copies"):
         rated = rated.withColumn(out + name, F.col(f"__{name}")).drop(f"__{name}")
     return rated, mixture

@@ -39,7 +39,7 @@ ORACLE["op4_line_dedup"] = lines.LINES_SQL
 @query
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    rated, _ = mixing.mix_rates(docs, label_domains(spark, sf_dir), MIX_TARGETS, anchor="clean")
+    rated, _ = mixing.mix_rates(docs, label_domains(spark, sf_dir), MIX_TARGETS, anchor="clean", carry=["doc_id", "source"])
     return rated.select("doc_id", "source", "tokens", "chances", "rate", "copies")
 
 

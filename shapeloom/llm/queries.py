@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shapeloom.llm import chat, lines, mixing, ngram_join, pieces, quality, vectors
+from shapeloom.llm import chat, fingerprints, lines, mixing, ngram_join, pieces, quality, vectors
 from shapeloom.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,8 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(coalesce(role, '') || chr
        sum(length(coalesce(role, '')) + length({_escaped_sql()}) + 24)::BIGINT AS formatted_chars
 FROM t GROUP BY conv_id
 """
+
+
+@query
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_versions(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")

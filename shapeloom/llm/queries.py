@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shapeloom.llm import chat, fingerprints, lines, mixing, ngram_join, pieces, quality, vectors
+from shapeloom.llm import chat, fingerprints, licenses, lines, mixing, ngram_join, pieces, quality, vectors
 from shapeloom.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,10 @@ FROM t GROUP BY conv_id
 @query
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_versions(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan_licenses(docs).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", "licenses", F.size("found").cast("long").alias("n_found"), "found")

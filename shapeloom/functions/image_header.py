@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,7 +69,20 @@ def _jpeg(data: bytes) -> Header:
 HEADER_TYPE = "width bigint, height bigint, mode string"
 
 
-def _parse_all(contents: pd.Series) -> pd.DataFrame:
+def _decoded_size(content: bytes, decode: Callable[[bytes], np.ndarray] | None) -> tuple[int | None, int | None, str | None]:
+    """Size of an image of a format that the header parser does not know, if ``decode`` can read it."""
+    if decode is None:
+        return None, None, None
+    try:
+        height, width = decode(content).shape[:2]
+    except (ImportError, MemoryError):
+        raise
+    except Exception:  # no image for the decoder either: the row is rejected later
+        return None, None, None
+    return width, height, "RGB"
+
+
+def _parse_all(contents: pd.Series, decode: Callable[[bytes], np.ndarray] | None = None, whole: bool = True) -> pd.DataFrame:
     rows = []
     for content in contents:
         try:
@@ -76,28 +90,38 @@ def _parse_all(contents: pd.Series) -> pd.DataFrame:
         except Truncated:
             rows.append((None, None, "short"))
         except ValueError:
-            rows.append((None, None, None))
+            if decode is None:
+                rows.append((None, None, None))
+            elif whole or len(content) < HEADER_BYTES:
+                rows.append(_decoded_size(content, decode))
+            else:
+                rows.append((None, None, "short"))
     frame = pd.DataFrame(rows, columns=["width", "height", "mode"])
     return frame.astype({"width": "Int64", "height": "Int64"})
 
 
-def add_dimensions(df: DataFrame, content: str = "content") -> DataFrame:
+def add_dimensions(df: DataFrame, content: str = "content", decode: Callable[[bytes], np.ndarray] | None = None) -> DataFrame:
     """Add ``width, height, mode``; all null where the bytes are no readable image.
 
+    ``decode`` (bytes to ``[h, w, ...]``) sizes formats that the header parser does not know.
+
     Only the first 64 KiB of each value crosses to Python. A header that reaches
     further is retried on the whole value, in a second function that every other
     row passes through with a null.
     """
 
-    @F.pandas_udf(HEADER_TYPE)
-    def parse(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for series in batches:
-            yield _parse_all(series)
+    def parser(whole: bool):
+        @F.pandas_udf(HEADER_TYPE)
+        def parse(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            for series in batches:
+                yield _parse_all(series, decode, whole)
+
+        return parse.asNondeterministic()  # filters on the result must not repeat the call
 
-    parse = parse.asNondeterministic()  # filters on the result must not repeat the call
+    parse, parse_whole = parser(False), parser(True)
     first = df.withColumn("header", parse(F.substring(F.col(content), 1, HEADER_BYTES)))
     unfinished = (F.col("header.mode") == "short") & (F.length(content) > HEADER_BYTES)
-    retried = first.withColumn("header_long", parse(F.when(unfinished, F.col(content))))
+    retried = first.withColumn("header_long", parse_whole(F.when(unfinished, F.col(content))))
     best = F.when(unfinished, F.col("header_long")).otherwise(F.col("header"))
 
     def field(name: str) -> Column:

@@ -26,19 +26,23 @@ TEXT_WIDTH = 1152
 
 
 _loaded: dict[str, object] = {}
-MODELS_KEPT = 4
 
 
-def model_token() -> str:
-    """Names one use of a model in a plan; taken on the driver and sent along with the task."""
-    return uuid.uuid4().hex
+def model_token(job: str | None = None, role: str = "model") -> str:
+    """Names one use of a model; taken on the driver and sent along with the task.
+
+    Uses that name the same ``job`` and ``role`` share one loaded model, round after
+    round; a worker drops the models of other jobs when it loads one.
+    """
+    return f"{job or uuid.uuid4().hex}/{role}"
 
 
 def once_per_worker(token: str, make_fn: Callable):
     """The model of ``token``, loaded at its first use in this worker process."""
     if token not in _loaded:
-        while len(_loaded) >= MODELS_KEPT:
-            _loaded.pop(next(iter(_loaded)))
+        job = token.partition("/")[0]
+        for other in [t for t in _loaded if t.partition("/")[0] != job]:
+            del _loaded[other]
         _loaded[token] = make_fn()
     return _loaded[token]
 
@@ -56,9 +60,9 @@ def encode_tensors(values: Column, make_fn: Callable, input_width: int, batch_si
     return run_once(model)(values)
 
 
-def encode_texts(texts: Column, make_fn: Callable[[], Callable[[list[str]], np.ndarray]], batch_size: int = 32) -> Column:
+def encode_texts(texts: Column, make_fn: Callable[[], Callable[[list[str]], np.ndarray]], batch_size: int = 32, token: str | None = None) -> Column:
     """Strings -> ``ARRAY<DOUBLE>`` embeddings; null text counts as empty."""
-    token = model_token()
+    token = token or model_token()
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -73,15 +77,15 @@ def encode_texts(texts: Column, make_fn: Callable[[], Callable[[list[str]], np.n
     return run_once(run)(texts)
 
 
-def caption_images(columns: list[Column], make_fn: Callable[[], Callable[[pd.DataFrame], list[str]]]) -> Column:
-    """Image columns -> caption strings. Pass original or resized images as the caller prefers."""
-    token = model_token()
+def caption_images(columns: list[Column], make_fn: Callable[[], Callable[[pd.DataFrame], list[str]]], token: str | None = None, prepare: Callable[[pd.DataFrame], pd.DataFrame] | None = None) -> Column:
+    """Image columns -> caption strings. ``prepare`` may decode or resize a batch before the model sees it."""
+    token = token or model_token()
 
     @F.pandas_udf(T.StringType())
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         model = once_per_worker(token, make_fn)
         for frame in batches:
-            yield pd.Series(model(frame), dtype=object)
+            yield pd.Series(model(prepare(frame) if prepare else frame), dtype=object)
 
     return run_once(run)(F.struct(*columns))
 

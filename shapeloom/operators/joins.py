@@ -10,10 +10,10 @@ from shapeloom.functions.captions import SHORT_CAPTION_FIELDS, caption_list, tru
 from shapeloom.operators.skew import lookup_join
 
 
-def pair_members(members: DataFrame, shard: str = "shard", member: str = "member", content: str = "content", carry: list[str] | None = None) -> DataFrame:
+def pair_members(members: DataFrame, shard: str = "shard", member: str = "member", content: str = "content", carry: list[str] | None = None, how: str = "inner") -> DataFrame:
     """``(shard, member, stem, json_member, json_text, *carry)``: images with their sidecar.
 
-    Equi-join on the stem inside a shard; images without a sidecar fall out. Where
+    Equi-join on the stem inside a shard; images without a sidecar fall out unless ``how`` is 'left'. Where
     several sidecars share a stem the first by member name wins, chosen with a
     map-side-combined ``min_by``. ``carry`` names image columns to keep; leave
     pixel bytes out of it and fetch them after the join, so they are never shuffled.
@@ -29,7 +29,7 @@ def pair_members(members: DataFrame, shard: str = "shard", member: str = "member
             F.min_by(F.col(content).cast("string"), F.col(member)).alias("json_text"),
         )
     )
-    return lookup_join(images, sidecars, [shard, "stem"], spread_by=[member], how="inner")
+    return lookup_join(images, sidecars, [shard, "stem"], spread_by=[member], how=how)
 
 
 def valid_metadata(df: DataFrame, fields: list[str]) -> DataFrame:
@@ -49,15 +49,23 @@ def optional_captions(images: DataFrame, captions: DataFrame, url: str = "url",
     return joined.withColumn(into, caption_list(F.col(caps), fields or SHORT_CAPTION_FIELDS)).drop(caps)
 
 
+def one_caption(captions: DataFrame, key: str, caption: str) -> DataFrame:
+    """One row per key; a key with different captions raises, repeated rows do not."""
+    different = F.count_distinct(F.struct(F.col(caption))) > 1
+    message = F.concat(F.lit("several captions for key "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+    return captions.groupBy(key).agg(F.when(different, F.raise_error(message).cast("string")).otherwise(F.min(caption)).alias(caption))
+
+
 def required_captions(images: DataFrame, captions: DataFrame, key: str = "image_id", caption: str = "caption", on_missing: str = "fail", spread_by: list[str] | None = None, count_from: DataFrame | None = None) -> DataFrame:
     """Attach the caption of each key. ``on_missing``: 'fail' the job, 'drop' the row, or 'null'.
 
-    A key that is listed with a null caption counts as found. Where computing
-    ``images`` is costly, pass a cheap table with the same keys as ``count_from``.
+    A key that is listed with a null caption counts as found; one that is listed
+    with several captions stops the job (``last_wins`` settles such lists). Where
+    computing ``images`` is costly, pass a cheap table with the same keys as ``count_from``.
     """
     if on_missing not in ("fail", "drop", "null"):
         raise ValueError(f"on_missing must be fail, drop or null, not {on_missing}")
-    lookup = captions.select(key, caption)
+    lookup = one_caption(captions, key, caption)
     if on_missing == "drop":
         return lookup_join(images, lookup, [key], spread_by, "inner", count_from)
     if on_missing == "null":

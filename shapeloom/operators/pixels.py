@@ -9,6 +9,7 @@ from __future__ import annotations
 import io
 import zlib
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,13 @@ CUBIC_ANTIALIASED = -0.5
 CUBIC_INTERPOLATED = -0.75
 
 
+class SetupFault(RuntimeError):
+    """Nothing can work here; no fault of the row at hand."""
+
+
+SETUP_FAULTS = (SetupFault, ImportError, MemoryError)
+
+
 def rgb_from_bytes(data: bytes, height: int, width: int, channels: int, order: str = "BGR") -> np.ndarray:
     """``[h, w, 3]`` uint8 RGB from interleaved bytes (Spark's image source is BGR/BGRA)."""
     raw = np.frombuffer(data, dtype=np.uint8).reshape(height, width, channels)
@@ -36,7 +44,7 @@ def decode_with_pillow(content: bytes) -> np.ndarray:
     try:
         from PIL import Image
     except ImportError as missing:
-        raise RuntimeError("decoding encoded bytes needs Pillow or your own decode function") from missing
+        raise SetupFault("decoding encoded bytes needs Pillow or your own decode function") from missing
     return np.asarray(Image.open(io.BytesIO(content)).convert("RGB"))
 
 
@@ -51,6 +59,7 @@ def _lanczos(x: np.ndarray) -> np.ndarray:
     return np.where(np.abs(x) < 3, np.sinc(x) * np.sinc(x / 3), 0.0)
 
 
+@lru_cache(maxsize=256)
 def resample_weights(source: int, target: int, kernel: str) -> tuple[np.ndarray, np.ndarray]:
     """(tap indices, tap weights), each ``[target, taps]``, of a 1-D resize.
 
@@ -180,7 +189,10 @@ def encode_batch(
 ) -> tuple[list[np.ndarray | None], list[str | None]]:
     """(latents, errors) for rows of one bucket size; a bad image only loses its own row.
 
-    With ``seeds`` the encoder is called as ``encode(images, seeds)``.
+    With ``seeds`` the encoder is called as ``encode(images, seeds)``. An encoder that
+    fails on a batch is tried on its halves, down to single images. Faults of the
+    setup (a missing decoder or package, no memory) and an encoder that fails on
+    every image of a batch of several fail the task instead of the rows.
     """
     stacked, places = [], []
     latents: list[np.ndarray | None] = [None] * len(frame)
@@ -189,14 +201,26 @@ def encode_batch(
         try:
             stacked.append(normalized_chw(carry_out(decode(data), plan, kernel)))
             places.append(place)
-        except Exception as problem:  # any decoder failure is that row's reject
-            errors[place] = f"{type(problem).__name__}: {problem}"[:500]
-    if stacked:
+        except SETUP_FAULTS:
+            raise
+        except Exception as problem:  # any other decoder failure is that row's reject
+            errors[place] = f"{type(problem).__name__}: {problem}"
+
+    def attempt(first: int, last: int) -> None:
         try:
-            extra = () if seeds is None else (seeds[places],)
-            for place, latent in zip(places, encode(np.stack(stacked), *extra)):
+            extra = () if seeds is None else (seeds[places[first:last]],)
+            made = encode(np.stack(stacked[first:last]), *extra)
+            for place, latent in zip(places[first:last], made, strict=True):
                 latents[place] = latent
-        except Exception as problem:  # a failed batch loses its rows only
-            for place in places:
-                errors[place] = f"{type(problem).__name__}: {problem}"[:500]
+        except Exception as problem:
+            if last - first == 1:
+                errors[places[first]] = f"{type(problem).__name__}: {problem}"
+                return
+            attempt(first, (first + last) // 2)
+            attempt((first + last) // 2, last)
+
+    if stacked:
+        attempt(0, len(stacked))
+        if len(stacked) > 1 and all(latents[p] is None for p in places):
+            raise SetupFault(f"the encoder failed on every image of a batch: {errors[places[0]]}")
     return latents, errors

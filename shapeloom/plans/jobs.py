@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shapeloom.functions.buckets import GRID_256, BucketGrid, assign_bucket
-from shapeloom.functions.captions import with_sidecar
+from shapeloom.functions.captions import truthy, with_sidecar
 from shapeloom.functions.geometry import crop_plan, has_min_pixels, oversize_guard, resize_plan
 from shapeloom.functions.image_header import add_dimensions
 from shapeloom.functions.tensors import pack_float16, pack_fp8
@@ -28,9 +28,9 @@ from shapeloom.operators import ledger
 from shapeloom.operators.batching import apply_local_batches, first_in_file
 from shapeloom.operators.consolidate import caption_map
 from shapeloom.operators.encoders import caption_images, encode_texts, model_token, once_per_worker
-from shapeloom.operators.joins import optional_captions, pair_members, required_captions, valid_metadata
-from shapeloom.operators.pixels import PLAN_COLUMNS, decode_with_pillow, encode_batch, image_seeds
-from shapeloom.operators.skew import fits_broadcast
+from shapeloom.operators.joins import optional_captions, pair_members, required_captions
+from shapeloom.operators.pixels import PLAN_COLUMNS, SETUP_FAULTS, carry_out, decode_with_pillow, encode_batch, image_seeds
+from shapeloom.session import shared_dir
 from shapeloom.sinks.writers import write_partitioned
 from shapeloom.sources.catalog import scan_catalog
 from shapeloom.sources.tar import ShardFiles, fetch_tasks, list_inputs, list_shards, place_by_range, scan_tar
@@ -69,11 +69,12 @@ class ImageSettings:
     rows_per_file: int | None = None
 
 
-def plan_images(images: DataFrame, settings: ImageSettings, key: str = "image_id", observation: Observation | None = None) -> DataFrame:
+def plan_images(images: DataFrame, settings: ImageSettings, key: str = "image_id", observation: Observation | None = None, small: str | None = None) -> DataFrame:
     """Filter on size, then add bucket, load size, resize and crop columns. Narrow.
 
     Images without readable dimensions stay, with a null resolution: the encoder
     turns them into rejects. ``observation`` counts ``images`` and ``too_small``.
+    With ``small`` nothing is filtered: that column says which images are too small.
     """
     readable = F.col("width").isNotNull() & (F.col("width") > 0) & (F.col("height") > 0)
     known = images.withColumns({c: F.when(readable, F.col(c)) for c in ("width", "height")})
@@ -86,22 +87,26 @@ def plan_images(images: DataFrame, settings: ImageSettings, key: str = "image_id
         large = F.coalesce(has_min_pixels(F.col("load_w"), F.col("load_h"), settings.min_side), F.lit(True))
     if observation is not None:
         loaded = loaded.observe(observation, F.count(F.lit(1)).alias("images"), F.count_if(~large).alias("too_small"))
-    planned = resize_plan(assign_bucket(loaded.filter(large), settings.grid, "load_w", "load_h"), "load_w", "load_h")
+    loaded = loaded.withColumn(small, ~large) if small else loaded.filter(large)
+    planned = resize_plan(assign_bucket(loaded, settings.grid, "load_w", "load_h"), "load_w", "load_h")
     return crop_plan(planned, settings.crop, key, settings.seed)
 
 
 def replan(planned: DataFrame, of_file: DataFrame, file: str, settings: ImageSettings, key: str = "image_id") -> DataFrame:
     """Use the file's bucket instead of the row's and plan again.
 
-    ``of_file`` has one row per input of the round, so its size is bounded by the
-    round's ``max_files`` and it is broadcast: rows with pixels stay in place.
+    ``of_file`` is a written table of one row per input of the round, small enough to
+    be broadcast by its size, so rows with pixels stay in place. Rows that are
+    unreadable themselves stay so.
     """
     bucket = ["bucket", "bucket_w", "bucket_h", "resolution"]
-    shared = planned.drop(*bucket).join(F.broadcast(of_file.select(file, *bucket)), file)
+    own = planned.withColumn("own_resolution", F.col("resolution")).drop(*bucket)
+    shared = own.join(of_file.select(file, *bucket), file, "left")
+    shared = shared.withColumn("resolution", F.when(F.col("own_resolution").isNotNull(), F.col("resolution"))).drop("own_resolution")
     return crop_plan(resize_plan(shared, "load_w", "load_h"), settings.crop, key, settings.seed)
 
 
-def encode_images(planned: DataFrame, settings: ImageSettings, keep: list[str], content: str | None = None, folder: str | None = None) -> DataFrame:
+def encode_images(planned: DataFrame, settings: ImageSettings, keep: list[str], content: str | None = None, folder: str | None = None, token: str | None = None) -> DataFrame:
     """Pixels to latents in one narrow pass over batches of one bucket size.
 
     Bytes come from column ``content`` or from byte ranges of shards in ``folder``.
@@ -116,7 +121,7 @@ def encode_images(planned: DataFrame, settings: ImageSettings, keep: list[str],
     slim = planned.select(*dict.fromkeys([*keep, "resolution", *PLAN_COLUMNS, *source]))
     make_encoder, decode, kernel = settings.make_encoder, settings.decode, settings.kernel
     sampling, seed = settings.sampling, settings.seed
-    token = model_token()
+    token = token or model_token()
     opened: dict[str, ShardFiles] = {}
 
     def unreadable(frame: pd.DataFrame) -> pd.DataFrame:
@@ -174,6 +179,8 @@ class Workspace:
 
 
 SHRINK = 4
+#: Columns of a job that has not written anything yet.
+EMPTY_OUTPUT = "image_id string, resolution string, latent array<float>, latent_shape array<bigint>, error string, run string"
 
 
 def _rounds(spark: SparkSession, space: Workspace, listing: DataFrame, run: str, max_files: int) -> Iterator[tuple[str, list[str]]]:
@@ -219,17 +226,19 @@ def _write(encoded: DataFrame, space: Workspace, run: str, partition: str, setti
     return counts
 
 
-def _report(spark: SparkSession, space: Workspace, run: str, inputs: int, began: float, *counts: Observation) -> None:
+def _report(spark: SparkSession, space: Workspace, run: str, inputs: int, began: float, *counts: dict[str, int]) -> None:
     """One row of counters per round, the input of the throughput functions."""
     row = {"run": run, "inputs": inputs, "seconds": time.time() - began}
     for c in counts:
-        row |= c.get
+        row |= c
     columns = [F.lit(v).alias(k) for k, v in row.items()]
     spark.range(1).select(*columns, F.current_timestamp().alias("logged_at")).write.mode("append").parquet(space.metrics)
 
 
 def _committed(spark: SparkSession, space: Workspace, outcome: str) -> DataFrame:
     log = ledger.read_log(spark, space.log)
+    if not ledger.path_exists(spark, space.data):
+        return spark.createDataFrame([], EMPTY_OUTPUT)
     return ledger.read_committed(spark, space.data, log).filter(F.col("outcome") == outcome).drop("outcome")
 
 
@@ -254,6 +263,7 @@ def prepare_catalog(
     image: str = "jpg",
     caption: str = "caption",
     make_captioner: Callable | None = None,
+    captioner_sees: str | None = None,
     make_text_encoder: Callable | None = None,
     second_captions: DataFrame | None = None,
     on_missing: str = "fail",
@@ -264,10 +274,12 @@ def prepare_catalog(
     """Parquet catalogue -> latents by resolution, with a ledger; returns all committed rows.
 
     ``image`` may be a nested column such as ``image.bytes``. Captions are read from
-    ``caption`` or made by ``make_captioner`` from ``width, height`` and that column.
+    ``caption`` or made by ``make_captioner`` from ``width, height`` and that column;
+    with ``captioner_sees`` it also gets ``image``, RGB pixels, 'original' or 'resized'
+    (as they go into the encoder; None where they cannot be read).
     ``make_text_encoder`` adds a ``text_embedding``. ``second_captions``
     (``image_id, caption``) turns the caption into a two-element list.
-    ``bucket_per_file`` gives all images of a file the bucket of its first row.
+    ``bucket_per_file`` gives all images of a file the bucket of its first readable row.
 
     By default nothing is exchanged: a task writes one file per resolution it meets.
     ``compact`` shuffles the latents once for fewer, larger files.
@@ -277,6 +289,9 @@ def prepare_catalog(
     if partitions:
         listing = listing.filter(F.split("path", "/")[0].isin([str(p) for p in partitions]))
     keep = ["image_id", "caption", *settings.keep]
+    job = uuid.uuid4().hex
+    if captioner_sees not in (None, "original", "resized"):
+        raise ValueError(f"captioner_sees must be None, 'original' or 'resized', not {captioner_sees}")
 
     for run_id, paths in _rounds(spark, space, listing, run, max_files):
         rows = scan_catalog(spark, root, paths)
@@ -289,31 +304,82 @@ def prepare_catalog(
             *settings.keep,
         )
         seen, began = Observation(), time.time()
-        sized = add_dimensions(images, "bytes")
+        sized = add_dimensions(images, "bytes", settings.decode)
         planned = plan_images(sized, settings, observation=seen)
         if bucket_per_file:
-            heads = add_dimensions(images.filter("source_row = 0"), "bytes")
-            first = first_in_file(heads, "source_file", "source_row", settings.grid)
-            planned = replan(planned, first, "source_file", settings)
+            planned = replan(planned, _file_buckets(images, settings, space.part("buckets", run_id)), "source_file", settings)
         if make_captioner is not None:
-            planned = planned.withColumn("caption", caption_images([F.col(c) for c in ("width", "height", "caption")], make_captioner))
-        encoded = encode_images(planned, settings, keep, content="bytes")
+            given = ["width", "height", "caption", *(["bytes", *PLAN_COLUMNS] if captioner_sees else [])]
+            show = _pixels_for_captioner(settings, captioner_sees) if captioner_sees else None
+            made = caption_images([F.col(c) for c in given], make_captioner, model_token(job, "captioner"), show)
+            planned = planned.withColumn("caption", made)
+        if second_captions is not None and on_missing == "fail":
+            _require_captions(scan_catalog(spark, root, paths, [key]).select(F.col(key).cast("string").alias("image_id")), second_captions)
+        encoded = encode_images(planned, settings, keep, content="bytes", token=model_token(job, "encoder"))
         if make_text_encoder is not None:
-            embedding = encode_texts(F.col("caption"), make_text_encoder)
+            embedding = encode_texts(F.col("caption"), make_text_encoder, token=model_token(job, "texts"))
             encoded = encoded.withColumn("text_embedding", embedding.cast("array<float>"))
         if second_captions is not None:
             second = second_captions.select("image_id", F.col("caption").alias("second_caption"))
             ids = scan_catalog(spark, root, paths, [key]).select(F.col(key).cast("string").alias("image_id"))
             both = required_captions(encoded, second, "image_id", "second_caption", on_missing, count_from=ids)
             encoded = both.withColumn("caption", F.array("caption", "second_caption")).drop("second_caption")
-            compact = compact or not fits_broadcast(second)  # such a join mixes resolutions in every task
         written = _write(encoded, space, run_id, "resolution", settings, compact)
-        _report(spark, space, run_id, len(paths), began, seen, written)
+        counts, outcome = seen.get, written.get
+        if outcome["rejected"] and not outcome["encoded"]:
+            raise RuntimeError(f"no image of round {run_id} could be encoded; nothing of it is logged as finished")
+        _report(spark, space, run_id, len(paths), began, counts, outcome)
         done = spark.createDataFrame([(p, ledger.FINISHED, run_id) for p in paths], "path string, status string, run string")
         ledger.append_log(done, space.log)
     return read_output(spark, work)
 
 
+def _file_buckets(images: DataFrame, settings: ImageSettings, path: str) -> DataFrame:
+    """The bucket of the first readable row of every file, written to ``path``.
+
+    The first rows decide for nearly all files; only files whose first row cannot be
+    read (at most a round's inputs) are gone through.
+    """
+    heads = add_dimensions(images.filter("source_row = 0").select("source_file", "source_row", "bytes"), "bytes", settings.decode)
+    first_in_file(heads, "source_file", "source_row", settings.grid).write.mode("overwrite").parquet(f"{path}/heads")
+    found = images.sparkSession.read.parquet(f"{path}/heads")
+    odd = [r[0] for r in found.filter("resolution IS NULL").select("source_file").collect()]
+    if odd:
+        rest = images.filter(F.col("source_file").isin(odd)).select("source_file", "source_row", "bytes")
+        sized = add_dimensions(rest, "bytes", settings.decode).filter("width > 0 AND height > 0")
+        later = first_in_file(sized, "source_file", "source_row", settings.grid)
+        found.filter("resolution IS NOT NULL").unionByName(later).write.mode("overwrite").parquet(f"{path}/all")
+        found = images.sparkSession.read.parquet(f"{path}/all")
+    return found
+
+
+def _pixels_for_captioner(settings: ImageSettings, sees: str) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    decode, kernel = settings.decode, settings.kernel
+
+    def show(frame: pd.DataFrame) -> pd.DataFrame:
+        shown = []
+        for data, plan in zip(frame["bytes"], frame[PLAN_COLUMNS].to_dict("records")):
+            try:
+                image = decode(data)
+                if sees == "resized":
+                    image = carry_out(image, {k: int(v) for k, v in plan.items()}, kernel)
+                shown.append(image)
+            except SETUP_FAULTS:
+                raise
+            except Exception:  # the encoder rejects that row with the reason
+                shown.append(None)
+        return frame.drop(columns=["bytes", *PLAN_COLUMNS]).assign(image=pd.Series(shown, index=frame.index, dtype=object))
+
+    return show
+
+
+def _require_captions(ids: DataFrame, captions: DataFrame, key: str = "image_id") -> None:
+    """Stop before any model runs if an id has no caption."""
+    missing = ids.join(captions.select(key), key, "left_anti").limit(1).collect()
+    if missing:
+        raise ValueError(f"no caption for key {missing[0][0]}")
+
+
 def prepare_tar(
     spark: SparkSession,
     folder: str,
@@ -328,9 +394,11 @@ def prepare_tar(
 
     Captions come from the sidecar, or by url from ``url_captions`` (``url, caps``).
     Shards that cannot be read are logged as failed and left out of later runs;
-    shards without a usable pair are logged as empty.
+    shards without a usable pair are logged as empty. All images are paired and planned
+    once, as slim rows without pixels; that table drives the encoding, the rejects
+    (no sidecar, a malformed one, no key) and the counters. Compressed shards are unpacked as they are read.
     """
-    space = Workspace(work)
+    space, job = Workspace(work), uuid.uuid4().hex
     listing = list_shards(spark, folder).withColumnRenamed("shard", "path")
     for run_id, paths in _rounds(spark, space, listing, run, max_files):
         # Walking the headers of a shard is sequential, so do it once and read it back.
@@ -339,24 +407,24 @@ def prepare_tar(
         failed = members.filter(F.col("error").isNotNull()).groupBy("shard").agg(F.min("error").alias("error"))
         readable = members.drop("error").join(failed.select("shard"), "shard", "left_anti")
 
-        pairs = pair_members(readable, carry=["offset", "size", "width", "height"])
-        meta = with_sidecar(pairs, "json_text").withColumnRenamed("key", "image_id").drop("json_text", "json_member", "stem")
-        valid = valid_metadata(meta, ["image_id"] if url_captions is None else ["image_id", "url"])
-        seen, began = Observation(), time.time()
-        planned = plan_images(valid, settings, observation=seen)
-        if url_captions is not None:
-            place = ["shard", "member"]
-            planned = optional_captions(planned.drop("caption"), url_captions, fields=caption_fields, spread_by=place, count_from=valid)
-        else:
-            planned = planned.withColumn("caption", F.array("caption"))
-        placed = place_by_range(planned, fetch_tasks(readable))
-        encoded = encode_images(placed, settings, ["shard", "member", "image_id", "caption"], folder=folder)
-        malformed = meta.filter(~F.col("valid")).select("shard", "member", "image_id", F.lit("malformed sidecar").alias("error"))
-        rows = encoded.unionByName(malformed, allowMissingColumns=True)
-        written = _write(rows, space, run_id, "shard", settings, rebalance=False)
+        began = time.time()
+        _plan_members(readable, settings, url_captions, caption_fields).write.mode("overwrite").parquet(space.part("planned", run_id))
+        rows = spark.read.parquet(space.part("planned", run_id))
+        counts = {r["fate"]: r["count"] for r in rows.groupBy("fate").count().collect()}
+        seen = {"images": sum(counts.values())} | {f.replace(" ", "_"): counts.get(f, 0) for f in FATES}
+        kept = ["shard", "member", "image_id", "caption"]
+        placed = place_by_range(rows.filter(F.col("fate") == PLANNED), fetch_tasks(readable))
+        encoded = encode_images(placed, settings, kept, folder=folder, token=model_token(job, "encoder"))
+        unusable = rows.filter(F.col("fate").isin(*REJECTED)).select(*kept, F.col("fate").alias("error"))
+        written: dict[str, int] = {"encoded": 0, "rejected": 0}
+        if counts.get(PLANNED, 0) or any(counts.get(f, 0) for f in REJECTED):
+            done = _write(encoded.unionByName(unusable, allowMissingColumns=True), space, run_id, "shard", settings, rebalance=False)
+            written = done.get
+            if counts.get(PLANNED, 0) and not written["encoded"]:
+                raise RuntimeError(f"no image of round {run_id} could be encoded; nothing of it is logged as finished")
         _report(spark, space, run_id, len(paths), began, seen, written)
 
-        usable = valid.select(F.col("shard").alias("path"), F.lit(True).alias("usable")).distinct()
+        usable = rows.filter(F.col("fate").isin(PLANNED, TOO_SMALL)).select(F.col("shard").alias("path"), F.lit(True).alias("usable")).distinct()
         taken = spark.createDataFrame([(p,) for p in paths], "path string")
         outcome = taken.join(failed.withColumnRenamed("shard", "path"), "path", "left").join(usable, "path", "left")
         status = (
@@ -366,14 +434,63 @@ def prepare_tar(
     return read_output(spark, work)
 
 
-def prepare_table(images: DataFrame, captions: DataFrame, settings: ImageSettings, image: str = "image", drop: list[str] | None = None, on_missing: str = "fail") -> DataFrame:
-    """Registered table -> small images dropped, latents attached, caption looked up, pixels gone."""
+PLANNED, TOO_SMALL = "planned", "too small"
+REJECTED = ("image without a sidecar", "malformed sidecar", "sidecar without a key")
+FATES = (TOO_SMALL, *REJECTED)
+
+
+def _plan_members(readable: DataFrame, settings: ImageSettings, url_captions: DataFrame | None, caption_fields: list[str] | None) -> DataFrame:
+    """Every image of the readable shards with its plan, caption and ``fate``; no pixels."""
+    pairs = pair_members(readable, carry=["offset", "size", "width", "height"], how="left")
+    lone = F.col("json_member").isNull()
+    meta = with_sidecar(pairs, "json_text").withColumnRenamed("key", "image_id")
+    needed = ["image_id"] if url_captions is None else ["image_id", "url"]
+    keyed = F.lit(True)
+    for name in needed:
+        keyed = keyed & F.coalesce(truthy(F.col(name)), F.lit(False))
+    planned = plan_images(meta, settings, small="small")
+    fate = (
+        F.when(lone, REJECTED[0]).when(~F.coalesce(F.col("valid"), F.lit(False)), REJECTED[1]).when(~keyed, REJECTED[2])
+        .when(F.col("small"), TOO_SMALL).otherwise(PLANNED)
+    )
+    planned = planned.withColumn("fate", fate).drop("json_text", "json_member", "stem", "small")
+    if url_captions is None:
+        return planned.withColumn("caption", F.array("caption"))
+    place = ["shard", "member"]
+    return optional_captions(planned.drop("caption"), url_captions, fields=caption_fields, spread_by=place)
+
+
+def prepare_table(images: DataFrame, captions: DataFrame, settings: ImageSettings, image: str = "image", drop: list[str] | None = None, on_missing: str = "fail", work: str | None = None) -> DataFrame:
+    """Registered table -> small images dropped, latents attached, caption looked up, pixels gone.
+
+    Captions are looked up first, on ids: no model works for an image that is dropped
+    for want of one, and a missing one stops the job before any does. All rows are
+    written once below ``work`` (default: a new folder in the shared one); those that
+    could not be encoded are kept there with the reason, see ``read_table_rejects``.
+    """
+    spark = images.sparkSession
+    work = work or shared_dir(spark, "table-job")
     slim = images.drop(*(drop or [])).withColumnRenamed(image, "bytes")
-    planned = plan_images(add_dimensions(slim, "bytes"), settings)
+    ids = images.select("image_id")
+    if on_missing == "fail":
+        _require_captions(ids, captions)
+    if on_missing == "drop":
+        slim = slim.join(captions.select("image_id").distinct(), "image_id", "left_semi")
+    planned = plan_images(add_dimensions(slim, "bytes", settings.decode), settings)
     keep = [c for c in slim.columns if c != "bytes"]
     encoded = encode_images(planned, settings, keep, content="bytes")
-    good = at_precision(encoded.filter(F.col("error").isNull()).drop("error", "resolution"), settings.precision)
-    return required_captions(good, captions, "image_id", "caption", on_missing, count_from=images.select("image_id"))
+    at_precision(encoded, settings.precision).write.mode("error").parquet(f"{work}/rows")
+    stored = spark.read.parquet(f"{work}/rows")
+    tried = stored.agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("error").isNull()).alias("good")).first()
+    if tried["all"] and not tried["good"]:
+        raise RuntimeError("no image of the table could be encoded")
+    good = stored.filter(F.col("error").isNull()).drop("error", "resolution")
+    return required_captions(good, captions, "image_id", "caption", on_missing, count_from=ids)
+
+
+def read_table_rejects(spark: SparkSession, work: str) -> DataFrame:
+    """Rows of ``prepare_table`` that could not be encoded, with their ``error``."""
+    return spark.read.parquet(f"{work}/rows").filter(F.col("error").isNotNull()).drop("latent", "latent_shape")
 
 
 def consolidate_captions(table: DataFrame, url: str, sequence: list[str], fields: dict[str, str]) -> DataFrame:

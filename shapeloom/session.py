@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -34,11 +35,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unique folder path every executor can reach.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``. Only where
-    that is unset (tests, a laptop) does a local temporary folder stand in.
+    that is unset and the master is local (tests, a laptop) does a temporary folder
+    stand in; executors on other machines would not see it.
     """
     global _local_base
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if _local_base is None:
             _local_base = tempfile.mkdtemp(prefix="shapeloom-")
         base = _local_base

@@ -15,7 +15,7 @@ def resolve(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(local)
 
 
-def list_files(path: str, suffix: str) -> list[str]:
+def list_files(path: str, suffix: str | tuple[str, ...]) -> list[str]:
     """Files under a folder (recursively) or the one file named, keeping the path's own scheme."""
     system, inner = resolve(path)
     info = system.get_file_info(inner)

@@ -9,8 +9,13 @@ byte ranges that survived all joins and filters.
 
 from __future__ import annotations
 
+import bz2
+import gzip
+import io
 import json
+import lzma
 import tarfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -29,6 +34,11 @@ MEMBER_SCHEMA = (
 )
 ROWS_PER_BATCH = 4096
 TASK_BYTES = 256 << 20
+WALK_WINDOW = 8 << 20
+FETCH_WINDOW = 1 << 20
+SHARD_SUFFIXES = (".tar", ".tar.gz", ".tgz", ".tar.bz2", ".tar.xz")
+#: The first bytes of gzip, bzip2 and xz.
+COMPRESSED = ((b"\x1f\x8b", gzip.GzipFile), (b"BZh", bz2.BZ2File), (b"\xfd7zXZ\0", lzma.LZMAFile))
 
 
 class ShardPartition(InputPartition):
@@ -45,7 +55,7 @@ class TarMemberReader(DataSourceReader):
     def partitions(self) -> list[ShardPartition]:
         shards = self.shards
         if shards is None:
-            shards = [p[len(self.folder) :].lstrip("/") for p in list_files(self.folder, ".tar")]
+            shards = [p[len(self.folder) :].lstrip("/") for p in list_files(self.folder, SHARD_SUFFIXES)]
         return [ShardPartition(f"{self.folder}/{s}", s) for s in shards]
 
     def read(self, partition: ShardPartition) -> Iterator[pa.RecordBatch]:
@@ -81,18 +91,41 @@ def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def walk_members(path: str, shard: str) -> Iterator[tuple]:
-    """Rows of ``MEMBER_SCHEMA``; a shard that cannot be read ends in an error row."""
+    """Rows of ``MEMBER_SCHEMA``; a shard that cannot be read to its end mark ends in an error row.
+
+    A damaged header and a cut at a member's border both look like the end to the
+    archive reader, so what stands where it stopped decides: zeros, or an error.
+    """
     try:
-        system, inner = resolve(path)
-        with system.open_input_file(inner) as stream, tarfile.open(fileobj=stream, mode="r:") as tar:
+        with open_shard(path) as stream, tarfile.open(fileobj=stream, mode="r:") as tar:
             for info in tar:
                 if info.isfile():
                     yield _member_row(stream, shard, info)
-            end = stream.size()
-            if tar.offset > end:
-                yield _error_row(shard, "shard ends inside a member")
-    except (tarfile.TarError, OSError, EOFError, ValueError) as problem:
-        yield _error_row(shard, f"{type(problem).__name__}: {problem}"[:500])
+            stream.seek(tar.offset)
+            block = stream.read(tarfile.BLOCKSIZE)
+            if len(block) < tarfile.BLOCKSIZE:
+                yield _error_row(shard, "shard ends without an end mark")
+            elif block.strip(b"\0"):
+                yield _error_row(shard, f"damaged header at byte {tar.offset}")
+    except (tarfile.TarError, OSError, EOFError, ValueError, zlib.error, lzma.LZMAError) as problem:
+        yield _error_row(shard, f"{type(problem).__name__}: {problem}")
+
+
+def open_shard(path: str, window: int = WALK_WINDOW) -> io.BufferedReader:
+    """A shard as seekable bytes, unpacked where it is compressed (gzip, bzip2, xz).
+
+    Reads go through a window, so walking small members costs one request per
+    window. Positions in a compressed shard are those of the unpacked bytes; reading
+    them in order unpacks it once, going back starts over.
+    """
+    system, inner = resolve(path)
+    raw = system.open_input_file(inner)
+    magic = raw.read(6)
+    raw.seek(0)
+    for start, unpack in COMPRESSED:
+        if magic.startswith(start):
+            return io.BufferedReader(unpack(io.BufferedReader(raw, window)), window)
+    return io.BufferedReader(raw, window)
 
 
 def _error_row(shard: str, message: str) -> tuple:
@@ -103,7 +136,10 @@ def _member_row(stream, shard: str, info: tarfile.TarInfo) -> tuple:
     name = info.name
     place = (shard, name, info.offset_data, info.size)
     if name.endswith(".json"):
-        return (*place, _read(stream, info.offset_data, info.size).decode("utf-8", "replace"), None, None, None, None)
+        try:
+            return (*place, _read(stream, info.offset_data, info.size).decode("utf-8"), None, None, None, None)
+        except UnicodeDecodeError:
+            return (*place, None, None, None, None, None)  # no text: its image is rejected as malformed
     if name.endswith(".jpg"):
         try:
             try:
@@ -116,7 +152,7 @@ def _member_row(stream, shard: str, info: tarfile.TarInfo) -> tuple:
     return (*place, None, None, None, None, None)
 
 
-def _read(stream, offset: int, size: int) -> bytes:
+def _read(stream: io.BufferedReader, offset: int, size: int) -> bytes:
     back = stream.tell()
     stream.seek(offset)
     data = stream.read(size)
@@ -135,7 +171,7 @@ def scan_tar(spark: SparkSession, folder: str, shards: list[str] | None = None)
 
 def list_shards(spark: SparkSession, folder: str) -> DataFrame:
     """``(shard)``: relative names, listed by Spark without opening the files."""
-    return list_inputs(spark, folder, "*.tar").withColumnRenamed("path", "shard")
+    return list_inputs(spark, folder, "*{" + ",".join(SHARD_SUFFIXES) + "}").withColumnRenamed("path", "shard")
 
 
 def list_inputs(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
@@ -164,8 +200,7 @@ class ShardFiles:
     def read(self, shard: str, offset: int, size: int) -> bytes:
         if shard != self.shard:
             self.close()
-            system, inner = resolve(f"{self.folder}/{shard}")
-            self.stream = system.open_input_file(inner)
+            self.stream = open_shard(f"{self.folder}/{shard}", FETCH_WINDOW)
             self.shard = shard
         self.stream.seek(offset)
         return self.stream.read(size)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -19,14 +19,22 @@ def throughput(events: DataFrame, time: str, window: str, late_by: str, by: list
     )
 
 
-def write_throughput(stream: DataFrame, output: str, checkpoint: str) -> None:
-    """Append closed windows to Parquet until all available input is read."""
-    query = (
-        stream.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", output)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def write_throughput(stream: DataFrame, output: str, checkpoint: str) -> int:
+    """Write every window, open ones too, until all available input is read; returns the rows that came too late.
+
+    A micro-batch writes the windows it changed under its own number, so repeating
+    it after a failure replaces its rows; ``read_throughput`` takes each window's latest.
+    """
+
+    def save(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{output}/batch={number}")
+
+    query = stream.writeStream.outputMode("update").foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+    return sum(state["numRowsDroppedByWatermark"] for progress in query.recentProgress for state in progress["stateOperators"])
+
+
+def read_throughput(spark: SparkSession, output: str, by: list[str]) -> DataFrame:
+    """The latest counts of every window."""
+    latest = F.max_by(F.struct("images", "rate"), "batch")
+    return spark.read.parquet(output).groupBy("window_start", *by).agg(latest.alias("latest")).select("window_start", *by, "latest.*")

@@ -140,18 +140,17 @@ def quarantine_shards(spark, sf_dir):
 
 @query(
     "stream_throughput",
-    """WITH closed AS (SELECT date_trunc('hour', max(ts) - INTERVAL 1 HOUR) AS edge FROM events)
-SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS window_start, event_type, count(*) AS images, round(count(*) / 3600.0e0, 9) AS rate
-FROM events, closed WHERE date_trunc('hour', ts) < edge GROUP BY ALL""",
+    """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS window_start, event_type, count(*) AS images, round(count(*) / 3600.0e0, 9) AS rate
+FROM events GROUP BY ALL""",
 )
 def stream_throughput(spark, sf_dir):
-    """Closed hourly windows of the event stream, appended by a watermarked streaming query."""
+    """All hourly windows of the event stream, kept up to date by a watermarked streaming query."""
     schema = table(spark, sf_dir, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     out = shared_dir(spark, "throughput")
     counted = progress.throughput(events.select("ts", "event_type"), "ts", "1 hour", "1 hour", ["event_type"])
     progress.write_throughput(counted, f"{out}/rows", f"{out}/checkpoint")
-    rows = spark.read.parquet(f"{out}/rows")
+    rows = progress.read_throughput(spark, f"{out}/rows", ["event_type"])
     start = F.date_format("window_start", "yyyy-MM-dd HH").alias("window_start")
     return rows.select(start, "event_type", "images", F.round("rate", 9).alias("rate"))
 

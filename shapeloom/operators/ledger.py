@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 LOG_SCHEMA = "path string, status string, attempt int, run string, error string, logged_at timestamp"
 STARTED, FINISHED, FAILED, EMPTY = "started", "finished", "failed", "empty"
-SETTLED = [FINISHED, FAILED, EMPTY]
+#: A round that stopped for a fault of the setup gives its inputs back: they are pending, and not suspects.
+RELEASED = "released"
+SETTLED = [FINISHED, FAILED, EMPTY, RELEASED]
 
 
 def pending_inputs(listing: DataFrame, *settled: DataFrame, path: str = "path") -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,7 +30,7 @@ from shapeloom.operators.batching import apply_local_batches, first_in_file
 from shapeloom.operators.consolidate import caption_map
 from shapeloom.operators.encoders import caption_images, encode_texts, model_token, once_per_worker
 from shapeloom.operators.joins import optional_captions, pair_members, required_captions
-from shapeloom.operators.pixels import PLAN_COLUMNS, SETUP_FAULTS, carry_out, decode_with_pillow, encode_batch, image_seeds
+from shapeloom.operators.pixels import PLAN_COLUMNS, SETUP_FAULTS, SetupFault, carry_out, decode_with_pillow, encode_batch, image_seeds
 from shapeloom.session import shared_dir
 from shapeloom.sinks.writers import write_partitioned
 from shapeloom.sources.catalog import scan_catalog
@@ -179,6 +180,8 @@ class Workspace:
 
 
 SHRINK = 4
+#: What the message of a task that failed for want of a decoder, a package or memory contains.
+SETUP_MARKS = ("SetupFault", "ImportError", "ModuleNotFoundError", "MemoryError")
 #: Columns of a job that has not written anything yet.
 EMPTY_OUTPUT = "image_id string, resolution string, latent array<float>, latent_shape array<bigint>, error string, run string"
 
@@ -213,6 +216,18 @@ def _rounds(spark: SparkSession, space: Workspace, listing: DataFrame, run: str,
         number += 1
 
 
+@contextmanager
+def _released_on_setup_fault(spark: SparkSession, space: Workspace, run: str, paths: list[str]) -> Iterator[None]:
+    """Log the inputs of a round as given back when it was no input's fault that it stopped."""
+    try:
+        yield
+    except Exception as problem:
+        if any(mark in str(problem) for mark in SETUP_MARKS):
+            entries = spark.createDataFrame([(p, ledger.RELEASED, run) for p in paths], "path string, status string, run string")
+            ledger.append_log(entries, space.log)
+        raise
+
+
 def _write(encoded: DataFrame, space: Workspace, run: str, partition: str, settings: ImageSettings, rebalance: bool) -> Observation:
     """Write good and rejected rows in one pass, told apart by the ``outcome`` folder."""
     good = F.col("error").isNull()
@@ -237,7 +252,7 @@ def _report(spark: SparkSession, space: Workspace, run: str, inputs: int, began:
 
 def _committed(spark: SparkSession, space: Workspace, outcome: str) -> DataFrame:
     log = ledger.read_log(spark, space.log)
-    if not ledger.path_exists(spark, space.data):
+    if log.filter(F.col("status") == ledger.FINISHED).isEmpty() or not ledger.path_exists(spark, space.data):
         return spark.createDataFrame([], EMPTY_OUTPUT)
     return ledger.read_committed(spark, space.data, log).filter(F.col("outcome") == outcome).drop("outcome")
 
@@ -324,10 +339,11 @@ def prepare_catalog(
             ids = scan_catalog(spark, root, paths, [key]).select(F.col(key).cast("string").alias("image_id"))
             both = required_captions(encoded, second, "image_id", "second_caption", on_missing, count_from=ids)
             encoded = both.withColumn("caption", F.array("caption", "second_caption")).drop("second_caption")
-        written = _write(encoded, space, run_id, "resolution", settings, compact)
+        with _released_on_setup_fault(spark, space, run_id, paths):
+            written = _write(encoded, space, run_id, "resolution", settings, compact)
         counts, outcome = seen.get, written.get
         if outcome["rejected"] and not outcome["encoded"]:
-            raise RuntimeError(f"no image of round {run_id} could be encoded; nothing of it is logged as finished")
+            raise SetupFault(f"SetupFault: no image of round {run_id} could be encoded; nothing of it is logged as finished")
         _report(spark, space, run_id, len(paths), began, counts, outcome)
         done = spark.createDataFrame([(p, ledger.FINISHED, run_id) for p in paths], "path string, status string, run string")
         ledger.append_log(done, space.log)
@@ -418,10 +434,11 @@ def prepare_tar(
         unusable = rows.filter(F.col("fate").isin(*REJECTED)).select(*kept, F.col("fate").alias("error"))
         written: dict[str, int] = {"encoded": 0, "rejected": 0}
         if counts.get(PLANNED, 0) or any(counts.get(f, 0) for f in REJECTED):
-            done = _write(encoded.unionByName(unusable, allowMissingColumns=True), space, run_id, "shard", settings, rebalance=False)
+            with _released_on_setup_fault(spark, space, run_id, paths):
+                done = _write(encoded.unionByName(unusable, allowMissingColumns=True), space, run_id, "shard", settings, rebalance=False)
             written = done.get
             if counts.get(PLANNED, 0) and not written["encoded"]:
-                raise RuntimeError(f"no image of round {run_id} could be encoded; nothing of it is logged as finished")
+                raise SetupFault(f"SetupFault: no image of round {run_id} could be encoded; nothing of it is logged as finished")
         _report(spark, space, run_id, len(paths), began, seen, written)
 
         usable = rows.filter(F.col("fate").isin(PLANNED, TOO_SMALL)).select(F.col("shard").alias("path"), F.lit(True).alias("usable")).distinct()
@@ -483,7 +500,7 @@ def prepare_table(images: DataFrame, captions: DataFrame, settings: ImageSetting
     stored = spark.read.parquet(f"{work}/rows")
     tried = stored.agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("error").isNull()).alias("good")).first()
     if tried["all"] and not tried["good"]:
-        raise RuntimeError("no image of the table could be encoded")
+        raise SetupFault("no image of the table could be encoded")
     good = stored.filter(F.col("error").isNull()).drop("error", "resolution")
     return required_captions(good, captions, "image_id", "caption", on_missing, count_from=ids)
 

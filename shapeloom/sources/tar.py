@@ -38,7 +38,7 @@ WALK_WINDOW = 8 << 20
 FETCH_WINDOW = 1 << 20
 SHARD_SUFFIXES = (".tar", ".tar.gz", ".tgz", ".tar.bz2", ".tar.xz")
 #: The first bytes of gzip, bzip2 and xz.
-COMPRESSED = ((b"\x1f\x8b", gzip.GzipFile), (b"BZh", bz2.BZ2File), (b"\xfd7zXZ\0", lzma.LZMAFile))
+COMPRESSED = ((b"\x1f\x8b", gzip.open), (b"BZh", bz2.open), (b"\xfd7zXZ\0", lzma.open))
 
 
 class ShardPartition(InputPartition):

@@ -190,7 +190,14 @@ def test_tar_job(spark, shards):
     status = {r.path: r.status for r in ledger.read_log(spark, f"{work}/log").filter("status <> 'started'").collect()}
     assert status == {"good.tar": "finished", "more.tar": "finished", "empty.tar": "empty", "unpaired.tar": "empty", "cut.tar": "failed"}
     rejects = {r.member: r.error for r in read_rejects(spark, work).collect()}
-    assert set(rejects) == {"img/2.jpg", "img/6.jpg"} and rejects["img/2.jpg"] == "malformed sidecar"
+    assert {m: e for m, e in rejects.items() if m != "img/6.jpg"} == {
+        "img/1.jpg": "image without a sidecar", "img/2.jpg": "malformed sidecar", "img/3.jpg": "sidecar without a key",
+        "img/50.jpg": "image without a sidecar",
+    }
+    assert "img/6.jpg" in rejects
+    counts = spark.read.parquet(f"{work}/metrics").first()
+    assert (counts["images"], counts["encoded"], counts["rejected"], counts["too_small"]) == (26, 21, 5, 0)
+    assert counts["image_without_a_sidecar"] == 2 and counts["malformed_sidecar"] == counts["sidecar_without_a_key"] == 1
     assert prepare_tar(spark, folder, work, "s", settings).count() == 21, "quarantined and finished shards are left alone"
 
 

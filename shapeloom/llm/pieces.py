@@ -33,6 +33,7 @@ _SPACE, _MARK = 0x20, "▁"
 _NONE = np.int32(2**30)
 _SHORT = 32
 _CHUNK = 1 << 19
+_PIECES = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -329,12 +330,16 @@ def decode(pieces: Column, model: PieceModel) -> Column:
 
     @F.arrow_udf("string")
     def run(column: pa.Array) -> pa.Array:
-        flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = column.flatten().to_numpy(zero_copy_only=False)
         sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        data, at = decode_pieces(model, flat, np.append(0, np.cumsum(sizes)))
-        raw = data.tobytes()
+        bounds = np.append(0, np.cumsum(sizes))
         gone = column.is_null().to_pylist()
-        return pa.array([None if g else raw[a:b].decode() for g, a, b in zip(gone, at[:-1], at[1:], strict=True)], pa.string())
+        texts: list[str | None] = []
+        for first, last in slices(bounds, _PIECES):
+            data, at = decode_pieces(model, flat[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first])
+            raw = data.tobytes()
+            texts += [None if g else raw[a:b].decode() for g, a, b in zip(gone[first:last], at[:-1], at[1:], strict=True)]
+        return pa.array(texts, pa.string())
 
     return run(pieces)
 

@@ -41,7 +41,9 @@ def choose_bands(similarity: float = 0.8, recall: float = 0.99999, max_hashes: i
     best = None
     for rows in range(1, 65):
         chance = similarity**rows
-        bands = 1 if chance >= 1 else math.ceil(math.log(1 - recall) / math.log(1 - chance))
+        if chance < 1e-12:
+            break
+        bands = 1 if chance >= 1 else math.ceil(math.log(1 - recall) / math.log1p(-chance))
         if bands * rows <= max_hashes:
             best = bands, rows
     if best is None:

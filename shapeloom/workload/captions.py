@@ -223,8 +223,10 @@ SELECT l_partkey, strftime(arg_max(shipped, map_rank), '%Y-%m-%d') AS shipped FR
 )
 def merge_last_wins(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
-    ranked = lines.groupBy("l_partkey", (F.col("l_suppkey") % 4).alias("map_rank")).agg(F.max("l_shipdate").alias("shipped"))
-    merged = consolidate.last_wins(ranked, ["l_partkey"], ["map_rank"], ["shipped"])
+    maps = [
+        lines.filter(F.col("l_suppkey") % 4 == rank).groupBy("l_partkey").agg(F.max("l_shipdate").alias("shipped")) for rank in range(4)
+    ]
+    merged = consolidate.merge_ranked(maps, ["l_partkey"], ["shipped"])
     return merged.withColumn("shipped", F.date_format("shipped", "yyyy-MM-dd"))
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shapeloom.operators.batching import map_frames
 from shapeloom.operators.consolidate import union_tables
 from shapeloom.operators.encoders import block_mean_encoder, hashing_text_encoder, template_captioner
-from shapeloom.plans.jobs import ImageSettings, consolidate_captions, prepare_catalog, prepare_table, prepare_tar
+from shapeloom.plans.jobs import ImageSettings, consolidate_captions, prepare_catalog, prepare_table, prepare_tar, read_rejects, read_table_rejects
 from shapeloom.session import shared_dir, table
 from shapeloom.workload import query
 from shapeloom.workload.captions import label_captions
@@ -85,6 +86,113 @@ def job_tar(spark, sf_dir):
     )
 
 
+def _tar_inputs(spark, sf_dir, out):
+    drawn = pictures(spark, sf_dir)
+    shard = F.concat(F.lit("shard_"), F.floor(F.col("doc_id") / 128).cast("string")).alias("shard")
+    damaged = F.when(F.col("doc_id") % 11 == 0, F.substring("jpg", 1, 60)).otherwise(F.col("jpg"))
+    images = drawn.select(shard, F.concat("key", F.lit(".jpg")).alias("member"), damaged.alias("payload"))
+    named = F.when(F.col("doc_id") % 7 == 0, "").otherwise(F.col("key")).alias("key")
+    document = F.to_json(F.struct(named, F.col("lang").alias("caption"))).cast("binary")
+    sidecars = drawn.filter(F.col("doc_id") % 9 != 0).select(shard, F.concat("key", F.lit(".json")).alias("member"), document.alias("payload"))
+    write_shards(union_tables([images, sidecars]), f"{out}/in")
+    prepare_tar(spark, f"{out}/in", f"{out}/work", "a", SETTINGS)
+
+
+FATES_SQL = """fates AS (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN 'image without a sidecar' WHEN doc_id % 7 = 0 THEN 'sidecar without a key'
+  WHEN width * height < 1024 THEN 'too small' WHEN doc_id % 11 = 0 THEN 'damaged' ELSE 'encoded' END AS fate FROM pictures)"""
+
+
+@query(
+    "job_tar_rejects",
+    f"""WITH {PICTURES_SQL}, {FATES_SQL}
+SELECT doc_id || '.jpg' AS member, CASE WHEN fate = 'damaged' THEN 'not decoded' ELSE fate END AS reason FROM fates WHERE fate NOT IN ('encoded', 'too small')""",
+)
+def job_tar_rejects(spark, sf_dir):
+    """Images without a sidecar or a key, and damaged ones, with their reasons."""
+    out = shared_dir(spark, "tar-rejects")
+    _tar_inputs(spark, sf_dir, out)
+    known = F.col("error").isin("image without a sidecar", "sidecar without a key")
+    return read_rejects(spark, f"{out}/work").select("member", F.when(known, F.col("error")).otherwise("not decoded").alias("reason"))
+
+
+@query(
+    "job_tar_counts",
+    f"""WITH {PICTURES_SQL}, {FATES_SQL}
+SELECT count(*) AS images, count(*) FILTER (fate = 'too small') AS too_small, count(*) FILTER (fate = 'image without a sidecar') AS unpaired,
+       count(*) FILTER (fate = 'sidecar without a key') AS keyless, count(*) FILTER (fate = 'encoded') AS encoded,
+       count(*) FILTER (fate NOT IN ('encoded', 'too small')) AS rejected FROM fates""",
+)
+def job_tar_counts(spark, sf_dir):
+    """The counters of a tar job over all its rounds."""
+    out = shared_dir(spark, "tar-counts")
+    _tar_inputs(spark, sf_dir, out)
+    names = {"images": "images", "too_small": "too_small", "image_without_a_sidecar": "unpaired", "sidecar_without_a_key": "keyless", "encoded": "encoded", "rejected": "rejected"}
+    return spark.read.parquet(f"{out}/work/metrics").agg(*[F.sum(c).cast("bigint").alias(name) for c, name in names.items()])
+
+
+@query(
+    "job_table_rejects",
+    f"WITH {PICTURES_SQL} SELECT doc_id::VARCHAR AS image_id FROM pictures JOIN (SELECT DISTINCT doc_id FROM labels) USING (doc_id) WHERE width * height >= 1024 AND doc_id % 5 = 0",
+)
+def job_table_rejects(spark, sf_dir):
+    """Damaged images of a table that have a caption are kept as rejects."""
+    out = shared_dir(spark, "table-rejects")
+    cut = F.when(F.col("doc_id") % 5 == 0, F.substring("jpg", 1, 60)).otherwise(F.col("jpg"))
+    images = pictures(spark, sf_dir).select(F.col("key").alias("image_id"), cut.alias("image"))
+    captions = label_captions(spark, sf_dir).select(F.col("doc_id").cast("string").alias("image_id"), F.col("label_caption").alias("caption"))
+    prepare_table(images, captions, SETTINGS, on_missing="drop", work=out)
+    return read_table_rejects(spark, out).select("image_id")
+
+
+@query(
+    "job_catalog_by_file",
+    f"""{BUCKETED}, head AS (SELECT lang, arg_min(resolution, doc_id) AS resolution FROM bucketed WHERE doc_id NOT IN (SELECT min(doc_id) FROM documents GROUP BY lang) GROUP BY lang)
+SELECT doc_id::VARCHAR AS image_id, head.resolution FROM bucketed JOIN head USING (lang)
+WHERE width * height >= 1024 AND doc_id NOT IN (SELECT min(doc_id) FROM documents GROUP BY lang)""",
+)
+def job_catalog_by_file(spark, sf_dir):
+    """One file per language whose first image is damaged: the first readable one decides for the file."""
+    out = shared_dir(spark, "by-file")
+    drawn = pictures(spark, sf_dir)
+    heads = table(spark, sf_dir, "documents").groupBy("lang").agg(F.min("doc_id").alias("head"))
+    marked = drawn.join(heads, "lang")
+    damaged = F.when(F.col("doc_id") == F.col("head"), F.lit("no image").cast("binary")).otherwise(F.col("jpg"))
+    rows = marked.select("doc_id", "key", damaged.alias("jpg"), "lang", F.col("lang").alias("caption"))
+    rows.repartition("lang").sortWithinPartitions("lang", "doc_id").drop("doc_id").write.partitionBy("lang").parquet(f"{out}/in")
+    made = prepare_catalog(spark, f"{out}/in", f"{out}/work", "a", SETTINGS, bucket_per_file=True)
+    return made.select("image_id", "resolution")
+
+
+@query(
+    "job_caption_pixels",
+    f"WITH {PICTURES_SQL} SELECT doc_id::VARCHAR AS image_id, height || 'x' || width AS caption FROM pictures WHERE width * height >= 1024",
+)
+def job_caption_pixels(spark, sf_dir):
+    """Captions made from the pixels of the original image."""
+    out = shared_dir(spark, "caption-pixels")
+    pictures(spark, sf_dir).select("key", "jpg", "lang").write.parquet(f"{out}/in/0")
+    made = prepare_catalog(
+        spark, f"{out}/in", f"{out}/work", "a", SETTINGS, caption="lang", make_captioner=shape_captioner, captioner_sees="original"
+    )
+    return made.select("image_id", "caption")
+
+
+def shape_captioner():
+    """Captions such as ``48x31`` (height, width) from the pixels themselves."""
+    return lambda frame: ["x".join(map(str, image.shape[:2])) for image in frame["image"]]
+
+
+@query("map_frames", "SELECT doc_id, length(text) AS n_chars, true AS has_worker FROM documents")
+def map_frames_query(spark, sf_dir):
+    """Work on whole frames with the worker's number and a state loaded once."""
+
+    def measure(frame, worker, state):
+        return frame[["doc_id"]].assign(n_chars=frame["text"].map(state), has_worker=worker >= 0)
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return map_frames(docs, measure, "doc_id long, n_chars long, has_worker boolean", lambda: len)
+
+
 @query(
     "job_table",
     f"""{BUCKETED}, label_captions AS (SELECT doc_id, 'quality ' || quality || ' toxic ' || toxic AS caption FROM labels)

@@ -33,6 +33,8 @@ _SPACE, _MARK = 0x20, "▁"
 _NONE = np.int32(2**30)
 _SHORT = 32
 _CHUNK = 1 << 19
+_DENSE = 1024
+_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _PIECES = 1 << 17
 
 
@@ -99,9 +101,10 @@ class _Tables:
 
     def _fill(self, keys: np.ndarray, merged: np.ndarray) -> None:
         """Open addressing, filled one probe distance at a time."""
-        bits = max(4, int(len(keys) * 4).bit_length())
+        bits = max(4, int(len(keys) * 8).bit_length())
         self.shift, self.size = np.uint64(64 - bits), 1 << bits
         self.slots, self.merged = np.full(self.size, -1, np.int64), np.full(self.size, -1, np.int32)
+        self.dense = np.full((_DENSE, _DENSE), -1, np.int32)
         left, self.probes = np.arange(len(keys)), 0
         while len(left):
             at = (self._home(keys[left]) + self.probes) % self.size
@@ -113,8 +116,21 @@ class _Tables:
             left = np.setdiff1d(left, taken, assume_unique=True)
             self.probes += 1
 
+        low = self.of_char[:_DENSE]
+        known = np.flatnonzero(low >= 0)
+        left, right = (x.ravel() for x in np.meshgrid(known, known, indexing="ij"))
+        self.dense[left, right] = self.pair(low[left], low[right])
+
     def _home(self, keys: np.ndarray) -> np.ndarray:
-        return (mix(keys) >> self.shift).astype(np.int64)
+        return ((keys * _MULTIPLIER) >> self.shift).astype(np.int64)
+
+    def first_pairs(self, left: np.ndarray, right: np.ndarray, codes_left: np.ndarray, codes_right: np.ndarray) -> np.ndarray:
+        """``pair`` for single characters: one look into a table for those of the first code points."""
+        near = (codes_left < _DENSE) & (codes_right < _DENSE)
+        out = self.dense[np.where(near, codes_left, 0), np.where(near, codes_right, 0)]
+        far = np.flatnonzero(~near)
+        out[far] = self.pair(left[far], right[far])
+        return out
 
     def pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Id of the piece that two pieces merge into, or -1."""
@@ -150,8 +166,8 @@ def _skipped(key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.nda
     return (drawn >> np.uint64(11)).astype(np.float64) < rate * 2.0**53
 
 
-def _agendas(t: _Tables, ids: np.ndarray, sizes: np.ndarray, keys: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
-    """Run the agenda of every row of ``ids`` (padded with -1); returns the pieces and how many each row has."""
+def _agendas(t: _Tables, ids: np.ndarray, codes: np.ndarray, sizes: np.ndarray, keys: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """Run the agenda of every row of ``ids`` (of the characters ``codes``, padded with -1); returns the pieces and how many each row has."""
     n, width = ids.shape
     out, counts = ids.copy(), sizes.copy()
     if width < 2:
@@ -159,40 +175,42 @@ def _agendas(t: _Tables, ids: np.ndarray, sizes: np.ndarray, keys: np.ndarray, r
     rows = np.arange(n)
     column = np.arange(width)
     bound = np.minimum(np.arange(width + 1)[None, :], sizes[:, None]).astype(np.int32)
-    ids = np.concatenate([ids, np.full((n, 1), -1, np.int32)], 1)
 
-    def judge(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        made = t.pair(left, right)
+    def judge(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray, key: np.ndarray, made: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        made = t.pair(left, right) if made is None else made
         made[(left < 0) | (right < 0)] = -1
         if rate > 0:
             found = np.flatnonzero(made >= 0)
             made[found[_skipped(key[found], a[found], b[found], c[found], rate)]] = -1
         return made, t.rank[made]
 
-    flat = [x.ravel() for x in (ids[:, : width - 1], ids[:, 1:width], bound[:, : width - 1], bound[:, 1:width], bound[:, 2 : width + 1])]
-    made, rank = (x.reshape(n, width - 1) for x in judge(*flat, np.repeat(keys, width - 1)))
+    flat = [x.ravel() for x in (ids[:, :-1], ids[:, 1:], bound[:, : width - 1], bound[:, 1:width], bound[:, 2:])]
+    start = t.first_pairs(*flat[:2], codes[:, :-1].ravel(), codes[:, 1:].ravel())
+    made, rank = (x.reshape(n, width - 1) for x in judge(*flat, np.repeat(keys, width - 1), start))
     while len(rows):
+        width = ids.shape[1]
+        if width == 1:
+            out[rows, :1] = ids
+            break
         best = rank.argmin(1)
         live = rank[np.arange(len(rows)), best] < _NONE
         if not live.all():
-            done = ~live
-            out[rows[done]] = ids[done, :width]
+            out[rows[~live], :width] = ids[~live]
             rows, keys, ids, bound, made, rank, best = (x[live] for x in (rows, keys, ids, bound, made, rank, best))
             if not len(rows):
                 break
+        # Every row that is left merges once, so all of them get one column shorter.
         own = np.arange(len(rows))
         ids[own, best] = made[own, best]
-        moved = column[None, :] + (column[None, :] > best[:, None])
-        ids[:, :width] = np.take_along_axis(ids, moved, 1)
-        bound[:, :width] = np.take_along_axis(bound, moved, 1)
-        near = np.minimum(moved[:, : width - 1], width - 2)
-        past = moved[:, : width - 1] > width - 2
-        made, rank = np.take_along_axis(made, near, 1), np.take_along_axis(rank, near, 1)
-        made[past], rank[past] = -1, _NONE
+        later = column[None, :width] > best[:, None]
+        ids = np.where(later[:, : width - 1], ids[:, 1:], ids[:, :-1])
+        bound = np.where(later, bound[:, 1:], bound[:, :-1])
+        made = np.where(later[:, : width - 2], made[:, 1:], made[:, :-1])
+        rank = np.where(later[:, : width - 2], rank[:, 1:], rank[:, :-1])
         counts[rows] -= 1
-        for at, use in ((best, best < width - 1), (best - 1, best > 0)):
+        for at, use in ((best, best < width - 2), (best - 1, best > 0)):
             r, j = own[use], at[use]
-            made[r, j], rank[r, j] = judge(ids[r, j], ids[r, j + 1], bound[r, j], bound[r, j + 1], bound[r, np.minimum(j + 2, width)], keys[r])
+            made[r, j], rank[r, j] = judge(ids[r, j], ids[r, j + 1], bound[r, j], bound[r, j + 1], bound[r, j + 2], keys[r])
     return out, counts
 
 
@@ -274,8 +292,9 @@ def encode_texts(model: PieceModel, texts: list[str], keys: np.ndarray, rate: fl
             continue
         column = np.arange(width)[None, :]
         inside = column < u_size[rows, None]
-        ids = np.where(inside, char[np.minimum(u_start[rows, None] + column, len(codes) - 1)], np.int32(-1)).astype(np.int32)
-        made, n = _agendas(t, ids, u_size[rows], unique[rows], rate)
+        place = np.minimum(u_start[rows, None] + column, len(codes) - 1)
+        ids = np.where(inside, char[place], np.int32(-1)).astype(np.int32)
+        made, n = _agendas(t, ids, codes[place], u_size[rows], unique[rows], rate)
         counts[rows] = n
         flat_parts.append((rows, made[np.arange(width)[None, :] < n[:, None]]))
     for i in np.flatnonzero(~odd & (u_size > _SHORT)):

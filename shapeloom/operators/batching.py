@@ -17,6 +17,10 @@ from shapeloom.operators.ordered import number_rows
 BatchFn = Callable[[pd.DataFrame], pd.DataFrame]
 
 
+#: Rows that wait for their batch to fill may hold so much in a task.
+HELD_BYTES = 512 << 20
+
+
 def chunk_rows(df: DataFrame, shape: list[str], order: list[str], batch_size: int, block: Column | None = None) -> DataFrame:
     """Add ``chunk`` and ``chunk_pos``: full chunks of ``batch_size`` per shape, then the rest.
 
@@ -75,12 +79,13 @@ def apply_batches(chunked: DataFrame, shape: list[str], fn: BatchFn, schema: T.S
     return placed.mapInPandas(run, schema)
 
 
-def apply_local_batches(df: DataFrame, shape: list[str], fn: BatchFn, schema: T.StructType | str, batch_size: int) -> DataFrame:
+def apply_local_batches(df: DataFrame, shape: list[str], fn: BatchFn, schema: T.StructType | str, batch_size: int, held_bytes: int = HELD_BYTES) -> DataFrame:
     """Like ``apply_batches`` without any exchange: batches form inside each input partition.
 
     Use it when rows carry pixels and ``shape`` has few values (bucket sizes): a
-    task holds at most ``batch_size`` rows per shape. Rows keep their own results
-    whatever batch they fall into; only the last batch per shape and task is short.
+    task holds at most ``batch_size`` rows per shape, and what waits is worked off early
+    once it exceeds ``held_bytes``. Rows keep their own results whatever batch they
+    fall into.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -94,7 +99,12 @@ def apply_local_batches(df: DataFrame, shape: list[str], fn: BatchFn, schema: T.
                     whole = len(ready) // batch_size * batch_size
                     for begin in range(0, whole, batch_size):
                         yield fn(ready.iloc[begin : begin + batch_size].reset_index(drop=True))
-                    waiting[key] = [ready.iloc[whole:]] if whole < len(ready) else []
+                    waiting[key] = [ready.iloc[whole:].copy()] if whole < len(ready) else []
+            if sum(int(rows.memory_usage(deep=True).sum()) for held in waiting.values() for rows in held) > held_bytes:
+                for key, held in waiting.items():
+                    if held:
+                        yield fn(pd.concat(held, ignore_index=True))
+                        waiting[key] = []
         for held in waiting.values():
             if held:
                 yield fn(pd.concat(held, ignore_index=True))

@@ -31,7 +31,7 @@ from shapeloom.operators.consolidate import caption_map
 from shapeloom.operators.encoders import caption_images, encode_texts, model_token, once_per_worker
 from shapeloom.operators.joins import optional_captions, pair_members, required_captions
 from shapeloom.operators.pixels import PLAN_COLUMNS, SETUP_FAULTS, SetupFault, carry_out, decode_with_pillow, encode_batch, image_seeds
-from shapeloom.session import shared_dir
+from shapeloom.session import shared_dir, ship_package
 from shapeloom.sinks.writers import write_partitioned
 from shapeloom.sources.catalog import scan_catalog
 from shapeloom.sources.tar import ShardFiles, fetch_tasks, list_inputs, list_shards, place_by_range, scan_tar
@@ -299,6 +299,7 @@ def prepare_catalog(
     By default nothing is exchanged: a task writes one file per resolution it meets.
     ``compact`` shuffles the latents once for fewer, larger files.
     """
+    ship_package(spark)
     space = Workspace(work)
     listing = list_inputs(spark, root, "*.parquet")
     if partitions:
@@ -414,6 +415,7 @@ def prepare_tar(
     once, as slim rows without pixels; that table drives the encoding, the rejects
     (no sidecar, a malformed one, no key) and the counters. Compressed shards are unpacked as they are read.
     """
+    ship_package(spark)
     space, job = Workspace(work), uuid.uuid4().hex
     listing = list_shards(spark, folder).withColumnRenamed("shard", "path")
     for run_id, paths in _rounds(spark, space, listing, run, max_files):
@@ -486,6 +488,7 @@ def prepare_table(images: DataFrame, captions: DataFrame, settings: ImageSetting
     could not be encoded are kept there with the reason, see ``read_table_rejects``.
     """
     spark = images.sparkSession
+    ship_package(spark)
     work = work or shared_dir(spark, "table-job")
     slim = images.drop(*(drop or [])).withColumnRenamed(image, "bytes")
     ids = images.select("image_id")

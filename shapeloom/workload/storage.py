@@ -112,7 +112,7 @@ def regroup_catalog(spark, sf_dir):
         part = docs.filter(n % 2 == top)
         writers.write_partitioned(part, f"{out}/in/{top}", ["least_dim_range", "aspect_ratio_bucket"])
     rows = catalog.scan_catalog(spark, f"{out}/in", ["0", "1"], ["doc_id", "text"], schema="doc_id bigint, text string")
-    writers.write_partitioned(catalog.regroup(rows, "aspect_ratio_bucket"), f"{out}/regrouped", ["aspect_ratio_bucket"])
+    writers.write_partitioned(catalog.regroup(rows, "aspect_ratio_bucket"), f"{out}/regrouped", ["aspect_ratio_bucket"], rebalance=False)
     return spark.read.parquet(f"{out}/regrouped").select("doc_id", "aspect_ratio_bucket")
 
 

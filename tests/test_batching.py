@@ -113,3 +113,25 @@ def test_a_filter_on_a_model_result_does_not_run_it_again(spark, plan):
     latent = encoders.encode_tensors(F.col("v"), encoders.projection_encoder(2, 3), 2)
     exploded = vectors.select(F.explode(latent).alias("x")).filter("x > -100")
     assert plan(exploded).count("ArrowEvalPython") == 1
+
+
+def test_waiting_rows_are_bounded_by_bytes(spark):
+    import pandas as pd
+
+    from shapeloom.operators.batching import apply_local_batches
+
+    rows = spark.range(400).selectExpr("id", "id % 7 AS shape", "repeat('x', 1000) AS payload").coalesce(1)
+
+    def size(frame):
+        return pd.DataFrame({"id": frame["id"], "n": len(frame)})
+
+    def batches(limit):
+        return {r.id: r.n for r in apply_local_batches(rows, ["shape"], size, "id long, n long", 100, limit).collect()}
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        free, bound = batches(1 << 30), batches(60_000)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert set(free) == set(bound) == set(range(400))
+    assert max(free.values()) > 50 and max(bound.values()) < 20

@@ -1,12 +1,15 @@
-"""Near-duplicate vectors by sorted passes over random projections.
+"""Near-duplicate vectors by buckets of random hyperplane signs.
 
 1. Equal vectors of a label are counted once.
-2. Every pass gives a vector a string of random hyperplane signs, sorts each label
-   by it across the cluster and compares every vector with the next ``window`` ones.
-   The number of passes follows from the largest label and the target recall.
+2. Every pass puts the vectors of a label that agree on ``depth`` random hyperplane
+   signs into one bucket and compares all pairs of a bucket, in blocks of bounded
+   size. A pair at the wanted cosine shares a bucket with a chance that depends on
+   ``depth`` alone, however the other vectors lie, so the passes follow from depth
+   and target recall. The depth of a large label is the one of least cost by its
+   measured bucket sizes; depth 0 compares all its pairs once.
 3. Vectors linked in some pass, directly or through others, form a cluster
    (union across passes). Inside a cluster all pairs are checked, block against
-   block, so a window that is smaller than a dense group loses no link of it.
+   block.
 """
 
 from __future__ import annotations
@@ -20,25 +23,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shapeloom.llm import blocks
-from shapeloom.llm.common import ship, stored
+from shapeloom.llm.common import run_starts, share, ship, stored, whole_groups
 from shapeloom.llm.components import connected_components
 
 _BLOCK = 1024
 _BITS = 62
-
-
-def passes_for(largest: int, window: int, similarity: float, recall: float) -> int:
-    """Passes after which a pair at this cosine was within the window once, with chance ``recall``.
-
-    A pair is, as soon as its signs agree on a prefix that fewer than ``window``
-    vectors of its label are expected to share.
-    """
+#: Rows of a bucket that are compared in one piece; a larger bucket is cut.
+_CELL = 2048
+#: Labels up to this size are compared whole; larger ones are measured.
+_DIRECT = 8192
+#: Comparisons that cost as much as one row's way through a pass.
+_ROW_COST = 1024
+#: Rows of a label (in expectation) and passes that its bucket sizes are measured on, and the depths tried.
+_TRIAL_ROWS, _TRIALS, _DEPTHS = 2048, 2, range(0, _BITS, 3)
+_BUCKET = ["pass", "label", "size", "key"]
+
+
+def passes_at(bits: int, similarity: float, recall: float) -> int:
+    """Passes after which a pair at this cosine agreed on ``bits`` signs once, with chance ``recall``."""
     agree = 1 - math.acos(min(similarity, 1.0)) / math.pi
-    bits = min(_BITS, max(0, math.ceil(math.log2(max(largest, 1) / window))) + 2)
     met = agree**bits
     return 1 if met >= recall else math.ceil(math.log(1 - recall) / math.log(1 - met))
 
 
+def passes_for(largest: int, window: int, similarity: float, recall: float) -> int:
+    """The passes of a label of ``largest`` evenly spread vectors, cut into buckets of under ``window``."""
+    return passes_at(min(_BITS, max(0, math.ceil(math.log2(max(largest, 1) / window))) + 2), similarity, recall)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     """Equally long vectors as unit rows in double precision."""
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
@@ -46,30 +58,64 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(1, keepdims=True))
 
 
-def _keys(rows: np.ndarray, passes: int, seed: int) -> np.ndarray:
-    """One number per vector and pass whose order is that of its sign strings."""
-    out = np.empty((len(rows), passes), np.int64)
-    place = np.left_shift(np.int64(1), np.arange(_BITS - 1, -1, -1, dtype=np.int64))
-    for p in range(passes):
-        planes = np.random.default_rng([seed, p, rows.shape[1]]).standard_normal((rows.shape[1], _BITS))
-        out[:, p] = (rows @ planes > 0) @ place
-    return out
+def _keys(rows: np.ndarray, number: int, depth: int, seed: int) -> np.ndarray:
+    """The first ``depth`` signs of every vector in pass ``number``, as one number."""
+    planes = np.random.default_rng([seed, number, rows.shape[1]]).standard_normal((rows.shape[1], _BITS))[:, :depth]
+    return (rows @ planes > 0) @ np.left_shift(np.int64(1), np.arange(depth - 1, -1, -1, dtype=np.int64))
+
+
+def _bucket_rows(seed: int, with_vectors: bool):
+    """Every vector once a pass, with its bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds = np.stack([batch[c].to_numpy() for c in ("size", "depth", "passes")])
+            for size, depth, passes in np.unique(kinds, axis=1).T.tolist():
+                part = batch.filter(pa.array((kinds.T == [size, depth, passes]).all(1)))
+                rows = _matrix(part["v"])
+                for p in range(passes):
+                    columns = [pa.array(np.full(len(rows), p, np.int32)), part["label"], part["size"], pa.array(_keys(rows, p, depth, seed))]
+                    more, names = ([part["rep"], part["v"]], ["rep", "v"]) if with_vectors else ([], [])
+                    yield pa.RecordBatch.from_arrays([*columns, *more], [*_BUCKET, *names])
+
+    return run
+
 
+def _trial_rows(seed: int):
+    """Prefixes of every depth for the vectors whose label is measured."""
 
-def _pass_rows(passes: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = batch["size"].to_numpy()
             for size in np.unique(sizes):
                 part = batch.filter(pa.array(sizes == size))
-                keys = _keys(_matrix(part["v"]), passes, seed)
-                for p in range(passes):
-                    columns = [pa.array(np.full(len(part), p, np.int32)), part["label"], part["size"], pa.array(keys[:, p]), part["rep"], part["v"]]
-                    yield pa.RecordBatch.from_arrays(columns, ["pass", "label", "size", "key", "rep", "v"])
+                rows = _matrix(part["v"])
+                for t in range(_TRIALS):
+                    keys = _keys(rows, t, _BITS, seed + 1)
+                    for depth in _DEPTHS:
+                        columns = [part["label"], part["size"], part["n"], *(pa.array(np.full(len(rows), x, np.int32)) for x in (t, depth)), pa.array(keys >> (_BITS - depth))]
+                        yield pa.RecordBatch.from_arrays(columns, ["label", "size", "n", "trial", "depth", "key"])
 
     return run
 
 
+def _plan(distinct: DataFrame, similarity: float, recall: float, seed: int) -> DataFrame:
+    """``label, size, depth, passes`` of the labels above ``_DIRECT`` vectors, at the least cost by measured bucket sizes.
+
+    The sizes are measured on a hashed share of a label; they decide the cost, never the recall.
+    """
+    large = stored(distinct.groupBy("label", "size").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > _DIRECT), "large")
+    trial = distinct.join(large, ["label", "size"]).where(share("rep", seed=seed) < F.lit(float(_TRIAL_ROWS)) / F.col("n"))
+    prefixes = trial.select("label", "size", "n", "v").mapInArrow(_trial_rows(seed), "label string, size int, n long, trial int, depth int, key long")
+    buckets = prefixes.groupBy("label", "size", "n", "trial", "depth", "key").agg(F.count(F.lit(1)).cast("double").alias("c"))
+    measured = buckets.groupBy("label", "size", "n", "depth").agg(F.sum("c").alias("rows"), F.sum(F.col("c") * (F.col("c") - 1)).alias("pairs"))
+    drawn = F.col("rows") / _TRIALS
+    pairs = F.col("pairs") / _TRIALS / 2 * F.pow(F.col("n") / drawn, F.lit(2))
+    passes = F.element_at(F.array(*[F.lit(passes_at(d, similarity, recall)) for d in _DEPTHS]), ((F.col("depth") - _DEPTHS.start) / _DEPTHS.step).cast("int") + 1)
+    cost = passes * (F.col("n") * _ROW_COST + pairs)
+    return stored(measured.groupBy("label", "size").agg(F.min_by(F.struct("depth", passes.alias("passes")), cost).alias("best")).select("label", "size", "best.*"), "depths")
+
+
 def _roots_of_pairs(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     root = np.arange(n)
     while True:
@@ -82,39 +128,70 @@ def _roots_of_pairs(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _windows(window: int, similarity: float):
+def _roots_of_rows(rows: np.ndarray, split: int, similarity: float) -> np.ndarray:
+    """Smallest position reachable over links of the first ``split`` rows with the others (or with each other).
+
+    Pairs that are already connected are left out, so a dense group costs little.
+    """
+    n = len(rows)
+    root = np.arange(n)
+
+    def join(a: np.ndarray, b: np.ndarray) -> None:
+        nonlocal root
+        if (root[a].min() == root[a].max()) and (root[b] == root[a[0]]).all():
+            return
+        near = (rows[a] @ rows[b].T >= similarity) & (root[a][:, None] != root[b][None, :])
+        x, y = np.nonzero(near)
+        if len(x):
+            root = _roots_of_pairs(n, np.append(np.arange(n), a[x]), np.append(root, b[y]))
+
+    left, right = np.arange(split), np.arange(split if split < n else 0, n)
+    join(left[:32], right)
+    left, right = left[np.argsort(root[left], kind="stable")], right[np.argsort(root[right], kind="stable")]
+    for i in range(0, len(left), 512):
+        for j in range(0 if split < n else i, len(right), 512):
+            join(left[i : i + 512], right[j : j + 512])
+    return root
+
+
+def _compare_buckets(similarity: float):
+    """One link for each vector that is linked within its bucket, by which those it reaches come together."""
+    keys = [*_BUCKET, "lo", "hi"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            own = pa.Table.from_batches([batch])
-            table = own if held is None else pa.concat_tables([held, own])
-            fresh = 0 if held is None else held.num_rows
-            held = table.slice(max(0, table.num_rows - window))
-            number, label, size, rep = (table[c].to_numpy() for c in ("pass", "label", "size", "rep"))
-            left, right = [], []
-            starts = np.flatnonzero(np.append(True, (number[1:] != number[:-1]) | (label[1:] != label[:-1]) | (size[1:] != size[:-1])))
-            for a, b in zip(starts, np.append(starts[1:], len(rep)), strict=True):
-                if b - a < 2 or b <= fresh:
+        for table in whole_groups(batches, keys):
+            table = table.combine_chunks()
+            rep, block, lo, hi = (table[c].to_numpy() for c in ("rep", "block", "lo", "hi"))
+            label = table["label"].combine_chunks().dictionary_encode().indices.to_numpy() if len(table) else rep
+            bounds = run_starts(*(table[c].to_numpy() for c in ("pass", "size", "key")), label, lo, hi)
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                split = int((block[a:b] == lo[a]).sum())
+                if b - a < 2 or split == 0 or (lo[a] != hi[a] and split == b - a):
                     continue
-                rows = _matrix(table["v"].slice(a, b - a).combine_chunks())
-                for step in range(1, min(window, b - a - 1) + 1):
-                    near = np.flatnonzero(np.einsum("ij,ij->i", rows[:-step], rows[step:]) >= similarity)
-                    left.append(near + a)
-                    right.append(near + a + step)
-            if not left:
-                continue
-            x, y = np.concatenate(left), np.concatenate(right)
-            if not len(x):
-                continue
-            root = _roots_of_pairs(len(rep), x, y)
-            some = np.flatnonzero(root != np.arange(len(rep)))
-            yield pa.RecordBatch.from_arrays([pa.array(rep[some]), pa.array(rep[root[some]])], ["a", "b"])
+                root = _roots_of_rows(_matrix(table["v"].slice(a, b - a).combine_chunks()), split, similarity)
+                some = np.flatnonzero(root != np.arange(b - a))
+                if len(some):
+                    yield pa.RecordBatch.from_arrays([pa.array(rep[a + some]), pa.array(rep[a + root[some]])], ["a", "b"])
 
     return run
 
 
+def _candidates(distinct: DataFrame, similarity: float, recall: float, seed: int) -> DataFrame:
+    """Links ``a, b`` that connect, with chance ``recall`` at least, any two vectors that are near."""
+    planned = distinct.join(_plan(distinct, similarity, recall, seed), ["label", "size"], "left")
+    planned = planned.select("label", "size", "rep", "v", F.coalesce("depth", F.lit(0)).alias("depth"), F.coalesce("passes", F.lit(1)).alias("passes"))
+    bucket = "pass int, label string, size int, key long"
+    counted = planned.mapInArrow(_bucket_rows(seed, False), bucket).groupBy(*_BUCKET).count().where(F.col("count") > _CELL)
+    cut = stored(counted.select(*_BUCKET, F.ceil(F.col("count") / _CELL).cast("int").alias("blocks")), "cut")
+    rows = planned.mapInArrow(_bucket_rows(seed, True), f"{bucket}, rep long, v array<double>").join(cut, _BUCKET, "left")
+    rows = rows.withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other", "blocks")
+    keys = [*_BUCKET, "lo", "hi"]
+    dealt = rows.repartition(*keys).sortWithinPartitions(*keys, "block", "rep")
+    return dealt.mapInArrow(_compare_buckets(similarity - 1e-9), "a long, b long")
+
+
 def _linked(similarity: float):
     def linked(packed: list[bytes], split: int) -> np.ndarray:
         rows = np.stack([np.frombuffer(p, np.float64) for p in packed])
@@ -135,7 +212,7 @@ def _unit_payload(members: DataFrame) -> DataFrame:
     return members.select(*blocks.MEMBER, "v").mapInArrow(run, "cluster long, blocks int, block int, rep long, mult long, payload binary")
 
 
-def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", similarity: float = 0.98, window: int = 32, recall: float = 0.99999, seed: int = 23) -> DataFrame:
+def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", similarity: float = 0.98, recall: float = 0.99999, seed: int = 23) -> DataFrame:
     """``id, n_links, component_id, kept`` for every row of ``vectors``.
 
     Only vectors with equal labels that are not null, and of equal length, are
@@ -153,11 +230,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     distinct = single.groupBy("label", "v").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("mult"))
     distinct = stored(distinct.withColumn("size", F.size("v")), "vectors")
 
-    largest = distinct.groupBy("label", "size").count().agg(F.max("count").alias("n")).first().n or 0
-    passes = passes_for(largest, window, similarity, recall)
-    sorted_rows = distinct.select("label", "size", "rep", "v").mapInArrow(_pass_rows(passes, seed), "pass int, label string, size int, key long, rep long, v array<double>")
-    order = ["pass", "label", "size", "key", "rep"]
-    edges = sorted_rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_windows(window, similarity), "a long, b long")
+    edges = _candidates(distinct, similarity, recall, seed)
     clusters = connected_components(edges).withColumnsRenamed({"id": "rep", "component": "cluster"})
 
     members = stored(clusters.join(distinct, "rep"), "members")

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from shapeloom.llm import queries, vectors
 
@@ -64,3 +65,35 @@ def test_query_against_brute_force(spark):
 def test_passes_grow_with_the_labels():
     few, many = (vectors.passes_for(n, 32, 0.98, 0.99999) for n in (1000, 10**9))
     assert 1 <= few < many < 100
+
+
+def cone(draw, n, pairs, mutual, size=64):
+    """Unit vectors at about this cosine to each other, and for the first ``pairs`` one at 0.982 in the same cone."""
+    axis = np.eye(size)[0]
+    side = draw.standard_normal((n, size))
+    side[:, 0] = 0
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    rows = np.sqrt(mutual) * axis + np.sqrt(1 - mutual) * side
+    aside = draw.standard_normal((pairs, size))
+    aside[:, 0] = 0
+    aside -= (aside * side[:pairs]).sum(1, keepdims=True) * side[:pairs]
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    c = (0.982 - mutual) / (1 - mutual)
+    return np.concatenate([rows, np.sqrt(mutual) * axis + np.sqrt(1 - mutual) * (c * side[:pairs] + np.sqrt(1 - c * c) * aside)])
+
+
+@pytest.mark.parametrize(("mutual", "whole"), [(0.90, False), (0.95, True), (0.94, False)])
+def test_cones_lose_no_pair(spark, monkeypatch, mutual, whole):
+    """Labels whose vectors all lie close together, compared whole or in measured buckets."""
+    if not whole:
+        depths = vectors._DEPTHS if mutual < 0.92 else range(6, 7, 3)
+        for name, value in (("_DIRECT", 256), ("_ROW_COST", 16), ("_CELL", 300), ("_DEPTHS", depths)):
+            monkeypatch.setattr(vectors, name, value)
+    units = cone(np.random.default_rng(7), 4000, 400, mutual)
+    table = [(i, v.tolist(), 1) for i, v in enumerate(units)]
+    frame = spark.createDataFrame(table, "vec_id long, embedding array<double>, label int").repartition(4)
+    if not whole:
+        distinct = frame.selectExpr("cast(label as string) label", "embedding v", "vec_id rep", "size(embedding) size")
+        plan = vectors._plan(distinct, 0.98, 0.99999, 23).first()
+        assert plan.depth > 0 and plan.passes == vectors.passes_at(plan.depth, 0.98, 0.99999)
+    assert got(vectors.near_vectors(frame)) == brute(table)

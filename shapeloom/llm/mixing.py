@@ -2,14 +2,15 @@
 
 A labelled table names the domain of some documents. A softmax classifier over
 the words that tell domains apart (and four coarse traits of the text) gives every
-document a probability for each domain. Projected gradient descent then
-finds nonnegative document rates, closest to 1 along the gradient path, whose
+document a probability for each domain. Projected steps along the gradient, scaled
+by its curvature, then find the nonnegative document rates closest to 1 whose
 expected token totals by domain meet the targets.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -203,25 +204,73 @@ def rate_of(chances: Column, steps: list[list[float]]) -> Column:
 
 @dataclass
 class Mixture:
-    """Targets and reached totals by domain, and the gradient steps that give a document its rate."""
+    """Targets and reached totals by domain, the steps that give a document its rate, and whether all targets are met."""
 
     domains: list[str]
     before: list[float]
     targets: list[float]
     after: list[float]
     steps: list[list[float]]
+    reached: bool = True
 
 
-def fit_rates(slim: DataFrame, domains: list[str], weights: dict[str, float], anchor: str, max_steps: int = 16, tolerance: float = 2e-3) -> Mixture:
-    """Projected gradient descent on the weighted squares of (expected tokens - target).
+def _solve_rates(slim: DataFrame, before: list[float], targets: list[float], scale: float, met: Callable[[list[float]], bool]) -> tuple[list[float], list[float]]:
+    """``x`` of the rates ``max(0, 1 - chances . x)``, and the totals by domain that they give.
+
+    Minimises the dual of the distance from 1 plus a large multiple of the squared
+    distances from the targets: convex and piecewise quadratic, so that the steps end.
+    """
+    k, t = len(targets), np.array(targets)
+    chance = [F.get(F.col("chances"), F.lit(j)) for j in range(k)]
+    give = 1e-8 * np.maximum(np.maximum(before, t), 1e-9 * scale)
+
+    def evaluate(x: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        rated = slim.select("tokens", "chances", rate_of(F.col("chances"), [x.tolist()]).alias("r"))
+        live = F.when(F.col("r") > 0, F.col("tokens")).otherwise(0.0)
+        row = rated.agg(
+            F.sum(F.col("tokens") * F.col("r") * F.col("r")).alias("square"), *[F.sum(F.col("tokens") * F.col("r") * c).alias(f"s{j}") for j, c in enumerate(chance)],
+            *[F.sum(live * chance[i] * chance[j]).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k)],
+        ).first()
+        moment = np.array([[row[f"m{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)])
+        return row["square"] / 2 + float(t @ x + give @ (x * x) / 2), np.array([row[f"s{j}"] for j in range(k)]), moment
+
+    x, now = np.zeros(k), np.array(before)
+    if met(before):
+        return x.tolist(), before
+    value, now, moment = evaluate(x)
+    while not met(now.tolist()):
+        slope = t - now + give * x
+        step = -np.linalg.solve(moment + np.diag(give), slope)
+        fall = float(slope @ step)
+        if not fall < -1e-12 * max(abs(value), scale):
+            break
+        length = 1.0
+        while length > 1e-15:
+            new = evaluate(x + length * step)
+            if new[0] <= value + 1e-4 * length * fall:
+                break
+            length /= 4
+        else:
+            break
+        x = x + length * step
+        value, now, moment = new
+    return x.tolist(), now.tolist()
+
+
+def fit_rates(slim: DataFrame, domains: list[str], weights: dict[str, float], anchor: str, max_steps: int | None = None, tolerance: float = 2e-3) -> Mixture:
+    """Rates closest to 1 (weighted by tokens) whose expected token totals meet the targets.
 
     ``slim`` holds ``tokens`` and the array ``chances``; it is read once per step,
-    and each pass returns one total per domain. Targets are in proportion to
-    ``weights``; the ``anchor`` domain keeps its present total, so the others are
-    measured against it. A document's step is its gradient divided by its tokens,
-    so length does not decide how far a rate moves; the step size is the inverse
-    of the largest curvature, from one pass over all documents. Stops when every
-    total is within ``tolerance`` of its target, relative to the anchor's.
+    and each pass returns a few totals. Targets are in proportion to ``weights``; the
+    ``anchor`` domain keeps its present total, so the others are measured against
+    it. The rates sought are ``max(0, 1 - chances . x)``; Newton steps find ``x``
+    until every total is within ``tolerance`` of its own target (of the anchor's for
+    a target of 0), or no step brings them closer. Then ``reached`` is false, and the
+    rates leave the least squares of the distances, weighted by the larger of target
+    and present total. A ``max_steps`` asks for
+    so many plain steps of projected gradient descent on the weighted squares of
+    (expected tokens - target) at most: a document's step is its gradient
+    divided by its tokens, the step size the inverse of the largest curvature.
     """
     k = len(domains)
     share_of = [max(0.0, float(weights.get(d, 0.0))) for d in domains]
@@ -237,19 +286,27 @@ def fit_rates(slim: DataFrame, domains: list[str], weights: dict[str, float], an
     scale = before[domains.index(anchor)] / share_of[domains.index(anchor)]
     targets = [scale * w for w in share_of]
     if scale <= 0:
-        return Mixture(domains, before, targets, before, [])
+        return Mixture(domains, before, targets, before, [], not any(targets))
+    allowed = [tolerance * (t or targets[domains.index(anchor)]) for t in targets]
+
+    def met(totals: list[float]) -> bool:
+        return all(abs(a - t) <= e for a, t, e in zip(totals, targets, allowed, strict=True))
+
+    if max_steps is None:
+        x, now = _solve_rates(slim, before, targets, scale, met)
+        return Mixture(domains, before, targets, now, [x] if any(x) else [], met(now))
     inverse = [1 / max(b, t, 1e-9 * scale) for b, t in zip(before, targets, strict=True)]
     curvature = max(sum(moments[f"m{min(i, j)}_{max(i, j)}"] * math.sqrt(inverse[i] * inverse[j]) for j in range(k)) for i in range(k))
     steps: list[list[float]] = []
     now = before
     for _ in range(max_steps):
-        if max(abs(a - t) for a, t in zip(now, targets, strict=True)) <= tolerance * targets[domains.index(anchor)]:
+        if met(now):
             break
         steps.append([w * (a - t) / curvature for w, a, t in zip(inverse, now, targets, strict=True)])
         rated = slim.select("tokens", "chances", rate_of(F.col("chances"), steps).alias("r"))
         row = rated.agg(*[F.sum(F.col("tokens") * F.col("r") * c).alias(f"s{j}") for j, c in enumerate(chance)]).first()
         now = [row[f"s{j}"] for j in range(k)]
-    return Mixture(domains, before, targets, now, steps)
+    return Mixture(domains, before, targets, now, steps, met(now))
 
 
 def with_chances(docs: DataFrame, model: DomainModel, text_col: str = "text") -> DataFrame:
@@ -279,6 +336,9 @@ def mix_rates(docs: DataFrame, labels: DataFrame, weights: dict[str, float], anc
     judged = with_chances(docs, model, text_col).withColumn("__key", F.col(id_col))
     judged = stored(judged.select(*(docs.columns if carry is None else carry), *new), "chances")
     mixture = fit_rates(judged.select(F.col("__tokens").alias("tokens"), F.col("__chances").alias("chances")), model.domains, weights, anchor)
+    if not mixture.reached:
+        told = ", ".join(f"{d} {a:.0f} of {t:.0f}" for d, a, t in zip(mixture.domains, mixture.after, mixture.targets, strict=True))
+        warnings.warn(f"the rates miss their targets (expected tokens by domain: {told})", stacklevel=2)
     rated = judged.withColumn("__rate", rate_of(F.col("__chances"), mixture.steps))
     rated = rated.withColumn("__copies", copies_of(F.col("__rate"), "__key")).drop("__key")
     for name in ("tokens", "chances", "rate", "copies"):

@@ -37,6 +37,29 @@ def test_rates_against_numpy_and_targets(spark):
     assert np.allclose(sorted(got), sorted(wanted)) and min(got) >= 0
 
 
+@pytest.mark.parametrize(
+    ("shares", "weights"),
+    [((0.983, 0.002, 0.015), (0.975, 0.02, 0.005)), ((0.98, 0.01, 0.01), (0.6, 0.3, 0.1)), ((0.9, 0.08, 0.02), (1, 1, 1)), ((0.5, 0.3, 0.2), (0.9, 0.09, 0.01))],
+)
+def test_rates_reach_targets_above_and_below(spark, shares, weights):
+    draw = np.random.default_rng(3)
+    own = np.repeat(np.arange(3), np.round(np.array(shares) * 2000).astype(int))
+    chances = 0.001 * draw.dirichlet([1, 1, 1], len(own)) + 0.999 * np.eye(3)[own]
+    table = slim(spark, chances, draw.integers(50, 500, len(own)))
+    names = ["a", "b", "c"]
+    fitted = mixing.fit_rates(table, names, dict(zip(names, weights)), "a")
+    rated = table.select("tokens", "chances", mixing.rate_of(F.col("chances"), fitted.steps).alias("r")).collect()
+    totals = sum(r.tokens * r.r * np.array(r.chances) for r in rated)
+    assert fitted.reached and min(r.r for r in rated) >= 0 and np.allclose(totals, fitted.after)
+    assert (np.abs(totals - fitted.targets) <= 2e-3 * np.array(fitted.targets)).all()
+
+
+def test_targets_out_of_reach_are_reported(spark):
+    table = slim(spark, [[0.9, 0.1], [0.8, 0.2]], [100, 100])
+    fitted = mixing.fit_rates(table, ["a", "b"], {"a": 0.99, "b": 0.01}, "a")
+    assert not fitted.reached and all(np.isfinite(fitted.after)) and np.abs(fitted.after[1] - fitted.targets[1]) > 1
+
+
 def test_softmax_against_numpy(spark):
     draw = np.random.default_rng(6)
     marks, domains = ["m0", "m1", "m2"], ["x", "y"]

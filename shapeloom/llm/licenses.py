@@ -1,6 +1,8 @@
 """Licence scan: a trained paragraph classifier, confirmed against templates.
 
-Texts are cut into paragraphs (lines, and sentences within them). Features are the
+Texts are cut into paragraphs (lines, and sentences within them); notices wrapped
+over lines are looked for in windows of neighbouring lines, without the comment
+marks at their beginnings. Features are the
 word pairs and triples that occur in the licence templates; all others weigh
 nothing, so a paragraph without one is of the class ``unknown`` and costs a table
 lookup per word. A softmax over these sparse features is trained on the templates
@@ -46,6 +48,8 @@ UNLIKE = (
 FAMILIES = (*TEMPLATES, "unknown")
 _SLOTS = 1 << 20
 _CHUNK = 1 << 19
+#: Neighbouring lines over which a statement may be wrapped: as many as leave two words a line of the longest template, and more.
+_LINES = 12
 
 
 def _prepared(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -65,6 +69,27 @@ def _prepared(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return out, np.unique(np.concatenate([offsets, cut]))
 
 
+def _unwrapped(clean: np.ndarray, bounds: np.ndarray, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``clean`` without comment marks before words, and where runs of lines begin (places in ``bounds``, and its last).
+
+    A run ends at the end of a sentence, of the text, and at a line without words.
+    """
+    out = clean.copy()
+    space, mark = np.zeros(256, bool), np.zeros(256, bool)
+    space[[9, 10, 11, 12, 13, 32]] = True
+    mark[list(b"/-%!")] = True
+    for _ in range(3):
+        before = np.ones(len(out), bool)
+        before[1:] = space[out[:-1]]
+        before[offsets[:-1][offsets[:-1] < len(out)]] = True
+        out[before & mark[out]] = 32
+    words = np.append(0, np.cumsum(~space[out]))
+    blank = np.diff(words[bounds]) == 0
+    new = np.isin(bounds, offsets)
+    new[1:-1] |= (data[bounds[1:-1] - 1] != 10) | blank[1:]
+    return out, np.flatnonzero(new)
+
+
 def _grams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Slots of the word pairs and triples of each paragraph, without repeats."""
     two, at2 = word_ngrams(data, bounds, 2)
@@ -101,10 +126,8 @@ class LicenseModel:
         np.add.at(z, place, self.weights[column])
         return rows, _softmax(z / self.temperature)
 
-    def find(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(text, first byte, end byte, family, chance) of every confirmed statement."""
-        clean, bounds = _prepared(data, offsets)
-        owner, column = self.active(clean, bounds)
+    def confirmed(self, owner: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(paragraph, family, chance) of those that are likely and hold a template of their family."""
         rows, chance = self.chances(owner, column)
         best = chance.argmax(1)
         top = chance[np.arange(len(rows)), best]
@@ -115,9 +138,40 @@ class LicenseModel:
             if any(f == best[i] and np.isin(t, own).mean() >= self.least_contained for f, t in self.templates):
                 kept.append(i)
         kept = np.array(kept, np.int64)
-        start, end = bounds[rows[kept]], bounds[rows[kept] + 1]
+        return rows[kept], best[kept], top[kept]
+
+    def wrapped(self, clean: np.ndarray, bounds: np.ndarray, runs: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
+        """(first line, end line, family, chance) of confirmed windows of lines, within runs of several that hold a template; short windows first."""
+        owner, column = self.active(clean, bounds[runs])
+        places = np.flatnonzero(np.diff(runs) > 1)
+        for k in places[np.isin(places, owner)]:
+            own = column[np.searchsorted(owner, k) : np.searchsorted(owner, k, "right")]
+            if not any(np.isin(t, own).mean() >= self.least_contained for _, t in self.templates):
+                continue
+            for n in range(2, min(_LINES, runs[k + 1] - runs[k]) + 1):
+                first = np.arange(runs[k], runs[k + 1] - n + 1)
+                parts = [clean[bounds[i] : bounds[i + n]] for i in first]
+                rows, family, chance = self.confirmed(*self.active(np.concatenate(parts), np.append(0, np.cumsum([len(x) for x in parts]))))
+                for r, f, c in zip(rows, family, chance, strict=True):
+                    yield int(first[r]), int(first[r]) + n, int(f), float(c)
+
+    def find(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(text, first byte, end byte, family, chance) of every confirmed statement."""
+        clean, bounds = _prepared(data, offsets)
+        rows, family, chance = self.confirmed(*self.active(clean, bounds))
+        taken = {(int(f), int(r)) for f, r in zip(family, rows, strict=True)}
+        spans = [(int(r), int(r) + 1, int(f), float(c)) for r, f, c in zip(rows, family, chance, strict=True)]
+        joined, runs = _unwrapped(clean, bounds, offsets, data)
+        for first, last, f, c in self.wrapped(joined, bounds, runs):
+            own = {(f, line) for line in range(first, last)}
+            if not own & taken:
+                taken |= own
+                spans.append((first, last, f, c))
+        spans.sort()
+        first, last, family = (np.array([x[i] for x in spans], np.int64) for i in range(3))
+        start, end = bounds[first], bounds[last]
         text = np.searchsorted(offsets, start, "right") - 1
-        return text, start - offsets[text], end - offsets[text], best[kept], top[kept]
+        return text, start - offsets[text], end - offsets[text], family, np.array([x[3] for x in spans], np.float64)
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:

@@ -33,6 +33,23 @@ def test_statements_anywhere_in_a_text(spark, model):
             assert f.chance >= model.least_chance and texts[r.id].encode()[f.start : f.end].strip()
 
 
+def test_wrapped_notices(spark, model):
+    gpl = ["This program is free software: you can redistribute it and/or modify", "it under the terms of the GNU General Public License as published by", "the Free Software Foundation."]
+    short = ["This work is licensed under the GNU", "General Public License, version 3"]
+    two = ["Released under the", "MIT License", "and other parts are", "Licensed under the Apache", "License, Version 2.0"]
+    words = "This work is licensed under the GNU General Public License, version 3".split()
+    rows, wanted = [], []
+    for lines, families in ((gpl, ["GPL-3.0"]), (short, ["GPL-3.0"]), (two, ["MIT", "Apache-2.0"]), ([" ".join(words[i : i + 2]) for i in range(0, 12, 2)], ["GPL-3.0"])):
+        for mark in ("", " * ", "# ", "// ", "//", "-- "):
+            rows.append((len(rows), "Intro text\n\n" + "\n".join(mark + x for x in lines) + "\n\nmore words"))
+            wanted.append(families)
+    rows += [(100, "\n\n".join(short)), (101, "This work is licensed under the contract\nof the general public and its\nversion 3"), (102, "Released under the MIT License\nmore words\nof it")]
+    wanted += [[], [], ["MIT"]]
+    found = {r.id: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), model=model).collect()}
+    assert [found[key].licenses for key, _ in rows] == wanted
+    assert len(found[102].found) == 1 and "GNU" in rows[6][1].encode()[found[6].found[0].start : found[6].found[0].end].decode()
+
+
 def test_odd_rows(odd_docs, no_docs, model):
     clashing = odd_docs.withColumnsRenamed({"source": "licenses", "rate": "found"})
     rows = licenses.scan_licenses(clashing, model=model).collect()

@@ -14,6 +14,7 @@ family is largely contained in the paragraph.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -46,6 +47,32 @@ UNLIKE = (
     "released under the name of the author", "the version 2.0 of the file", "you may not use the door", "in compliance with the rules", "the university of the state",
 )
 FAMILIES = (*TEMPLATES, "unknown")
+#: How a prepared text names a version, a Creative Commons kind and a number of clauses.
+_VERSION = re.compile(r"(?:\bversions?|\bv\.?|\blicen[cs]e|gpl|mpl|apache|\bcc0|\bby(?:-\w+)*|\battribution(?:[ -](?:non-?commercial|share-?alike|no-?deriv\w*))*)[\s-]*v?\.?\s*(\d+(?:\.\d+)*)")
+_KIND = re.compile(r"\bcc[\s-]+by((?:[\s-]+(?:nc|sa|nd)\b)*)|\battribution((?:[\s-]+(?:non-?commercial|share-?alike|no-?deriv\w*))*)")
+_CLAUSES = re.compile(r"\b(\d|two|three|four)[\s-]clause")
+
+
+def _names(family: str, text: str) -> bool:
+    """Whether the versions, kinds or clauses that a prepared text names, if any, include those of the family."""
+    name, _, version = family.rpartition("-")
+    if family == "BSD-3-Clause":
+        named = set(_CLAUSES.findall(text))
+        return not named or bool(named & {"3", "three"})
+    if name.startswith("CC-BY"):
+        kinds = ["".join(sorted({x for x in ("nc", "sa", "nd") if x in (short or "") or {"nc": "non", "sa": "share", "nd": "no-d"}[x] in (long or "") or (x == "nd" and "noderiv" in (long or ""))})) for short, long in _KIND.findall(text)]
+        if kinds and name[6:].lower() not in kinds:
+            return False
+    if not version[:1].isdigit():
+        return True
+    named = {v.removesuffix(".0") for v in _VERSION.findall(text)}
+    return not named or version.removesuffix(".0") in named
+
+
+def _versioned(text: str) -> bool:
+    return bool(_VERSION.search(text.lower().replace(",", "")))
+
+
 _SLOTS = 1 << 20
 _CHUNK = 1 << 19
 #: Neighbouring lines over which a statement may be wrapped: as many as leave two words a line of the longest template, and more.
@@ -65,7 +92,9 @@ def _prepared(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     after[offsets[1:][offsets[1:] > 0] - 1] = True
     stop = np.isin(data, np.frombuffer(b".!?", np.uint8)) & after
     out[blank[data] | stop] = 32
-    cut = np.flatnonzero(stop | (data == 10)) + 1
+    short = np.zeros(len(data), bool)  # the stop of "v. 2.0"
+    short[2:] = stop[2:] & (out[1:-1] == ord("v")) & (space[data[:-2]] | blank[data[:-2]])
+    cut = np.flatnonzero((stop & ~short) | (data == 10)) + 1
     return out, np.unique(np.concatenate([offsets, cut]))
 
 
@@ -108,6 +137,7 @@ class LicenseModel:
     base: np.ndarray
     temperature: float
     templates: list[tuple[int, np.ndarray]]
+    versioned: list[bool]
     least_chance: float
     least_contained: float
 
@@ -126,8 +156,9 @@ class LicenseModel:
         np.add.at(z, place, self.weights[column])
         return rows, _softmax(z / self.temperature)
 
-    def confirmed(self, owner: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(paragraph, family, chance) of those that are likely and hold a template of their family."""
+    def confirmed(self, clean: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(paragraph, family, chance) of those that are likely, hold a template of their family and name its version and kind."""
+        owner, column = self.active(clean, bounds)
         rows, chance = self.chances(owner, column)
         best = chance.argmax(1)
         top = chance[np.arange(len(rows)), best]
@@ -135,7 +166,11 @@ class LicenseModel:
         kept = []
         for i in likely:
             own = column[np.searchsorted(owner, rows[i]) : np.searchsorted(owner, rows[i], "right")]
-            if any(f == best[i] and np.isin(t, own).mean() >= self.least_contained for f, t in self.templates):
+            held = [v for (f, t), v in zip(self.templates, self.versioned, strict=True) if f == best[i] and np.isin(t, own).mean() >= self.least_contained]
+            if not held:
+                continue
+            said = " ".join(clean[bounds[rows[i]] : bounds[rows[i] + 1]].tobytes().decode(errors="replace").split())
+            if _names(FAMILIES[best[i]], said) and (not all(held) or _VERSION.search(said)):
                 kept.append(i)
         kept = np.array(kept, np.int64)
         return rows[kept], best[kept], top[kept]
@@ -151,14 +186,14 @@ class LicenseModel:
             for n in range(2, min(_LINES, runs[k + 1] - runs[k]) + 1):
                 first = np.arange(runs[k], runs[k + 1] - n + 1)
                 parts = [clean[bounds[i] : bounds[i + n]] for i in first]
-                rows, family, chance = self.confirmed(*self.active(np.concatenate(parts), np.append(0, np.cumsum([len(x) for x in parts]))))
+                rows, family, chance = self.confirmed(np.concatenate(parts), np.append(0, np.cumsum([len(x) for x in parts])))
                 for r, f, c in zip(rows, family, chance, strict=True):
                     yield int(first[r]), int(first[r]) + n, int(f), float(c)
 
     def find(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(text, first byte, end byte, family, chance) of every confirmed statement."""
         clean, bounds = _prepared(data, offsets)
-        rows, family, chance = self.confirmed(*self.active(clean, bounds))
+        rows, family, chance = self.confirmed(clean, bounds)
         taken = {(int(f), int(r)) for f, r in zip(family, rows, strict=True)}
         spans = [(int(r), int(r) + 1, int(f), float(c)) for r, f, c in zip(rows, family, chance, strict=True)]
         joined, runs = _unwrapped(clean, bounds, offsets, data)
@@ -211,7 +246,7 @@ def _blank_model(least_chance: float, least_contained: float) -> LicenseModel:
             column_of[fresh] = np.arange(len(fresh)) + column_of.max() + 1
             sets.append((FAMILIES.index(family), column_of[slots]))
     n = int(column_of.max()) + 1
-    return LicenseModel(column_of, np.zeros((n, len(FAMILIES))), np.zeros(len(FAMILIES)), 1.0, sets, least_chance, least_contained)
+    return LicenseModel(column_of, np.zeros((n, len(FAMILIES))), np.zeros(len(FAMILIES)), 1.0, sets, [_versioned(t) for texts in TEMPLATES.values() for t in texts], least_chance, least_contained)
 
 
 def fit_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_documents: int = 2000, least_chance: float = 0.6, least_contained: float = 0.6, copies: int = 60, seed: int = 29) -> LicenseModel:

@@ -50,6 +50,21 @@ def test_wrapped_notices(spark, model):
     assert len(found[102].found) == 1 and "GNU" in rows[6][1].encode()[found[6].found[0].start : found[6].found[0].end].decode()
 
 
+def test_other_versions_and_kinds_are_not_confirmed(spark, model):
+    other = [
+        "This work is licensed under the GNU General Public License, version 2", "This work is licensed under the GNU General Public License",
+        "Licensed under the Apache License, Version 1.1", "Licensed under the Mozilla Public License, version 1.1", "Licensed under CC BY 3.0", "Licensed under CC BY-NC-SA 4.0",
+        "This work is licensed under a Creative Commons Attribution 3.0 International License", "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 International License",
+        "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2", "Licensed under the BSD 2-Clause License",
+    ]
+    named = [(t, family) for family, texts in licenses.TEMPLATES.items() for t in texts]
+    rows = list(enumerate([*other, *(t for t, _ in named)]))
+    found = {r.id: r.licenses for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), model=model).collect()}
+    assert [(t, found[i]) for i, t in rows[: len(other)] if found[i]] == []
+    assert [(t, found[len(other) + i]) for i, (t, f) in enumerate(named) if not set(found[len(other) + i]) <= {f}] == []
+    assert [t for i, (t, _) in enumerate(named) if not found[len(other) + i]] == []
+
+
 def test_odd_rows(odd_docs, no_docs, model):
     clashing = odd_docs.withColumnsRenamed({"source": "licenses", "rate": "found"})
     rows = licenses.scan_licenses(clashing, model=model).collect()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shapeloom.llm import chat, fingerprints, licenses, lines, mixing, ngram_join, pieces, quality, substrings, vectors
+from shapeloom.llm import chat, fingerprints, lexical, licenses, lines, mixing, ngram_join, pieces, quality, substrings, vectors
 from shapeloom.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,12 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["begin"])
     return left.select(F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnsRenamed({"item": "item_id", "id": "doc_id"})
+
+
+ORACLE["op11_lexical_search"] = lexical.RANKED_SQL

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shapeloom.llm import chat, fingerprints, lexical, licenses, lines, mixing, ngram_join, pieces, quality, substrings, vectors
+from shapeloom.llm import chat, fingerprints, hard_negatives, lexical, licenses, lines, mixing, ngram_join, personal, pieces, quality, substrings, vectors
 from shapeloom.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,29 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op11_lexical_search"] = lexical.RANKED_SQL
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = hard_negatives.mine_negatives(rows.withColumn("label", moved), "vec_id % 50 = 0")
+    return found.withColumnsRenamed({"anchor": "anchor_id", "positive": "positive_id", "negative": "negative_id"})
+
+
+ORACLE["op12_hard_negatives"] = hard_negatives.NEGATIVES_SQL
+
+
+@query
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal.with_personal_data(docs)
+
+    def joined(spans: F.Column) -> F.Column:
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    def number(kind: str) -> F.Column:
+        return F.size(F.filter(plain, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    plain = F.filter("spans", lambda x: ~x["added"])
+    return found.select("doc_id", *map(number, personal.KINDS), F.sha2(joined(plain), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))

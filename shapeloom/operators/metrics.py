@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shapeloom.operators.ordered import rolling_mean, running_sum
 
-# The smoothed rate averages the last five intervals of at least half a second.
+# Fixed value: the smoothed rate averages the last five intervals.
 SMOOTHING_INTERVALS = 5
-LEAST_SECONDS = 0.5
 
 
 def filter_counts(df: DataFrame, keep: Column, by: list[str] | None = None) -> DataFrame:
@@ -33,40 +28,10 @@ def observe_filter(df: DataFrame, keep: Column, observation: Observation) -> Dat
     return counted.filter(kept)
 
 
-def merge_polls(polls: DataFrame, by: list[str], time: str, images: str, least_seconds: float = LEAST_SECONDS) -> DataFrame:
-    """``(*by, time, images, seconds)``: polls joined until each interval lasts ``least_seconds``.
-
-    ``time`` is in seconds, ``images`` what came in since the poll before. A run's
-    first poll starts its clock. What comes after the last full interval is not yet
-    an interval. Each run is walked in order, holding three numbers.
-    """
-    kept = [polls.schema[c] for c in by]
-    schema = T.StructType([*kept, T.StructField(time, T.DoubleType()), T.StructField(images, T.LongType()), T.StructField("seconds", T.DoubleType())])
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        run, since, waiting = None, 0.0, 0
-        for frame in batches:
-            rows = []
-            for row in frame.itertuples(index=False):
-                *own, at, n = row
-                if own != run:
-                    run, since, waiting = own, at, 0
-                    continue
-                waiting += n
-                if at - since >= least_seconds:
-                    rows.append((*own, at, waiting, at - since))
-                    since, waiting = at, 0
-            yield pd.DataFrame(rows, columns=schema.names)
-
-    slim = polls.select(*by, F.col(time).cast("double").alias(time), F.col(images).cast("long").alias(images))
-    placed = slim.dropna(subset=[time]).fillna({images: 0}).repartition(*by).sortWithinPartitions(*by, time)
-    return placed.mapInPandas(walk, schema)
-
-
 def smoothed_rate(intervals: DataFrame, by: list[str], order: list[str], images: str, seconds: str, block: Column) -> DataFrame:
     """Mean rate of the last five intervals that had images; idle intervals give no row, nor do those of no length.
 
-    Polls closer than half a second belong together: see ``merge_polls``.
+    Polls closer than half a second belong together: see ``intervals.merge_polls``.
     """
     rated = intervals.filter((F.col(images) > 0) & (F.col(seconds) > 0)).withColumn("rate", F.col(images) / F.col(seconds))
     return rolling_mean(rated, by, order, "rate", SMOOTHING_INTERVALS, "smoothed_rate", block)

@@ -49,6 +49,13 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(frame: DataFrame, purpose: str) -> DataFrame:
+    """``frame``, written into the shared folder and read back, so that nothing before it is done twice."""
+    path = shared_dir(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application.
 

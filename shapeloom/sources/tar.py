@@ -174,10 +174,11 @@ def list_shards(spark: SparkSession, folder: str) -> DataFrame:
     return list_inputs(spark, folder, "*{" + ",".join(SHARD_SUFFIXES) + "}").withColumnRenamed("path", "shard")
 
 
-def list_inputs(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """``(path)``: files under ``folder`` relative to it; contents are not read."""
+def list_inputs(spark: SparkSession, folder: str, pattern: str, with_length: bool = False) -> DataFrame:
+    """``(path)``, or ``(path, length)``: files under ``folder`` relative to it; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder)
-    return files.select(relative_path(spark, F.col("_metadata.file_path"), folder).alias("path"))
+    path = relative_path(spark, F.col("_metadata.file_path"), folder).alias("path")
+    return files.select(path, "length") if with_length else files.select(path)
 
 
 def relative_path(spark: SparkSession, path: Column, folder: str) -> Column:

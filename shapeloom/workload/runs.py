@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from shapeloom.functions.geometry import has_min_pixels
 from shapeloom.functions.paths import swap_extension
-from shapeloom.operators import ledger, metrics
+from shapeloom.operators import intervals, ledger, metrics
 from shapeloom.session import shared_dir, table
-from shapeloom.streaming import intake, progress
-from shapeloom.workload import query
+from shapeloom.streaming import intake, progress, rates
+from shapeloom.workload import ORACLE, query
 from shapeloom.workload.standins import LINE_IMAGES_SQL, line_images
 
 
@@ -49,6 +49,40 @@ def rate_smoothed(spark, sf_dir):
     return out.select("event_type", hour, "images", F.round("smoothed_rate", 9).alias("smoothed_rate"))
 
 
+POLLS_SQL = """polls AS (SELECT event_type, epoch_us(ts) / 1e6 AS polled, count(*) AS n FROM events GROUP BY ALL),
+walk AS (SELECT event_type, min(polled) AS polled FROM polls GROUP BY event_type
+  UNION ALL SELECT w.event_type, min(p.polled) FROM walk w JOIN polls p ON p.event_type = w.event_type AND p.polled >= w.polled + 1800 GROUP BY w.event_type),
+ends AS (SELECT event_type, polled, lag(polled) OVER (PARTITION BY event_type ORDER BY polled) AS since FROM walk),
+merged AS (SELECT e.event_type, e.polled, sum(p.n)::BIGINT AS images, e.polled - e.since AS seconds
+  FROM ends e JOIN polls p ON p.event_type = e.event_type AND p.polled > e.since AND p.polled <= e.polled GROUP BY ALL)"""
+
+
+def event_polls(spark, sf_dir):
+    """Every event is a poll of its type's run that brings one image."""
+    polled = F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)
+    return table(spark, sf_dir, "events").select("event_type", polled.alias("polled"), F.lit(1).alias("n"))
+
+
+@query("polls_merged", f"WITH RECURSIVE {POLLS_SQL} SELECT event_type, polled, images, seconds FROM merged")
+def polls_merged(spark, sf_dir):
+    """Polls joined into intervals of at least half an hour, as the live rate joins them into half seconds."""
+    merged = intervals.merge_polls(event_polls(spark, sf_dir), ["event_type"], "polled", "n", 1800.0)
+    return merged.withColumnRenamed("n", "images")
+
+
+@query(
+    "rate_of_merged_polls",
+    f"""WITH RECURSIVE {POLLS_SQL}
+SELECT event_type, polled, round(avg(images / seconds) OVER (PARTITION BY event_type ORDER BY polled ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 9) AS smoothed_rate FROM merged""",
+)
+def rate_of_merged_polls(spark, sf_dir):
+    """The live rate: polls merged, then the mean of the last five intervals."""
+    merged = intervals.merge_polls(event_polls(spark, sf_dir), ["event_type"], "polled", "n", 1800.0)
+    day = F.floor(F.col("polled") / 86400).cast("bigint")
+    rated = metrics.smoothed_rate(merged, ["event_type"], ["polled"], "n", "seconds", day)
+    return rated.select("event_type", "polled", F.round("smoothed_rate", 9).alias("smoothed_rate"))
+
+
 @query(
     "rate_blended",
     f"""WITH {HOURS_SQL}, summed AS (
@@ -155,6 +189,68 @@ def stream_throughput(spark, sf_dir):
     return rows.select(start, "event_type", "images", F.round("rate", 9).alias("rate"))
 
 
+def _in_time_order(spark, sf_dir, folder, part, parts):
+    """One of ``parts`` stretches of the events, added as a file of its own."""
+    events = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    ends = events.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    place = F.floor((F.unix_micros("ts") - ends[0]) * parts / F.lit(max(1, ends[1] - ends[0])))
+    mine = events.where(F.least(place, F.lit(parts - 1)) == part)
+    if part == parts - 1:  # a late last event of every run lets the watermark pass all others
+        far = events.groupBy("event_type").agg(F.timestamp_micros(F.lit(ends[1] + 10 * 86_400_000_000)).alias("ts"))
+        mine = mine.unionByName(far)
+    mine.coalesce(1).write.mode("append").parquet(folder)
+
+
+def _streamed_rates(spark, sf_dir, rated):
+    """The rates after two runs of the stream over the same checkpoint, several micro-batches each."""
+    out = shared_dir(spark, "rates")
+    for part in range(6):
+        _in_time_order(spark, sf_dir, f"{out}/in", part, 6)
+        if part in (2, 5):
+            events = spark.readStream.schema("ts timestamp, event_type string").option("maxFilesPerTrigger", 1).parquet(f"{out}/in")
+            rates.write_rates(rated(events), f"{out}/rows", f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/rows")
+
+
+@query("stream_rate", ORACLE["rate_smoothed"])
+def stream_rate(spark, sf_dir):
+    """The hourly smoothed rate from a stream that is stopped and taken up again: closed windows feed the state of each run."""
+
+    def rated(events):
+        marked = events.withWatermark("ts", "1 hour")
+        counted = marked.groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+        hours = counted.select("event_type", F.window_time("window").alias("ended"), "n")
+        return rates.stream_rates(hours, ["event_type"], "ended", "n", late_by=None, seconds=3600.0)
+
+    found = _streamed_rates(spark, sf_dir, rated)
+    hour = F.date_format(F.timestamp_micros((F.col("at") * 1e6).cast("bigint")), "yyyy-MM-dd HH").alias("hour")
+    return found.select("event_type", hour, "images", F.round("smoothed_rate", 9).alias("smoothed_rate"))
+
+
+@query("stream_rate_of_polls", ORACLE["rate_of_merged_polls"])
+def stream_rate_of_polls(spark, sf_dir):
+    """The rate of merged polls from a stream that is stopped and taken up again."""
+
+    def rated(events):
+        return rates.stream_rates(events.withColumn("n", F.lit(1)), ["event_type"], "ts", "n", "1 hour", 1800.0)
+
+    found = _streamed_rates(spark, sf_dir, rated)
+    return found.select("event_type", F.col("at").alias("polled"), F.round("smoothed_rate", 9).alias("smoothed_rate"))
+
+
+@query("stream_progress", "SELECT count(*) AS input_rows, 12::BIGINT AS batches, 0::BIGINT AS late_rows FROM events")
+def stream_progress(spark, sf_dir):
+    """What the listener recorded of a stream over the events in twelve files, one per micro-batch."""
+    out = shared_dir(spark, "progress")
+    events = table(spark, sf_dir, "events").select("ts", "event_type")
+    events.repartition(12).write.parquet(f"{out}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/in")
+    counted = progress.throughput(stream, "ts", "1 hour", "400 days", ["event_type"])
+    progress.write_throughput(counted, f"{out}/rows", f"{out}/checkpoint")
+    seen = progress.read_progress(spark, f"{out}/checkpoint-progress")
+    return seen.agg(F.sum("input_rows").alias("input_rows"), F.count_if(F.col("input_rows") > 0).alias("batches"), F.sum("late_rows").alias("late_rows"))
+
+
 def _order_files(spark, sf_dir, out):
     """The orders as several input files, so that intake is spread over micro-batches."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")

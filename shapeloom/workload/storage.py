@@ -97,6 +97,25 @@ def caption_map_load(spark, sf_dir):
     return loaded.select("key", F.col("caption.caption").alias("caption"))
 
 
+@query("caption_map_split", """SELECT doc_id || '"}{,\\' AS key, text AS caption FROM documents""")
+def caption_map_split(spark, sf_dir):
+    """All documents as one JSON object in one file, read back by a task for every quarter of a megabyte."""
+    out = shared_dir(spark, "caption-split")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    first = docs.agg(F.min("doc_id")).first()[0]
+
+    def quoted(text):
+        return F.expr(f"substring(to_json(struct({text} as k)), 6, length(to_json(struct({text} as k))) - 6)")
+
+    key = quoted("concat(cast(doc_id as string), '\"}{,\\\\')")
+    comma = F.when(F.col("doc_id") == first, "").otherwise(",")
+    value = F.when(F.col("text").isNull(), "null").otherwise(quoted("text"))
+    lines = docs.select(F.lit(1).alias("part"), "doc_id", F.concat(comma, key, F.lit(": "), value).alias("value"))
+    ends = spark.createDataFrame([(0, None, "{"), (2, None, "}")], lines.schema)
+    lines.unionByName(ends).repartitionByRange(1, "part", "doc_id").sortWithinPartitions("part", "doc_id").select("value").write.text(f"{out}/json")
+    return catalog.convert_caption_map(spark, f"{out}/json", f"{out}/parquet", range_bytes=1 << 18)
+
+
 @query(
     "regroup_catalog",
     """SELECT doc_id, (1 + doc_id % 4) || '-' || (1 + doc_id % 3) AS aspect_ratio_bucket FROM documents""",

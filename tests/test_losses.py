@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shapeloom.functions.image_header import add_dimensions
-from shapeloom.operators import ledger, metrics, pixels
+from shapeloom.operators import intervals, ledger, metrics, pixels
 from shapeloom.operators.encoders import block_mean_encoder
 from shapeloom.operators.joins import required_captions
 from shapeloom.plans.jobs import ImageSettings, prepare_catalog, prepare_table, prepare_tar, read_rejects, read_table_rejects
@@ -218,7 +218,7 @@ def test_formats_the_header_parser_does_not_know_are_sized_by_the_decoder(spark)
 
 def test_short_polls_are_merged(spark):
     polls = [("a", 0.0, 5), ("a", 0.2, 3), ("a", 0.4, 2), ("a", 0.6, 1), ("a", 1.6, 4), ("a", 1.7, 9), ("b", 0.0, 1), ("b", 9.0, 7)]
-    merged = metrics.merge_polls(spark.createDataFrame(polls, "run string, at double, images long"), ["run"], "at", "images").collect()
+    merged = intervals.merge_polls(spark.createDataFrame(polls, "run string, at double, images long"), ["run"], "at", "images").collect()
     assert sorted((r.run, r.images, round(r.seconds, 6)) for r in merged) == [("a", 4, 1.0), ("a", 6, 0.6), ("b", 7, 9.0)]
     blank = spark.createDataFrame([("a", 1, 3, 0.0)], "run string, n long, images long, seconds double")
     assert metrics.smoothed_rate(blank, ["run"], ["n"], "images", "seconds", F.lit(0)).count() == 0

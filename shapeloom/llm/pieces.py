@@ -93,6 +93,13 @@ class _Tables:
         self.rank = np.full(len(texts) + 1, _NONE, np.int32)
         for i in known.values():
             self.rank[i] = order[self.model.scores[i]]
+        made = np.unique(np.array(merged, np.int64))
+        self.of_rank = np.full(len(order) + 1, -1, np.int32)  # -1 as well where several pieces share a rank
+        self.of_rank[self.rank[made]] = made
+        shared, uses = np.unique(self.rank[made], return_counts=True)
+        self.of_rank[shared[uses > 1]] = -1
+        self.small = np.uint16 if len(texts) < 2**16 - 1 else np.uint32
+        self.none = np.iinfo(self.small).max
         self._fill(np.array(keys, np.uint64), np.array(merged, np.int32))
         self.byte_ids = np.array(self.model.byte_ids, np.int32)
         lengths = np.array([len(p) for p in self.model.pieces])
@@ -120,18 +127,47 @@ class _Tables:
         known = np.flatnonzero(low >= 0)
         left, right = (x.ravel() for x in np.meshgrid(known, known, indexing="ij"))
         self.dense[left, right] = self.pair(low[left], low[right])
+        self.dense_ranks = self._small_ranks(self.dense).ravel()
+        # The same table for ranks, in few bytes: a pair is one number of twice the small kind.
+        self.wide, self.half = (np.uint32, 16) if self.small == np.uint16 else (np.uint64, 32)
+        self.rank_slots = np.where(self.slots >= 0, (self.slots >> 32 << self.half) | (self.slots & 0xFFFFFFFF), -1).astype(self.wide)
+        self.slot_ranks = self._small_ranks(self.merged)
+
+    def _small_ranks(self, ids: np.ndarray) -> np.ndarray:
+        """Ranks of pieces in the small kind; ``none`` for -1."""
+        return np.where(ids >= 0, self.rank[ids], self.none).astype(self.small)
+
+    def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the piece that two pieces (of the small kind) merge into, or ``none``."""
+        home = self._home(left.astype(np.uint64) << np.uint64(32) | right)
+        keys = left.astype(self.wide) << self.wide(self.half) | right
+        held = self.rank_slots[home]
+        out = np.where(held == keys, self.slot_ranks[home], self.small(self.none))
+        empty = np.iinfo(self.wide).max
+        open_ = np.flatnonzero((held != keys) & (held != empty))
+        for probe in range(1, self.probes):
+            if not len(open_):
+                break
+            at = (home[open_] + probe) % self.size
+            held = self.rank_slots[at]
+            hit = held == keys[open_]
+            out[open_[hit]] = self.slot_ranks[at[hit]]
+            open_ = open_[~hit & (held != empty)]
+        return out
+
+    def first_ranks(self, ids: np.ndarray, codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """``pair_ranks`` of all neighbours in rows of single characters: one look into a table for those of the first code points."""
+        left, right = codes[:, :-1], codes[:, 1:]
+        near = (left < _DENSE) & (right < _DENSE)
+        out = self.dense_ranks[np.where(near, left * _DENSE + right, 0)]
+        far = np.nonzero(~near)
+        out[far] = self.pair_ranks(ids[:, :-1][far], ids[:, 1:][far])
+        out[np.arange(1, codes.shape[1])[None, :] >= sizes[:, None]] = self.none
+        return out
 
     def _home(self, keys: np.ndarray) -> np.ndarray:
         return ((keys * _MULTIPLIER) >> self.shift).astype(np.int64)
 
-    def first_pairs(self, left: np.ndarray, right: np.ndarray, codes_left: np.ndarray, codes_right: np.ndarray) -> np.ndarray:
-        """``pair`` for single characters: one look into a table for those of the first code points."""
-        near = (codes_left < _DENSE) & (codes_right < _DENSE)
-        out = self.dense[np.where(near, codes_left, 0), np.where(near, codes_right, 0)]
-        far = np.flatnonzero(~near)
-        out[far] = self.pair(left[far], right[far])
-        return out
-
     def pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Id of the piece that two pieces merge into, or -1."""
         keys = left.astype(np.int64) << 32 | right.astype(np.int64)
@@ -147,16 +183,15 @@ class _Tables:
         return out
 
 
-_tables: dict[int, _Tables] = {}
+_tables: list[_Tables] = []
 
 
 def _tables_of(model: PieceModel) -> _Tables:
     """Built once per worker process and model."""
-    key = hash(model)
-    if key not in _tables:
-        _tables.clear()
-        _tables[key] = _Tables(model)
-    return _tables[key]
+    if not _tables or _tables[0].model is not model:
+        _tables[:] = [t for t in _tables if t.model == model] or [_Tables(model)]
+        _tables[0].model = model
+    return _tables[0]
 
 
 def _skipped(key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray, rate: float) -> np.ndarray:
@@ -167,50 +202,59 @@ def _skipped(key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.nda
 
 
 def _agendas(t: _Tables, ids: np.ndarray, codes: np.ndarray, sizes: np.ndarray, keys: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
-    """Run the agenda of every row of ``ids`` (of the characters ``codes``, padded with -1); returns the pieces and how many each row has."""
+    """Run the agenda of every row of ``ids`` (of the characters ``codes``, padded with ``none``); returns the pieces and how many each row has.
+
+    A candidate is held as the rank of what it makes, from which the piece follows.
+    """
     n, width = ids.shape
     out, counts = ids.copy(), sizes.copy()
     if width < 2:
         return out, counts
     rows = np.arange(n)
     column = np.arange(width)
-    bound = np.minimum(np.arange(width + 1)[None, :], sizes[:, None]).astype(np.int32)
+    none = t.small(t.none)
+    bound = np.minimum(np.arange(width + 1)[None, :], sizes[:, None]).astype(np.int16)
 
-    def judge(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray, key: np.ndarray, made: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        made = t.pair(left, right) if made is None else made
-        made[(left < 0) | (right < 0)] = -1
+    def judge(rank: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray, key: np.ndarray) -> np.ndarray:
         if rate > 0:
-            found = np.flatnonzero(made >= 0)
-            made[found[_skipped(key[found], a[found], b[found], c[found], rate)]] = -1
-        return made, t.rank[made]
+            found = np.flatnonzero(rank != none)
+            rank[found[_skipped(key[found], a[found], b[found], c[found], rate)]] = none
+        return rank
 
-    flat = [x.ravel() for x in (ids[:, :-1], ids[:, 1:], bound[:, : width - 1], bound[:, 1:width], bound[:, 2:])]
-    start = t.first_pairs(*flat[:2], codes[:, :-1].ravel(), codes[:, 1:].ravel())
-    made, rank = (x.reshape(n, width - 1) for x in judge(*flat, np.repeat(keys, width - 1), start))
+    first = t.first_ranks(ids, codes, sizes).ravel()
+    spans = [x.ravel() for x in (bound[:, : width - 1], bound[:, 1:width], bound[:, 2:])]
+    rank = judge(first, *spans, np.repeat(keys, width - 1)).reshape(n, width - 1)
     while len(rows):
         width = ids.shape[1]
         if width == 1:
             out[rows, :1] = ids
             break
+        own = np.arange(len(rows))
         best = rank.argmin(1)
-        live = rank[np.arange(len(rows)), best] < _NONE
+        least = rank[own, best]
+        live = least != none
         if not live.all():
-            out[rows[~live], :width] = ids[~live]
-            rows, keys, ids, bound, made, rank, best = (x[live] for x in (rows, keys, ids, bound, made, rank, best))
+            gone = np.flatnonzero(~live)
+            out[rows[gone], :width] = ids[gone]
+            kept = np.flatnonzero(live)
+            rows, keys, ids, bound, rank, best, least = (x[kept] for x in (rows, keys, ids, bound, rank, best, least))
             if not len(rows):
                 break
+            own = own[: len(rows)]
         # Every row that is left merges once, so all of them get one column shorter.
-        own = np.arange(len(rows))
-        ids[own, best] = made[own, best]
+        made = t.of_rank[least]
+        unsure = np.flatnonzero(made < 0)
+        made[unsure] = t.pair(ids[unsure, best[unsure]].astype(np.int32), ids[unsure, best[unsure] + 1].astype(np.int32))
+        ids[own, best] = made
         later = column[None, :width] > best[:, None]
         ids = np.where(later[:, : width - 1], ids[:, 1:], ids[:, :-1])
         bound = np.where(later, bound[:, 1:], bound[:, :-1])
-        made = np.where(later[:, : width - 2], made[:, 1:], made[:, :-1])
         rank = np.where(later[:, : width - 2], rank[:, 1:], rank[:, :-1])
         counts[rows] -= 1
         for at, use in ((best, best < width - 2), (best - 1, best > 0)):
-            r, j = own[use], at[use]
-            made[r, j], rank[r, j] = judge(ids[r, j], ids[r, j + 1], bound[r, j], bound[r, j + 1], bound[r, j + 2], keys[r])
+            r = np.flatnonzero(use)
+            j = at[r]
+            rank[r, j] = judge(t.pair_ranks(ids[r, j], ids[r, j + 1]), bound[r, j], bound[r, j + 1], bound[r, j + 2], keys[r])
     return out, counts
 
 
@@ -285,19 +329,20 @@ def encode_texts(model: PieceModel, texts: list[str], keys: np.ndarray, rate: fl
         counts[i] = len(data)
     flat_parts = [(np.array(origin, np.int64), np.concatenate(parts) if parts else np.zeros(0, np.int32))]
     low = 0
+    short = np.where(odd, 0, u_size)
     for width in (1, 4, 6, 8, 10, 12, 16, 24, _SHORT):
-        rows = np.flatnonzero(~odd & (u_size > low) & (u_size <= width))
+        rows = np.flatnonzero((short > low) & (short <= width))
         low = width
         if not len(rows):
             continue
         column = np.arange(width)[None, :]
         inside = column < u_size[rows, None]
         place = np.minimum(u_start[rows, None] + column, len(codes) - 1)
-        ids = np.where(inside, char[place], np.int32(-1)).astype(np.int32)
+        ids = np.where(inside, char[place], t.none).astype(t.small)
         made, n = _agendas(t, ids, codes[place], u_size[rows], unique[rows], rate)
         counts[rows] = n
-        flat_parts.append((rows, made[np.arange(width)[None, :] < n[:, None]]))
-    for i in np.flatnonzero(~odd & (u_size > _SHORT)):
+        flat_parts.append((rows, made[np.arange(width)[None, :] < n[:, None]].astype(np.int32)))
+    for i in np.flatnonzero(short > _SHORT):
         made = np.array(_agenda(t, char[u_start[i] : u_start[i] + u_size[i]], unique[i], rate), np.int32)
         counts[i] = len(made)
         flat_parts.append((np.array([i]), made))

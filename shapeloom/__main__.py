@@ -9,7 +9,7 @@ import argparse
 import importlib
 import sys
 
-from shapeloom.plans.jobs import consolidate_captions, prepare_catalog, prepare_tar
+from shapeloom.plans.jobs import consolidate_captions, prepare_catalog, prepare_tar, resume_table
 from shapeloom.plans.presets import PRESETS, preset
 from shapeloom.session import build_session, ship_package
 
@@ -49,6 +49,14 @@ def parser() -> argparse.ArgumentParser:
     tar.add_argument("--preset", default="tar_1024", choices=sorted(PRESETS))
     tar.add_argument("--url-captions", help="Parquet with url, caps MAP<STRING,STRING>")
 
+    table = jobs.add_parser("table", parents=[images], help="Parquet table of images to latents; only rows that are new since the last run")
+    table.add_argument("--table", required=True, help="Parquet with image_id and the image")
+    table.add_argument("--captions", required=True, help="Parquet with image_id, caption")
+    table.add_argument("--preset", default="catalog_256", choices=sorted(PRESETS))
+    table.add_argument("--image", default="image")
+    table.add_argument("--on-missing", default="fail", choices=["fail", "drop", "null"])
+    table.add_argument("--retry-rejects", action="store_true")
+
     captions = jobs.add_parser("captions", help="caption table to one caption map per url")
     captions.add_argument("--table", required=True, help="Parquet caption table")
     captions.add_argument("--url", default="url_highres")
@@ -75,6 +83,9 @@ def main(argv: list[str] | None = None) -> int:
             load(args.captioner), load(args.text_encoder), second,
             bucket_per_file=args.bucket_per_file, max_files=args.max_files,
         )
+    elif args.job == "table":
+        rows, texts = spark.read.parquet(args.table), spark.read.parquet(args.captions)
+        resume_table(spark, rows, texts, settings, args.work, args.run, args.image, args.on_missing, args.retry_rejects)
     else:
         by_url = spark.read.parquet(args.url_captions) if args.url_captions else None
         prepare_tar(spark, args.root, args.work, args.run, settings, by_url, max_files=args.max_files)

@@ -51,9 +51,10 @@ def optional_captions(images: DataFrame, captions: DataFrame, url: str = "url",
 
 def one_caption(captions: DataFrame, key: str, caption: str) -> DataFrame:
     """One row per key; a key with different captions raises, repeated rows do not."""
-    different = F.count_distinct(F.struct(F.col(caption))) > 1
+    some = F.count(caption)
+    different = (F.min(caption) != F.max(caption)) | ((some > 0) & (some < F.count(F.lit(1))))
     message = F.concat(F.lit("several captions for key "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
-    return captions.groupBy(key).agg(F.when(different, F.raise_error(message).cast("string")).otherwise(F.min(caption)).alias(caption))
+    return captions.groupBy(key).agg(F.when(F.coalesce(different, F.lit(False)), F.raise_error(message).cast("string")).otherwise(F.min(caption)).alias(caption))
 
 
 def required_captions(images: DataFrame, captions: DataFrame, key: str = "image_id", caption: str = "caption", on_missing: str = "fail", spread_by: list[str] | None = None, count_from: DataFrame | None = None) -> DataFrame:

@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -25,7 +26,7 @@ from shapeloom.functions.captions import truthy, with_sidecar
 from shapeloom.functions.geometry import crop_plan, has_min_pixels, oversize_guard, resize_plan
 from shapeloom.functions.image_header import add_dimensions
 from shapeloom.functions.tensors import pack_float16, pack_fp8
-from shapeloom.operators import ledger
+from shapeloom.operators import bloom, ledger
 from shapeloom.operators.batching import apply_local_batches, first_in_file
 from shapeloom.operators.consolidate import caption_map
 from shapeloom.operators.encoders import caption_images, encode_texts, model_token, once_per_worker
@@ -33,6 +34,7 @@ from shapeloom.operators.joins import optional_captions, pair_members, required_
 from shapeloom.operators.pixels import PLAN_COLUMNS, SETUP_FAULTS, SetupFault, carry_out, decode_with_pillow, encode_batch, image_seeds
 from shapeloom.session import shared_dir, ship_package
 from shapeloom.sinks.writers import write_partitioned
+from shapeloom.sources import footers
 from shapeloom.sources.catalog import scan_catalog
 from shapeloom.sources.tar import ShardFiles, fetch_tasks, list_inputs, list_shards, place_by_range, scan_tar
 
@@ -295,6 +297,8 @@ def prepare_catalog(
     ``make_text_encoder`` adds a ``text_embedding``. ``second_captions``
     (``image_id, caption``) turns the caption into a two-element list.
     ``bucket_per_file`` gives all images of a file the bucket of its first readable row.
+    A file whose footer cannot be read, or whose columns are missing or of another kind
+    than most rows' of its round, is logged as failed and left out.
 
     By default nothing is exchanged: a task writes one file per resolution it meets.
     ``compact`` shuffles the latents once for fewer, larger files.
@@ -309,7 +313,15 @@ def prepare_catalog(
     if captioner_sees not in (None, "original", "resized"):
         raise ValueError(f"captioner_sees must be None, 'original' or 'resized', not {captioner_sees}")
 
-    for run_id, paths in _rounds(spark, space, listing, run, max_files):
+    read = list(dict.fromkeys([key, image, caption]))
+    for run_id, taken in _rounds(spark, space, listing, run, max_files):
+        sorted_out = footers.sort_out(footers.probe_footers(spark, root, taken, read))
+        paths = sorted_out.good
+        broken = [(p, ledger.FAILED, run_id, reason) for p, reason in sorted_out.failed]
+        if broken:
+            ledger.append_log(spark.createDataFrame(broken, "path string, status string, run string, error string"), space.log)
+        if not paths:
+            continue
         rows = scan_catalog(spark, root, paths)
         images = rows.select(
             F.col(key).cast("string").alias("image_id"),
@@ -508,6 +520,64 @@ def prepare_table(images: DataFrame, captions: DataFrame, settings: ImageSetting
     return required_captions(good, captions, "image_id", "caption", on_missing, count_from=ids)
 
 
+def resume_table(spark: SparkSession, images: DataFrame, captions: DataFrame, settings: ImageSettings, work: str, run: str, image: str = "image", on_missing: str = "fail", retry_rejects: bool = False) -> DataFrame:
+    """``prepare_table`` for a table that grows: only ids that no finished run has encoded are worked on; returns all rows so far.
+
+    Each run keeps its rows, a Bloom filter of their ids and, as its commit, an entry in
+    the log. The filters of the finished runs tell in the scan which ids are certainly
+    new; only the others, as slim rows, are compared with the ids themselves. Rejects
+    count as done unless ``retry_rejects``; a retry's ``attempt`` is one higher, and the
+    last attempt of an id counts. Rows of a run that died before its entry are never read.
+    """
+    ship_package(spark)
+    space, run_id = Workspace(work), f"{run}-{uuid.uuid4().hex[:12]}"
+    log = ledger.read_log(spark, space.log)
+    finished = [r.run for r in log.where(F.col("status") == ledger.FINISHED).select("run").distinct().collect()]
+    attempt, fresh = F.lit(1), images
+    if finished:
+        done = _table_rows(spark, work, finished).select("image_id", "attempt", F.col("error").isNotNull().alias("rejected"))
+        words = bloom.merged(spark.read.parquet(*[space.part("bloom", r) for r in finished]))
+        maybe = bloom.perhaps_in(images.select("image_id"), "image_id", words, "maybe").where("maybe").select("image_id").distinct()
+        known = done.groupBy("image_id").agg(F.max_by("rejected", "attempt").alias("rejected"), F.max("attempt").alias("tried"))
+        again = F.col("rejected").isNull() | (F.col("rejected") & F.lit(retry_rejects))
+        open_ids = maybe.join(known, "image_id", "left").where(again).select("image_id", (F.coalesce("tried", F.lit(0)) + 1).alias("next_attempt"))
+        path = space.part("pending", run_id)
+        open_ids.write.parquet(path)  # few, so their join with the images needs no exchange
+        asked = bloom.perhaps_in(images, "image_id", words, "maybe").join(spark.read.parquet(path), "image_id", "left")
+        fresh = asked.where(~F.col("maybe") | F.col("next_attempt").isNotNull()).drop("maybe")
+        attempt = F.coalesce("next_attempt", F.lit(1))
+    slim = fresh.withColumn("attempt", attempt.cast("int")).withColumnRenamed(image, "bytes")
+    slim = slim.drop("next_attempt")
+    if on_missing == "fail":
+        _require_captions(slim.select("image_id"), captions)
+    if on_missing == "drop":
+        slim = slim.join(captions.select("image_id").distinct(), "image_id", "left_semi")
+    planned = plan_images(add_dimensions(slim, "bytes", settings.decode), settings)
+    keep = [c for c in slim.columns if c != "bytes"]
+    encoded = encode_images(planned, settings, keep, content="bytes")
+    at_precision(encoded, settings.precision).write.parquet(space.part("rows", run_id))
+    own = spark.read.parquet(space.part("rows", run_id))
+    tried = own.agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("error").isNull()).alias("good")).first()
+    if tried["all"] and not tried["good"] and not retry_rejects:
+        raise SetupFault(f"SetupFault: no image of run {run_id} could be encoded; nothing of it is logged as finished")
+    bloom.bloom_of(own, "image_id").write.parquet(space.part("bloom", run_id))
+    ledger.append_log(spark.createDataFrame([(run_id, ledger.FINISHED, run_id)], "path string, status string, run string"), space.log)
+    good = _table_rows(spark, work, [*finished, run_id]).where(F.col("error").isNull()).drop("error", "resolution", "attempt", "run")
+    return required_captions(good, captions, "image_id", "caption", on_missing, count_from=good.select("image_id"))
+
+
+def _table_rows(spark: SparkSession, work: str, runs: list[str]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), [spark.read.parquet(Workspace(work).part("rows", r)).withColumn("run", F.lit(r)) for r in runs])
+
+
+def read_table_retries(spark: SparkSession, work: str) -> DataFrame:
+    """Ids of ``resume_table`` that are still rejected after their last attempt, with ``attempt`` and ``error``."""
+    log = ledger.read_log(spark, Workspace(work).log)
+    runs = [r.run for r in log.where(F.col("status") == ledger.FINISHED).select("run").distinct().collect()]
+    last = _table_rows(spark, work, runs).groupBy("image_id").agg(F.max_by(F.struct("attempt", "error"), "attempt").alias("last"))
+    return last.select("image_id", "last.*").where(F.col("error").isNotNull())
+
+
 def read_table_rejects(spark: SparkSession, work: str) -> DataFrame:
     """Rows of ``prepare_table`` that could not be encoded, with their ``error``."""
     return spark.read.parquet(f"{work}/rows").filter(F.col("error").isNotNull()).drop("latent", "latent_shape")

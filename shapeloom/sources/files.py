@@ -25,3 +25,12 @@ def list_files(path: str, suffix: str | tuple[str, ...]) -> list[str]:
     prefix = path.rstrip("/")
     base = inner.rstrip("/")
     return sorted(prefix + f.path[len(base) :] for f in found if f.type == fs.FileType.File and f.path.endswith(suffix))
+
+
+def file_sizes(paths: list[str]) -> list[tuple[str, int]]:
+    """Paths on one file system and sizes of those that exist as files."""
+    if not paths:
+        return []
+    system = resolve(paths[0])[0]
+    infos = system.get_file_info([resolve(p)[1] for p in paths])
+    return [(p, info.size) for p, info in zip(paths, infos, strict=True) if info.type == fs.FileType.File]

@@ -1,10 +1,13 @@
 """Tar shards as a Spark data source.
 
-``spark.read.format("tarmembers").load(folder)`` walks member headers only: one
-input partition per shard, seeking over payloads. A row says where a member lies,
-carries the text of JSON sidecars, and for images the dimensions read from the
-image header. Pixel bytes stay in the shard until ``fetch_members`` reads the
-byte ranges that survived all joins and filters.
+``spark.read.format("tarmembers").load(folder)`` walks member headers only, seeking
+over payloads. A row says where a member lies, carries the text of JSON sidecars, and
+for images the dimensions read from the image header. Pixel bytes stay in the shard
+until ``fetch_members`` reads the byte ranges that survived all joins and filters.
+
+Filters on the shard decide which shards are opened, filters on the member's name
+which payloads are looked into. ``scan_tar`` cuts a large shard into ranges that
+several tasks walk (see ``tar_ranges``). The same source reads shards as a stream.
 """
 
 from __future__ import annotations
@@ -23,10 +26,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, In, InputPartition, IsNotNull, StringEndsWith, StringStartsWith
 
 from shapeloom.functions.image_header import HEADER_BYTES, Truncated, read_header
-from shapeloom.sources.files import list_files, resolve
+from shapeloom.sources import tar_ranges
+from shapeloom.sources.files import file_sizes, list_files, resolve
 
 MEMBER_SCHEMA = (
     "shard string, member string, offset bigint, size bigint, content string, "
@@ -34,6 +38,7 @@ MEMBER_SCHEMA = (
 )
 ROWS_PER_BATCH = 4096
 TASK_BYTES = 256 << 20
+RANGE_BYTES = 1 << 30
 WALK_WINDOW = 8 << 20
 FETCH_WINDOW = 1 << 20
 SHARD_SUFFIXES = (".tar", ".tar.gz", ".tgz", ".tar.bz2", ".tar.xz")
@@ -41,32 +46,133 @@ SHARD_SUFFIXES = (".tar", ".tar.gz", ".tgz", ".tar.bz2", ".tar.xz")
 COMPRESSED = ((b"\x1f\x8b", gzip.open), (b"BZh", bz2.open), (b"\xfd7zXZ\0", lzma.open))
 
 
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
+
+
 class ShardPartition(InputPartition):
-    def __init__(self, path: str, shard: str):
-        self.path = path
-        self.shard = shard
+    """Members of a shard that begin at ``begin`` or behind it, before ``end`` (None: the shard's end)."""
+
+    def __init__(self, path: str, shard: str, begin: int = 0, end: int | None = None):
+        self.path, self.shard, self.begin, self.end = path, shard, begin, end
+
+
+class MemberNames:
+    """What pushed filters ask of a member's name."""
+
+    def __init__(self) -> None:
+        self.asked = False
+        self.names: set[str] | None = None
+        self.starts: list[str] = []
+        self.ends: list[str] = []
+
+    def take(self, test: Filter) -> bool:
+        if isinstance(test, EqualTo | In):
+            values = {test.value} if isinstance(test, EqualTo) else set(test.value)
+            self.names = values if self.names is None else self.names & values
+        elif isinstance(test, StringStartsWith):
+            self.starts.append(test.value)
+        elif isinstance(test, StringEndsWith):
+            self.ends.append(test.value)
+        elif not isinstance(test, IsNotNull):
+            return False
+        self.asked = True
+        return True
+
+    def wants(self, name: str) -> bool:
+        return (self.names is None or name in self.names) and all(map(name.startswith, self.starts)) and all(map(name.endswith, self.ends))
+
+
+def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    held: list[tuple] = []
+    for row in rows:
+        held.append(row)
+        if len(held) == ROWS_PER_BATCH:
+            yield _record_batch(held)
+            held = []
+    if held:
+        yield _record_batch(held)
 
 
 class TarMemberReader(DataSourceReader):
     def __init__(self, schema: T.StructType, options: dict):
         self.folder = options["path"].rstrip("/")
         self.shards = json.loads(options["shards"]) if "shards" in options else None
+        self.ranges = json.loads(options["ranges"]) if "ranges" in options else {}
+        self.only: set[str] | None = None
+        self.names = MemberNames()
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Takes equality and lists on the shard, and those and prefixes and suffixes on the member."""
+        for test in filters:
+            column = getattr(test, "attribute", None)
+            if column == ("shard",) and isinstance(test, EqualTo | In):
+                values = {test.value} if isinstance(test, EqualTo) else set(test.value)
+                self.only = values if self.only is None else self.only & values
+            elif column == ("shard",) and isinstance(test, IsNotNull):
+                continue
+            elif column != ("member",) or not self.names.take(test):
+                yield test
 
     def partitions(self) -> list[ShardPartition]:
         shards = self.shards
         if shards is None:
             shards = [p[len(self.folder) :].lstrip("/") for p in list_files(self.folder, SHARD_SUFFIXES)]
-        return [ShardPartition(f"{self.folder}/{s}", s) for s in shards]
+        taken = [s for s in shards if self.only is None or s in self.only]
+        whole = [[0, None]]
+        return [ShardPartition(f"{self.folder}/{s}", s, a, b) for s in taken for a, b in self.ranges.get(s, whole)]
+
+    def read(self, partition: ShardPartition) -> Iterator[pa.RecordBatch]:
+        return _batches(walk_members(partition.path, partition.shard, partition.begin, partition.end, self.names))
+
+
+class ShardStreamReader(DataSourceStreamReader):
+    """Shards of a folder as they arrive, each once, at most ``maxshards`` per micro-batch.
+
+    Which shards an offset stands for is written down, in one small file per offset in
+    the folder ``seen``, before the offset is handed out; so a restart reads the same
+    shards again, and names that sort before older ones are not lost.
+    """
+
+    def __init__(self, schema: T.StructType, options: dict):
+        self.folder = options["path"].rstrip("/")
+        self.seen, self.most = options["seen"].rstrip("/"), int(options.get("maxshards", "1000"))
+        self.known: dict[int, list[str]] | None = None
+
+    def initialOffset(self) -> dict:
+        return {"number": 0}
+
+    def _log(self) -> dict[int, list[str]]:
+        if self.known is None:
+            self.known = {}
+            system, inner = resolve(self.seen)
+            system.create_dir(inner, recursive=True)
+            for path in list_files(self.seen, ".json"):
+                own, place = resolve(path)
+                with own.open_input_stream(place) as stream:
+                    self.known[int(path.rsplit("/", 1)[1][:-5])] = json.loads(stream.read())
+        return self.known
+
+    def latestOffset(self) -> dict:
+        log = self._log()
+        listed = [p[len(self.folder) :].lstrip("/") for p in list_files(self.folder, SHARD_SUFFIXES)]
+        old = {s for batch in log.values() for s in batch}
+        fresh = sorted(s for s in listed if s not in old)[: self.most]
+        last = max(log, default=0)
+        if fresh:
+            last += 1
+            system, inner = resolve(f"{self.seen}/{last:012d}")
+            with system.open_output_stream(inner) as stream:
+                stream.write(json.dumps(fresh).encode())
+            system.move(inner, f"{inner}.json")
+            log[last] = fresh
+        return {"number": last}
+
+    def partitions(self, start: dict, end: dict) -> list[ShardPartition]:
+        log = self._log()
+        return [ShardPartition(f"{self.folder}/{s}", s) for n in range(start["number"] + 1, end["number"] + 1) for s in log[n]]
 
     def read(self, partition: ShardPartition) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        for row in walk_members(partition.path, partition.shard):
-            rows.append(row)
-            if len(rows) == ROWS_PER_BATCH:
-                yield _record_batch(rows)
-                rows = []
-        if rows:
-            yield _record_batch(rows)
+        return _batches(walk_members(partition.path, partition.shard))
 
 
 class TarMemberSource(DataSource):
@@ -80,6 +186,9 @@ class TarMemberSource(DataSource):
     def reader(self, schema: T.StructType) -> TarMemberReader:
         return TarMemberReader(schema, self.options)
 
+    def streamReader(self, schema: T.StructType) -> ShardStreamReader:
+        return ShardStreamReader(schema, self.options)
+
 
 _ARROW_TYPES = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
 _ARROW_NAMES = [part.split()[0] for part in MEMBER_SCHEMA.split(", ")]
@@ -90,25 +199,35 @@ def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, _ARROW_NAMES)
 
 
-def walk_members(path: str, shard: str) -> Iterator[tuple]:
+def walk_members(path: str, shard: str, begin: int = 0, end: int | None = None, names: MemberNames | None = None) -> Iterator[tuple]:
     """Rows of ``MEMBER_SCHEMA``; a shard that cannot be read to its end mark ends in an error row.
 
     A damaged header and a cut at a member's border both look like the end to the
-    archive reader, so what stands where it stopped decides: zeros, or an error.
+    archive reader, so what stands where it stopped decides: zeros, or an error. With
+    ``begin``, a member's place, and ``end`` only members that begin between them come
+    back. Filters on names leave error rows out, as they have no name.
     """
+    names = names or MemberNames()
     try:
-        with open_shard(path) as stream, tarfile.open(fileobj=stream, mode="r:") as tar:
-            for info in tar:
-                if info.isfile():
-                    yield _member_row(stream, shard, info)
-            stream.seek(tar.offset)
-            block = stream.read(tarfile.BLOCKSIZE)
-            if len(block) < tarfile.BLOCKSIZE:
-                yield _error_row(shard, "shard ends without an end mark")
-            elif block.strip(b"\0"):
-                yield _error_row(shard, f"damaged header at byte {tar.offset}")
+        with open_shard(path) as stream:
+            stream.seek(begin)
+            with tarfile.open(fileobj=stream, mode="r:") as tar:
+                for info in tar:
+                    if end is not None and info.offset >= end:
+                        return
+                    if info.isfile() and names.wants(info.name):
+                        yield _member_row(stream, shard, info)
+                stream.seek(tar.offset)
+                block = stream.read(tarfile.BLOCKSIZE)
+                if names.asked:
+                    return
+                if len(block) < tarfile.BLOCKSIZE:
+                    yield _error_row(shard, "shard ends without an end mark")
+                elif block.strip(b"\0"):
+                    yield _error_row(shard, f"damaged header at byte {tar.offset}")
     except (tarfile.TarError, OSError, EOFError, ValueError, zlib.error, lzma.LZMAError) as problem:
-        yield _error_row(shard, f"{type(problem).__name__}: {problem}")
+        if not names.asked:
+            yield _error_row(shard, f"{type(problem).__name__}: {problem}")
 
 
 def open_shard(path: str, window: int = WALK_WINDOW) -> io.BufferedReader:
@@ -142,10 +261,13 @@ def _member_row(stream, shard: str, info: tarfile.TarInfo) -> tuple:
             return (*place, None, None, None, None, None)  # no text: its image is rejected as malformed
     if name.endswith(".jpg"):
         try:
+            def fetch(at: int, size: int) -> bytes:
+                return _read(stream, info.offset_data + at, max(0, min(size, info.size - at)))
+
             try:
-                header = read_header(_read(stream, info.offset_data, min(info.size, HEADER_BYTES)))
+                header = read_header(fetch(0, HEADER_BYTES), fetch)
             except Truncated:
-                header = read_header(_read(stream, info.offset_data, info.size))
+                header = read_header(fetch(0, info.size))
             return (*place, None, *header, None)
         except (Truncated, ValueError):
             pass  # dimensions stay null: the row is rejected later, the shard goes on
@@ -160,15 +282,37 @@ def _read(stream: io.BufferedReader, offset: int, size: int) -> bytes:
     return data
 
 
-def scan_tar(spark: SparkSession, folder: str, shards: list[str] | None = None) -> DataFrame:
-    """Every regular member of every shard under ``folder``, or of the named shards only."""
+def scan_tar(spark: SparkSession, folder: str, shards: list[str] | None = None, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Every regular member of every shard under ``folder``, or of the named shards only.
+
+    An unpacked shard above ``range_bytes`` is walked by several tasks.
+    """
     spark.dataSource.register(TarMemberSource)
+    if spark.conf.get(PUSHDOWN, None) in (None, "false"):
+        spark.conf.set(PUSHDOWN, "true")  # else Spark refuses a source that takes filters
     reader = spark.read.format("tarmembers")
     if shards is not None:
         reader = reader.option("shards", json.dumps(shards))
+    large = _large_shards(folder, shards, range_bytes)
+    if large:
+        reader = reader.option("ranges", json.dumps(tar_ranges.plan_ranges(spark, folder, large, range_bytes)))
     return reader.load(folder)
 
 
+def _large_shards(folder: str, shards: list[str] | None, range_bytes: int) -> list[tuple[str, int]]:
+    """Names and sizes of the shards that are worth cutting."""
+    base = folder.rstrip("/")
+    paths = [f"{base}/{s}" for s in shards] if shards is not None else list_files(base, (".tar",))
+    sizes = [(p[len(base) :].lstrip("/"), size) for p, size in file_sizes([p for p in paths if p.endswith(".tar")])]
+    return [(s, size) for s, size in sizes if size > range_bytes]
+
+
+def stream_shards(spark: SparkSession, folder: str, seen: str, max_shards: int = 1000) -> DataFrame:
+    """Members of the shards under ``folder`` as a stream; ``seen`` keeps which shards were taken, beside the checkpoint."""
+    spark.dataSource.register(TarMemberSource)
+    return spark.readStream.format("tarmembers").option("seen", seen).option("maxshards", str(max_shards)).load(folder)
+
+
 def list_shards(spark: SparkSession, folder: str) -> DataFrame:
     """``(shard)``: relative names, listed by Spark without opening the files."""
     return list_inputs(spark, folder, "*{" + ",".join(SHARD_SUFFIXES) + "}").withColumnRenamed("path", "shard")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shapeloom.operators.ledger import FINISHED, append_log
-from shapeloom.sources.tar import relative_path
+from shapeloom.sources.tar import relative_path, stream_shards
 
 
 def stream_files(spark: SparkSession, root: str, schema: T.StructType | str, max_files: int, pattern: str = "*.parquet") -> DataFrame:
@@ -48,3 +48,17 @@ def run_intake(stream: DataFrame, process: Callable[[DataFrame], DataFrame], out
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return ran
+
+
+def take_shards(spark: SparkSession, folder: str, process: Callable[[DataFrame], DataFrame], output: str, checkpoint: str, max_shards: int = 1000) -> None:
+    """Process the members of all tar shards that arrived since the last call, each once.
+
+    A micro-batch takes at most ``max_shards``; ``output`` is a Parquet table that only
+    whole micro-batches enter.
+    """
+    members = process(stream_shards(spark, folder, f"{checkpoint}-shards", max_shards))
+    query = members.writeStream.format("parquet").outputMode("append").option("path", output).option("checkpointLocation", checkpoint).start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()

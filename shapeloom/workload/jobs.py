@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from shapeloom.operators.batching import map_frames
 from shapeloom.operators.consolidate import union_tables
 from shapeloom.operators.encoders import block_mean_encoder, hashing_text_encoder, template_captioner
-from shapeloom.plans.jobs import ImageSettings, consolidate_captions, prepare_catalog, prepare_table, prepare_tar, read_rejects, read_table_rejects
+from shapeloom.operators.ledger import read_log
+from shapeloom.plans.jobs import ImageSettings, consolidate_captions, prepare_catalog, prepare_table, prepare_tar, read_rejects, read_table_rejects, read_table_retries, resume_table
 from shapeloom.session import shared_dir, table
+from shapeloom.sources.files import list_files, resolve
 from shapeloom.workload import query
 from shapeloom.workload.captions import label_captions
 from shapeloom.workload.standins import PICTURES_SQL, bucketed_sql, open_png, pictures
@@ -58,6 +60,33 @@ def job_catalog(spark, sf_dir):
     )
 
 
+@query(
+    "job_catalog_quarantine",
+    f"""WITH {PICTURES_SQL}
+SELECT 'encoded' AS outcome, count(*) AS n FROM pictures WHERE width * height >= 1024
+UNION ALL SELECT 'unreadable footer', 1 UNION ALL SELECT 'columns are binary, binary, string, not string, binary, string', 1 UNION ALL SELECT 'finished', 5""",
+)
+def job_catalog_quarantine(spark, sf_dir):
+    """A catalogue of four good files, an empty one, a cut one and one with other columns: two are set aside, the round goes on."""
+    out = shared_dir(spark, "job-quarantine")
+    rows = pictures(spark, sf_dir).select("key", "jpg", "lang")
+    rows.repartition(4, "key").write.parquet(f"{out}/in/0")
+    rows.limit(0).coalesce(1).write.parquet(f"{out}/in/1")
+    rows.limit(3).withColumn("key", F.col("key").cast("binary")).coalesce(1).write.parquet(f"{out}/in/2")
+    whole = list_files(f"{out}/in/2", ".parquet")[0]
+    system, inner = resolve(whole)
+    with system.open_input_stream(inner) as stream:
+        data = stream.read()
+    with system.open_output_stream(f"{resolve(f'{out}/in')[1]}/cut.parquet") as stream:
+        stream.write(data[: len(data) // 2])
+    done = prepare_catalog(spark, f"{out}/in", f"{out}/work", "a", SETTINGS, caption="lang")
+    log = read_log(spark, f"{out}/work/log")
+    encoded = done.agg(F.lit("encoded").alias("outcome"), F.count(F.lit(1)).alias("n"))
+    failed = log.filter("status = 'failed'").groupBy(F.split("error", ":")[0].alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+    finished = log.filter("status = 'finished'").agg(F.lit("finished").alias("outcome"), F.count_distinct("path").alias("n"))
+    return union_tables([encoded, failed, finished])
+
+
 @query(
     "job_tar",
     f"""{BUCKETED}
@@ -177,6 +206,32 @@ def job_caption_pixels(spark, sf_dir):
     return made.select("image_id", "caption")
 
 
+@query(
+    "table_resume",
+    f"""WITH {PICTURES_SQL}, taken AS (SELECT doc_id, doc_id % 3 = 0 AS late, doc_id % 5 = 0 AS bad FROM pictures WHERE width * height >= 1024)
+SELECT doc_id::VARCHAR AS image_id, NULL AS attempt FROM taken WHERE NOT bad OR late
+UNION ALL SELECT 'rejected ' || doc_id, 2 FROM taken WHERE bad AND NOT late
+UNION ALL SELECT 'worked on ' || run, n FROM (VALUES ('1', (SELECT count(*) FILTER (NOT late) FROM taken)), ('2', 0), ('3', (SELECT count(*) FILTER (late) FROM taken)),
+  ('4', (SELECT count(*) FILTER (bad AND NOT late) FROM taken))) AS t (run, n)""",
+)
+def table_resume(spark, sf_dir):
+    """Four runs over a table that grows: all of it, nothing, only the new rows, and the rejects once more."""
+    out = shared_dir(spark, "table-resume")
+    late, bad = F.col("doc_id") % 3 == 0, (F.col("doc_id") % 5 == 0) & (F.col("doc_id") % 3 != 0)
+    data = F.when(bad, F.substring("jpg", 1, 60)).otherwise(F.col("jpg"))
+    pictures(spark, sf_dir).select("doc_id", F.col("key").alias("image_id"), data.alias("image")).write.parquet(f"{out}/images")
+    images = spark.read.parquet(f"{out}/images")
+    captions = images.select("image_id", F.lit("c").alias("caption"))
+    early, whole = images.where(~late).drop("doc_id"), images.drop("doc_id")
+    for run, rows, retry in (("1", early, False), ("2", early, False), ("3", whole, False), ("4", whole, True)):
+        made = resume_table(spark, rows, captions, SETTINGS, f"{out}/work", run, on_missing="null", retry_rejects=retry)
+    none = F.lit(None).cast("bigint").alias("attempt")
+    left = read_table_retries(spark, f"{out}/work").select(F.concat(F.lit("rejected "), "image_id").alias("image_id"), F.col("attempt").cast("bigint").alias("attempt"))
+    rows = spark.read.parquet(f"{out}/work/rows")
+    worked = [rows.where(F.col("run").startswith(f"{n}-")).agg(F.lit(f"worked on {n}").alias("image_id"), F.count(F.lit(1)).alias("attempt")) for n in range(1, 5)]
+    return union_tables([made.select("image_id", none), left, *worked])
+
+
 def shape_captioner():
     """Captions such as ``48x31`` (height, width) from the pixels themselves."""
     return lambda frame: ["x".join(map(str, image.shape[:2])) for image in frame["image"]]

@@ -15,6 +15,7 @@ from shapeloom.session import shared_dir, table
 from shapeloom.sinks import writers
 from shapeloom.sources import catalog, tar
 from shapeloom.sources.files import resolve
+from shapeloom.streaming import intake
 from shapeloom.workload import query
 from shapeloom.workload.geometry import DOC_BUCKETED
 from shapeloom.workload.standins import LINE_IMAGES_SQL, PICTURES_SQL, doc_images, line_images, pictures
@@ -154,6 +155,21 @@ def write_shards(rows, folder: str) -> None:
     placed.mapInPandas(run, "shard string, members bigint").write.format("noop").mode("overwrite").save()
 
 
+def page_members(spark, sf_dir, per_shard):
+    """Two members a page: its text as if it were an image, and a sidecar with its url."""
+    pages = table(spark, sf_dir, "pages")
+    number = F.col("page_id").cast("string")
+    members = F.array(
+        F.struct(F.concat(F.lit("img/"), number, F.lit(".jpg")).alias("member"), F.col("html").cast("binary").alias("payload")),
+        F.struct(
+            F.concat(F.lit("meta/"), number, F.lit(".json")).alias("member"),
+            F.concat(F.lit('{"url":"'), F.col("url"), F.lit('"}')).cast("binary").alias("payload"),
+        ),
+    )
+    shard = F.concat(F.lit("shard_"), F.floor(F.col("page_id") / per_shard).cast("string"))
+    return pages.select(shard.alias("shard"), F.explode(members).alias("m")).select("shard", "m.*")
+
+
 @query(
     "scan_tar",
     """WITH members AS (
@@ -165,22 +181,46 @@ SELECT shard, member, octet_length(encode(payload)) AS size, CASE WHEN member LI
 def scan_tar(spark, sf_dir):
     """Pages as shards of 64; members listed from headers, payloads fetched by byte range."""
     out, listing = shared_dir(spark, "tar"), shared_dir(spark, "tar-members")
-    pages = table(spark, sf_dir, "pages")
-    number = F.col("page_id").cast("string")
-    members = F.array(
-        F.struct(F.concat(F.lit("img/"), number, F.lit(".jpg")).alias("member"), F.col("html").cast("binary").alias("payload")),
-        F.struct(
-            F.concat(F.lit("meta/"), number, F.lit(".json")).alias("member"),
-            F.concat(F.lit('{"url":"'), F.col("url"), F.lit('"}')).cast("binary").alias("payload"),
-        ),
-    )
-    shard = F.concat(F.lit("shard_"), F.floor(F.col("page_id") / 64).cast("string"))
-    write_shards(pages.select(shard.alias("shard"), F.explode(members).alias("m")).select("shard", "m.*"), out)
+    write_shards(page_members(spark, sf_dir, 64), out)
     tar.scan_tar(spark, out).select("shard", "member", "offset", "size", "content").write.parquet(listing)
     fetched = tar.fetch_members(spark.read.parquet(listing), out)
     return fetched.select("shard", "member", "size", "content", F.md5("bytes").alias("digest"))
 
 
+LARGE_SHARDS_SQL = """members AS (
+  SELECT 'shard_' || page_id // 1000 || '.tar' AS shard, 'img/' || page_id || '.jpg' AS member, octet_length(encode(html)) AS size, NULL AS content FROM pages
+  UNION ALL SELECT 'shard_' || page_id // 1000 || '.tar', 'meta/' || page_id || '.json', octet_length(encode('{"url":"' || url || '"}')), '{"url":"' || url || '"}' FROM pages)"""
+
+
+@query("scan_tar_split", f"WITH {LARGE_SHARDS_SQL} SELECT shard, member, size, content FROM members")
+def scan_tar_split(spark, sf_dir):
+    """Pages as shards of 1,000, each walked by a task for every quarter of a megabyte."""
+    out = shared_dir(spark, "tar-split")
+    write_shards(page_members(spark, sf_dir, 1000), out)
+    return tar.scan_tar(spark, out, range_bytes=1 << 18).select("shard", "member", "size", "content")
+
+
+@query("scan_tar_filtered", f"WITH {LARGE_SHARDS_SQL} SELECT shard, member, content FROM members WHERE shard = 'shard_0.tar' AND member LIKE 'meta/%.json'")
+def scan_tar_filtered(spark, sf_dir):
+    """One shard's sidecars: the filters go into the source."""
+    out = shared_dir(spark, "tar-filtered")
+    write_shards(page_members(spark, sf_dir, 1000), out)
+    rows = tar.scan_tar(spark, out).filter((F.col("shard") == "shard_0.tar") & F.col("member").startswith("meta/") & F.col("member").endswith(".json"))
+    return rows.select("shard", "member", "content")
+
+
+@query("stream_shards", f"WITH {LARGE_SHARDS_SQL} SELECT shard, member, size FROM members")
+def stream_shards(spark, sf_dir):
+    """Shards taken as they arrive, three per micro-batch: half of them, then after a restart the others."""
+    out = shared_dir(spark, "tar-stream")
+    shards = page_members(spark, sf_dir, 1000)
+    first = F.pmod(F.xxhash64("shard"), F.lit(2)) == 0
+    for part in (first, ~first):
+        write_shards(shards.where(part), f"{out}/in")
+        intake.take_shards(spark, f"{out}/in", lambda m: m.select("shard", "member", "size"), f"{out}/rows", f"{out}/checkpoint", max_shards=3)
+    return spark.read.schema("shard string, member string, size bigint").parquet(f"{out}/rows")
+
+
 @query(
     "image_dims",
     f"""WITH {PICTURES_SQL}

@@ -1,4 +1,5 @@
 import io
+import struct
 import tarfile
 
 import numpy as np
@@ -23,6 +24,67 @@ def jvm_image(spark, width, height, kind, grey=False):
     return bytes(out.toByteArray())
 
 
+def webp(kind, body):
+    chunk = kind + struct.pack("<I", len(body)) + body
+    return b"RIFF" + struct.pack("<I", 4 + len(chunk)) + b"WEBP" + chunk
+
+
+def tiff(width, height, samples=3, meaning=2, order="<", large=False, gap=0):
+    """A directory ``gap`` bytes behind the start."""
+    tags = [(254, 4, 0), (256, 4, width), (257, 3, height), (258, 3, 8), (262, 3, meaning), (277, 3, samples), (305, 2, 0)]
+    sizes = {2: "B", 3: "H", 4: "I"}
+    pad = 8 if large else 4
+    values = [struct.pack(order + sizes[k], v).ljust(pad, b"\0") for _, k, v in tags]
+    entries = b"".join(struct.pack(order + ("HHQ" if large else "HHI"), t, k, 1) + v for (t, k, _), v in zip(tags, values))
+    head = (b"II" if order == "<" else b"MM") + struct.pack(order + "H", 43 if large else 42)
+    if large:
+        return head + struct.pack(order + "HHQ", 8, 0, 16 + gap) + b"\x07" * gap + struct.pack(order + "Q", len(tags)) + entries + b"\0" * 8
+    return head + struct.pack(order + "I", 8 + gap) + b"\x07" * gap + struct.pack(order + "H", len(tags)) + entries + b"\0" * 4
+
+
+LATE = 3 * ih.HEADER_BYTES
+HEADERS = {
+    "webp": (webp(b"VP8 ", b"\x30\x01\x00\x9d\x01\x2a" + struct.pack("<HH", 640 | 1 << 14, 480)), (640, 480, "RGB")),
+    "lossless webp": (webp(b"VP8L", b"\x2f" + struct.pack("<I", 299 | 199 << 14)), (300, 200, "RGB")),
+    "lossless webp with alpha": (webp(b"VP8L", b"\x2f" + struct.pack("<I", 16382 | 0 << 14 | 1 << 28)), (16383, 1, "RGBA")),
+    "extended webp": (webp(b"VP8X", struct.pack("<BxxxHBHB", 0x10, 4999, 1, 2999, 0)), (70536, 3000, "RGBA")),
+    "extended webp without alpha": (webp(b"VP8X", struct.pack("<BxxxHBHB", 0, 9, 0, 8, 0)), (10, 9, "RGB")),
+    "cut webp": (webp(b"VP8 ", b"")[:18], None),
+    "broken webp": (webp(b"VP8 ", b"x" * 20), None),
+    "tiff": (tiff(321, 123), (321, 123, "RGB")),
+    "grey tiff, other order": (tiff(70000, 9, 1, 1, ">"), (70000, 9, "L")),
+    "tiff with a late directory": (tiff(50, 60, 4, 2, "<", gap=LATE), (50, 60, "RGBA")),
+    "large tiff": (tiff(50, 61, 4, 5, ">", True), (50, 61, "CMYK")),
+    "large tiff with a late directory": (tiff(50, 62, 1, 3, "<", True, LATE), (50, 62, "P")),
+    "directory across the border": (tiff(50, 63, gap=ih.HEADER_BYTES - 30), (50, 63, "RGB")),
+    "cut tiff": (tiff(50, 60, gap=LATE)[:-40], None),
+    "tiff without a directory": (b"II*\0\xff\xff\xff\x7f" + b"x" * 100, None),
+}
+
+
+def test_webp_and_tiff_are_sized_without_decoding(spark):
+    df = spark.createDataFrame([(k, v[0]) for k, v in HEADERS.items()], "name string, content binary")
+
+    def decode(data):
+        raise RuntimeError("decoded")
+
+    got = {r.name: (r.width, r.height, r.mode) for r in ih.add_dimensions(df, decode=decode).collect()}
+    assert got == {name: expected or (None, None, None) for name, (_, expected) in HEADERS.items()}
+
+
+def test_a_late_directory_is_fetched_alone():
+    fetched = []
+
+    def fetch(at, size):
+        fetched.append((at, size))
+        return HEADERS["tiff with a late directory"][0][at : at + size]
+
+    data = HEADERS["tiff with a late directory"][0]
+    assert ih.read_header(data[: ih.HEADER_BYTES], fetch) == (50, 60, "RGBA") and fetched == [(LATE + 8, ih.HEADER_BYTES)]
+    with pytest.raises(ih.Truncated):
+        ih.read_header(data[: ih.HEADER_BYTES])
+
+
 @pytest.fixture(scope="module")
 def samples(spark):
     jpeg = jvm_image(spark, 321, 123, "jpg")
@@ -34,6 +96,7 @@ def samples(spark):
         "png": (jvm_image(spark, 77, 99, "png"), (77, 99, "RGB")),
         "gif": (jvm_image(spark, 30, 20, "gif"), (30, 20, "P")),
         "bmp": (jvm_image(spark, 31, 21, "bmp"), (31, 21, "RGB")),
+        "tiff": (jvm_image(spark, 41, 29, "tiff"), (41, 29, "RGB")),
         "cut jpg": (jpeg[:20], None),
         "text": (b"not an image at all", None),
         "empty": (b"", None),

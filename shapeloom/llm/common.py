@@ -23,6 +23,18 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def set_aside(frame: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``frame`` without names that begin with two underscores, which operators use for themselves, and what to rename them back from."""
+    back: dict[str, str] = {}
+    for name in frame.columns:
+        if name.startswith("__"):
+            new = f"kept{name}"
+            while new in frame.columns or new in back:
+                new = f"kept_{new}"
+            back[new] = name
+    return frame.withColumnsRenamed({old: new for new, old in back.items()}), back
+
+
 def ship(frame: DataFrame) -> None:
     """Make this package importable in the Python tasks that ``frame`` will run."""
     from shapeloom.session import ship_package

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shapeloom.llm.common import share, stored
+from shapeloom.llm.common import set_aside, share, stored
 
 
 @dataclass
@@ -61,6 +61,10 @@ def features(text: Column, words: Column) -> Column:
     return F.concat(words, traits)
 
 
+class NothingToLearn(ValueError):
+    """No document has a label, or none has the anchor's."""
+
+
 def fit_domains(docs: DataFrame, labels: DataFrame, domain_col: str = "domain", id_col: str = "doc_id", text_col: str = "text", max_rows: int = 20_000, max_vocabulary: int = 200, least_documents: int = 10, least_surprise: float = 5.0, least_ratio: float = 4.0, ridge: float = 1e-4, seed: int = 11) -> DomainModel:
     """Learn the domains that ``labels`` (id, domain) names.
 
@@ -75,14 +79,14 @@ def fit_domains(docs: DataFrame, labels: DataFrame, domain_col: str = "domain",
     labels = labels.select(F.col(id_col).alias("id"), F.col(domain_col).cast("string").alias("domain"))
     total = labels.count()
     if not total:
-        raise ValueError("no labelled rows to learn domains from")
+        raise NothingToLearn("no labelled rows to learn domains from")
     picked = labels.where(share("id", seed=seed) < max_rows / total)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
     marked = rows.select("domain", F.explode(F.array_append(F.array_distinct(features(F.col("text"), words_of(F.col("text")))), F.lit(""))).alias("w"))
     counted = stored(marked.groupBy("w", "domain").agg(F.count(F.lit(1)).alias("n")), "features")
     kept = {r["domain"]: r["n"] for r in counted.where("w = ''").collect()}
     if not kept:
-        raise ValueError("no labelled row has a document")
+        raise NothingToLearn("no labelled row has a document")
     domains, n = sorted(kept), sum(kept.values())
     columns = [F.sum(F.when(F.col("domain") == d, F.col("n")).otherwise(0)).alias(f"d{j}") for j, d in enumerate(domains)]
     table = counted.where("w <> ''").groupBy("w").agg(F.sum("n").alias("seen"), *columns).where(F.col("seen") >= least_documents)
@@ -281,8 +285,10 @@ def fit_rates(slim: DataFrame, domains: list[str], weights: dict[str, float], an
         *[F.coalesce(F.sum(F.col("tokens") * chance[i] * chance[j]), F.lit(0.0)).alias(f"m{i}_{j}") for i, j in pairs],
     ).first()
     before = [moments[f"s{j}"] for j in range(k)]
-    if anchor not in domains or not share_of[domains.index(anchor)]:
-        raise ValueError(f"the anchor {anchor!r} needs labelled rows and a weight")
+    if not weights.get(anchor):
+        raise ValueError(f"the anchor {anchor!r} needs a weight")
+    if anchor not in domains:
+        raise NothingToLearn(f"no labelled row is of the anchor {anchor!r}")
     scale = before[domains.index(anchor)] / share_of[domains.index(anchor)]
     targets = [scale * w for w in share_of]
     if scale <= 0:
@@ -328,14 +334,26 @@ def mix_rates(docs: DataFrame, labels: DataFrame, weights: dict[str, float], anc
     prefix for the new columns, which replace columns of their names.
     Null and empty texts have no tokens: they follow the prior and count nothing.
     Rows with a null id share one rounding. Repeated rows are separate rows with
-    the same rate. An empty table gives an empty table. Texts are judged in one
+    the same rate. An empty table gives an empty table. Where no document has a label,
+    or none the anchor's, there is nothing to fit: every rate is 1, ``chances`` is
+    null, the mixture has no domains, and a warning says so. Texts are judged in one
     scan, written with the columns to carry, and never shuffled.
     """
-    model = fit_domains(docs, labels, domain_col, id_col, text_col, **fit)
-    new = ("__tokens", "__chances", "__key")
-    judged = with_chances(docs, model, text_col).withColumn("__key", F.col(id_col))
-    judged = stored(judged.select(*(docs.columns if carry is None else carry), *new), "chances")
-    mixture = fit_rates(judged.select(F.col("__tokens").alias("tokens"), F.col("__chances").alias("chances")), model.domains, weights, anchor)
+    wanted = docs.columns if carry is None else carry
+    docs, back = set_aside(docs)
+    ours = {old: new for new, old in back.items()}
+    id_col, text_col, carry = ours.get(id_col, id_col), ours.get(text_col, text_col), [ours.get(c, c) for c in wanted]
+    back = {new: old for new, old in back.items() if new in carry}
+    try:
+        model = fit_domains(docs, labels.withColumnsRenamed(ours), domain_col, id_col, text_col, **fit)
+        judged = with_chances(docs, model, text_col).withColumn("__key", F.col(id_col))
+        judged = stored(judged.select(*carry, "__tokens", "__chances", "__key"), "chances")
+        mixture = fit_rates(judged.select(F.col("__tokens").alias("tokens"), F.col("__chances").alias("chances")), model.domains, weights, anchor)
+    except NothingToLearn as reason:
+        warnings.warn(f"{reason}: every rate is 1", stacklevel=2)
+        alike = {"tokens": F.size(words_of(F.col(text_col))).cast("double"), "chances": F.lit(None).cast("array<double>"), "rate": F.lit(1.0), "copies": F.lit(1).cast("long")}
+        new = [c.alias(out + name) for name, c in alike.items()]
+        return docs.select(*[c for c in carry if c not in [out + name for name in alike]], *new).withColumnsRenamed(back), Mixture([], [], [], [], [], False)
     if not mixture.reached:
         told = ", ".join(f"{d} {a:.0f} of {t:.0f}" for d, a, t in zip(mixture.domains, mixture.after, mixture.targets, strict=True))
         warnings.warn(f"the rates miss their targets (expected tokens by domain: {told})", stacklevel=2)
@@ -343,11 +361,14 @@ def mix_rates(docs: DataFrame, labels: DataFrame, weights: dict[str, float], anc
     rated = rated.withColumn("__copies", copies_of(F.col("__rate"), "__key")).drop("__key")
     for name in ("tokens", "chances", "rate", "copies"):
         rated = rated.withColumn(out + name, F.col(f"__{name}")).drop(f"__{name}")
-    return rated, mixture
+    return rated.withColumnsRenamed(back), mixture
 
 
 def mixed(docs: DataFrame, labels: DataFrame, weights: dict[str, float], anchor: str, **options: int) -> DataFrame:
-    """``docs`` with every row repeated as often as its rate says; same columns."""
+    """``docs`` with every row repeated as often as its rate says; same columns. Without labels to learn from, ``docs`` as they are."""
+    docs, back = set_aside(docs)
+    ours = {old: new for new, old in back.items()}
+    options |= {k: ours[v] for k, v in options.items() if k in ("id_col", "text_col") and v in ours}
     rated, _ = mix_rates(docs, labels, weights, anchor, out="__mix_", **options)
     rated = rated.where("__mix_copies > 0").withColumn("__mix_nth", F.explode(F.sequence(F.lit(1), F.col("__mix_copies").cast("int"))))
-    return rated.select(*docs.columns)
+    return rated.select(*docs.columns).withColumnsRenamed(back)

@@ -1,15 +1,16 @@
-"""Near-duplicate vectors by buckets of random hyperplane signs.
+"""Near-duplicate vectors by sorted passes of random hashes.
 
 1. Equal vectors of a label are counted once.
-2. Every pass puts the vectors of a label that agree on ``depth`` random hyperplane
-   signs into one bucket and compares all pairs of a bucket, in blocks of bounded
-   size. A pair at the wanted cosine shares a bucket with a chance that depends on
-   ``depth`` alone, however the other vectors lie, so the passes follow from depth
-   and target recall. The depth of a large label is the one of least cost by its
-   measured bucket sizes; depth 0 compares all its pairs once.
-3. Vectors linked in some pass, directly or through others, form a cluster
-   (union across passes). Inside a cluster all pairs are checked, block against
-   block.
+2. Every pass orders the vectors of a label by the concatenated signs of random
+   hyperplanes and compares neighbours: a vector with the window before it in the order,
+   and with the whole run that agrees with it on the first ``depth`` signs. A run
+   longer than the window is worked off in pairs of bounded blocks, not cut. A pair
+   at the wanted cosine shares a run with a chance that depends on ``depth`` alone,
+   however the other vectors lie, so the passes follow from depth and target recall;
+   the depth of a label is the one of least cost by its measured runs. A label that
+   fits into one window needs one pass.
+3. Verified pairs, directly or through others, form a cluster (union across passes).
+   Inside a cluster all pairs are checked, block against block.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,14 +30,12 @@ from shapeloom.llm.components import connected_components
 
 _BLOCK = 1024
 _BITS = 62
-#: Rows of a bucket that are compared in one piece; a larger bucket is cut.
-_CELL = 2048
-#: Labels up to this size are compared whole; larger ones are measured.
-_DIRECT = 8192
+#: Neighbours in the order that a vector is compared with at least; rows of a run that are compared in one piece.
+_WINDOW, _CELL = 512, 2048
 #: Comparisons that cost as much as one row's way through a pass.
 _ROW_COST = 1024
-#: Rows of a label (in expectation) and passes that its bucket sizes are measured on, and the depths tried.
-_TRIAL_ROWS, _TRIALS, _DEPTHS = 2048, 2, range(0, _BITS, 3)
+#: Rows of a label (in expectation) and passes that its runs are measured on, and the depths tried.
+_TRIAL_ROWS, _TRIALS, _DEPTHS = 2048, 1, range(6, 46, 3)
 _BUCKET = ["pass", "label", "size", "key"]
 
 
@@ -46,11 +46,6 @@ def passes_at(bits: int, similarity: float, recall: float) -> int:
     return 1 if met >= recall else math.ceil(math.log(1 - recall) / math.log(1 - met))
 
 
-def passes_for(largest: int, window: int, similarity: float, recall: float) -> int:
-    """The passes of a label of ``largest`` evenly spread vectors, cut into buckets of under ``window``."""
-    return passes_at(min(_BITS, max(0, math.ceil(math.log2(max(largest, 1) / window))) + 2), similarity, recall)
-
-
 def _matrix(column: pa.Array) -> np.ndarray:
     """Equally long vectors as unit rows in double precision."""
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
@@ -59,7 +54,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _keys(rows: np.ndarray, number: int, depth: int, seed: int) -> np.ndarray:
-    """The first ``depth`` signs of every vector in pass ``number``, as one number."""
+    """The first ``depth`` signs of every vector in pass ``number``, concatenated to one number."""
     planes = np.random.default_rng([seed, number, rows.shape[1]]).standard_normal((rows.shape[1], _BITS))[:, :depth]
     return (rows @ planes > 0) @ np.left_shift(np.int64(1), np.arange(depth - 1, -1, -1, dtype=np.int64))
 
@@ -74,8 +69,9 @@ def _bucket_rows(seed: int, with_vectors: bool):
                 part = batch.filter(pa.array((kinds.T == [size, depth, passes]).all(1)))
                 rows = _matrix(part["v"])
                 for p in range(passes):
-                    columns = [pa.array(np.full(len(rows), p, np.int32)), part["label"], part["size"], pa.array(_keys(rows, p, depth, seed))]
-                    more, names = ([part["rep"], part["v"]], ["rep", "v"]) if with_vectors else ([], [])
+                    whole = _keys(rows, p, _BITS, seed)
+                    columns = [pa.array(np.full(len(rows), p, np.int32)), part["label"], part["size"], pa.array(whole >> (_BITS - depth))]
+                    more, names = ([pa.array(whole), part["rep"], part["v"]], ["order", "rep", "v"]) if with_vectors else ([], [])
                     yield pa.RecordBatch.from_arrays([*columns, *more], [*_BUCKET, *names])
 
     return run
@@ -100,11 +96,11 @@ def _trial_rows(seed: int):
 
 
 def _plan(distinct: DataFrame, similarity: float, recall: float, seed: int) -> DataFrame:
-    """``label, size, depth, passes`` of the labels above ``_DIRECT`` vectors, at the least cost by measured bucket sizes.
+    """``label, size, depth, passes`` of the labels that do not fit into one window, at the least cost by measured runs.
 
-    The sizes are measured on a hashed share of a label; they decide the cost, never the recall.
+    Runs are measured on a hashed share of a label; they decide the cost, never the recall.
     """
-    large = stored(distinct.groupBy("label", "size").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > _DIRECT), "large")
+    large = stored(distinct.groupBy("label", "size").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > _WINDOW), "large")
     trial = distinct.join(large, ["label", "size"]).where(share("rep", seed=seed) < F.lit(float(_TRIAL_ROWS)) / F.col("n"))
     prefixes = trial.select("label", "size", "n", "v").mapInArrow(_trial_rows(seed), "label string, size int, n long, trial int, depth int, key long")
     buckets = prefixes.groupBy("label", "size", "n", "trial", "depth", "key").agg(F.count(F.lit(1)).cast("double").alias("c"))
@@ -112,7 +108,7 @@ def _plan(distinct: DataFrame, similarity: float, recall: float, seed: int) -> D
     drawn = F.col("rows") / _TRIALS
     pairs = F.col("pairs") / _TRIALS / 2 * F.pow(F.col("n") / drawn, F.lit(2))
     passes = F.element_at(F.array(*[F.lit(passes_at(d, similarity, recall)) for d in _DEPTHS]), ((F.col("depth") - _DEPTHS.start) / _DEPTHS.step).cast("int") + 1)
-    cost = passes * (F.col("n") * _ROW_COST + pairs)
+    cost = passes * (F.col("n") * (_ROW_COST + _WINDOW) + pairs)
     return stored(measured.groupBy("label", "size").agg(F.min_by(F.struct("depth", passes.alias("passes")), cost).alias("best")).select("label", "size", "best.*"), "depths")
 
 
@@ -128,8 +124,8 @@ def _roots_of_pairs(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _roots_of_rows(rows: np.ndarray, split: int, similarity: float) -> np.ndarray:
-    """Smallest position reachable over links of the first ``split`` rows with the others (or with each other).
+def _roots_of_rows(rows: np.ndarray, split: int, similarity: float, among: bool = False) -> np.ndarray:
+    """Smallest position reachable over links of the first ``split`` rows with the others (or with each other; with both if ``among``).
 
     Pairs that are already connected are left out, so a dense group costs little.
     """
@@ -145,7 +141,7 @@ def _roots_of_rows(rows: np.ndarray, split: int, similarity: float) -> np.ndarra
         if len(x):
             root = _roots_of_pairs(n, np.append(np.arange(n), a[x]), np.append(root, b[y]))
 
-    left, right = np.arange(split), np.arange(split if split < n else 0, n)
+    left, right = np.arange(split), np.arange(split if split < n and not among else 0, n)
     join(left[:32], right)
     left, right = left[np.argsort(root[left], kind="stable")], right[np.argsort(root[right], kind="stable")]
     for i in range(0, len(left), 512):
@@ -176,6 +172,41 @@ def _compare_buckets(similarity: float):
     return run
 
 
+def _compare_windows(similarity: float):
+    """Links of every vector with its window: the rows before it in the order, as far as its run goes and ``_WINDOW`` at least.
+
+    Holds one window and one piece of a batch. Of a run above ``_CELL`` rows only the
+    window is compared here.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, reps, units, keys = None, np.zeros(0, np.int64), None, np.zeros(0, np.int64)
+        for batch in batches:
+            label = pc.fill_null(batch["label"], "").dictionary_encode()
+            names = label.dictionary.to_pylist()
+            bounds = run_starts(batch["pass"].to_numpy(), label.indices.to_numpy(), batch["size"].to_numpy())
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                group = (batch["pass"][int(a)].as_py(), names[label.indices[int(a)].as_py()], batch["size"][int(a)].as_py())
+                if group != own:
+                    own, reps, units, keys = group, np.zeros(0, np.int64), np.zeros((0, group[2])), np.zeros(0, np.int64)
+                for first in range(int(a), int(b), _CELL // 4):
+                    part = batch.slice(first, min(_CELL // 4, int(b) - first))
+                    units = np.concatenate([_matrix(part["v"]), units])
+                    reps = np.concatenate([part["rep"].to_numpy(), reps])
+                    keys = np.concatenate([part["key"].to_numpy(), keys])
+                    root = _roots_of_rows(units, part.num_rows, similarity, among=True)
+                    some = np.flatnonzero(root != np.arange(len(root)))
+                    if len(some):
+                        yield pa.RecordBatch.from_arrays([pa.array(reps[some]), pa.array(reps[root[some]])], ["a", "b"])
+                    kept = part.num_rows + np.arange(len(reps) - part.num_rows)
+                    kept = np.concatenate([np.arange(part.num_rows)[::-1], kept])  # the latest row first
+                    run_length = int((keys == keys[kept[0]]).sum())
+                    kept = kept[: max(_WINDOW, run_length if run_length <= _CELL else 0)]
+                    reps, units, keys = reps[kept], units[kept], keys[kept]
+
+    return run
+
+
 def _candidates(distinct: DataFrame, similarity: float, recall: float, seed: int) -> DataFrame:
     """Links ``a, b`` that connect, with chance ``recall`` at least, any two vectors that are near."""
     planned = distinct.join(_plan(distinct, similarity, recall, seed), ["label", "size"], "left")
@@ -183,13 +214,19 @@ def _candidates(distinct: DataFrame, similarity: float, recall: float, seed: int
     bucket = "pass int, label string, size int, key long"
     counted = planned.mapInArrow(_bucket_rows(seed, False), bucket).groupBy(*_BUCKET).count().where(F.col("count") > _CELL)
     cut = stored(counted.select(*_BUCKET, F.ceil(F.col("count") / _CELL).cast("int").alias("blocks")), "cut")
-    rows = planned.mapInArrow(_bucket_rows(seed, True), f"{bucket}, rep long, v array<double>").join(cut, _BUCKET, "left")
-    rows = rows.withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other", "blocks")
+    rows = planned.mapInArrow(_bucket_rows(seed, True), f"{bucket}, order long, rep long, v {distinct.schema['v'].dataType.simpleString()}")
+    tasks = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), distinct.sparkSession.sparkContext.defaultParallelism)
+    # Whole runs stay together (a label of one window is one run); the order goes on inside a task from run to run.
+    ordered = rows.repartitionByRange(tasks, *_BUCKET).sortWithinPartitions(*_BUCKET, "order", "rep")
+    near = ordered.mapInArrow(_compare_windows(similarity - 1e-9), "a long, b long")
+    if cut.isEmpty():
+        return near
+    long_runs = rows.drop("order").join(cut, _BUCKET).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    long_runs = long_runs.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    long_runs = long_runs.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other", "blocks")
     keys = [*_BUCKET, "lo", "hi"]
-    dealt = rows.repartition(*keys).sortWithinPartitions(*keys, "block", "rep")
-    return dealt.mapInArrow(_compare_buckets(similarity - 1e-9), "a long, b long")
+    dealt = long_runs.repartition(*keys).sortWithinPartitions(*keys, "block", "rep")
+    return near.unionByName(dealt.mapInArrow(_compare_buckets(similarity - 1e-9), "a long, b long"))
 
 
 def _linked(similarity: float):
@@ -223,7 +260,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     smallest counts). An empty table gives none.
     """
     ship(vectors)
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.col(label_col).cast("string").alias("label"))
+    kind = vectors.schema[vector_col].dataType.simpleString()  # floats are sent as such: half as many bytes, the same numbers
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>" if "float" in kind else "array<double>").alias("v"), F.col(label_col).cast("string").alias("label"))
     broken = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     sound = rows.where(F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull() & ~broken & F.exists("v", lambda x: x != 0))
     single = sound.groupBy("id").agg(F.min(F.struct("label", "v")).alias("x")).select("id", "x.label", "x.v")

@@ -95,12 +95,35 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert rated.where("text IS NULL AND tokens <> 0").count() == 0
     out = mixing.mixed(odd_docs, labels, {"a": 1, "b": 1}, anchor="a")
     assert out.columns == odd_docs.columns
-    with pytest.raises(ValueError, match="no labelled row"):
-        mixing.mixed(no_docs, labels, {"a": 1}, anchor="a")
     model = mixing.DomainModel(["a", "b"], [0.0, 0.0], [], [])
     assert mixing.with_chances(no_docs, model).count() == 0
 
 
+def test_nothing_to_learn_from_leaves_the_rows_alone(spark, odd_docs, no_docs):
+    labels = spark.createDataFrame([(4, "a"), (5, "b")], "doc_id long, domain string")
+    before = sorted(map(str, odd_docs.collect()))
+    for docs, known in ((no_docs, labels), (odd_docs, labels.limit(0)), (odd_docs, labels.withColumn("doc_id", F.lit(99))), (odd_docs, labels.where("domain = 'b'"))):
+        with pytest.warns(UserWarning, match="every rate is 1"):
+            rated, fitted = mixing.mix_rates(docs, known, {"a": 1, "b": 1}, "a")
+        assert not fitted.reached and fitted.domains == [] and rated.where("rate <> 1 OR copies <> 1").count() == 0
+        with pytest.warns(UserWarning):
+            out = mixing.mixed(docs, known, {"a": 1, "b": 1}, anchor="a")
+        assert out.columns == docs.columns and sorted(map(str, out.collect())) == (before if docs is odd_docs else [])
+    with pytest.raises(ValueError, match="needs a weight"):
+        mixing.mix_rates(odd_docs, labels, {"b": 1}, "a")
+
+
+def test_names_that_the_operator_uses_itself(spark):
+    names = ["__key", "__tokens", "__chances", "__rate", "__words", "__mix_copies", "kept__key"]
+    docs = spark.createDataFrame([(i, f"word{i % 3} " * 30, *names) for i in range(20)], ["doc_id", "text", *names])
+    labels = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(20)], "doc_id long, domain string")
+    rated, _ = mixing.mix_rates(docs, labels, {"a": 1, "b": 1}, "a")
+    assert set(docs.columns) < set(rated.columns)
+    assert all(r[n] == n for r in rated.collect() for n in names)
+    out = mixing.mixed(docs, labels, {"a": 1, "b": 1}, anchor="a")
+    assert out.columns == docs.columns and all(r[n] == n for r in out.collect() for n in names)
+
+
 def test_copies_are_right_on_average(spark):
     for rate in (0.0, 0.3, 1.0, 2.6):
         mean = spark.range(20_000).select(F.avg(mixing.copies_of(F.lit(rate), "id")).alias("m")).first().m

@@ -62,9 +62,9 @@ def test_query_against_brute_force(spark):
     assert got(queries.op8_embedding_near_dedup(spark, folder), "vec_id") == brute(table)
 
 
-def test_passes_grow_with_the_labels():
-    few, many = (vectors.passes_for(n, 32, 0.98, 0.99999) for n in (1000, 10**9))
-    assert 1 <= few < many < 100
+def test_passes_grow_with_the_depth():
+    few, many = (vectors.passes_at(depth, 0.98, 0.99999) for depth in (6, 30))
+    assert 1 < few < many < 100
 
 
 def cone(draw, n, pairs, mutual, size=64):
@@ -82,18 +82,36 @@ def cone(draw, n, pairs, mutual, size=64):
     return np.concatenate([rows, np.sqrt(mutual) * axis + np.sqrt(1 - mutual) * (c * side[:pairs] + np.sqrt(1 - c * c) * aside)])
 
 
-@pytest.mark.parametrize(("mutual", "whole"), [(0.90, False), (0.95, True), (0.94, False)])
-def test_cones_lose_no_pair(spark, monkeypatch, mutual, whole):
-    """Labels whose vectors all lie close together, compared whole or in measured buckets."""
-    if not whole:
+@pytest.mark.parametrize(("mutual", "small"), [(0.0, False), (0.90, False), (0.95, False), (0.90, True), (0.94, True)])
+def test_cones_lose_no_pair(spark, monkeypatch, mutual, small):
+    """Labels of many windows whose vectors lie evenly or all close together; with small pieces long runs are cut into blocks."""
+    if small:
         depths = vectors._DEPTHS if mutual < 0.92 else range(6, 7, 3)
-        for name, value in (("_DIRECT", 256), ("_ROW_COST", 16), ("_CELL", 300), ("_DEPTHS", depths)):
+        for name, value in (("_WINDOW", 64), ("_ROW_COST", 16), ("_CELL", 300), ("_DEPTHS", depths)):
             monkeypatch.setattr(vectors, name, value)
     units = cone(np.random.default_rng(7), 4000, 400, mutual)
     table = [(i, v.tolist(), 1) for i, v in enumerate(units)]
     frame = spark.createDataFrame(table, "vec_id long, embedding array<double>, label int").repartition(4)
-    if not whole:
-        distinct = frame.selectExpr("cast(label as string) label", "embedding v", "vec_id rep", "size(embedding) size")
-        plan = vectors._plan(distinct, 0.98, 0.99999, 23).first()
-        assert plan.depth > 0 and plan.passes == vectors.passes_at(plan.depth, 0.98, 0.99999)
+    distinct = frame.selectExpr("cast(label as string) label", "embedding v", "vec_id rep", "size(embedding) size")
+    plan = vectors._plan(distinct, 0.98, 0.99999, 23).first()
+    assert plan.depth >= 6 and plan.passes == vectors.passes_at(plan.depth, 0.98, 0.99999) > 1
     assert got(vectors.near_vectors(frame)) == brute(table)
+
+
+def test_windows_link_neighbours_across_batches(monkeypatch):
+    """Rows near each other in the order are linked although their runs differ; those farther than a window are not."""
+    monkeypatch.setattr(vectors, "_WINDOW", 8)
+    monkeypatch.setattr(vectors, "_CELL", 16)
+    draw = np.random.default_rng(5)
+    rows = draw.standard_normal((60, 8))
+    rows[21], rows[40] = rows[15], rows[10]
+    columns = {"pass": np.zeros(60, np.int32), "label": ["a"] * 60, "size": np.full(60, 8, np.int32), "key": np.arange(60), "order": np.arange(60), "rep": np.arange(60), "v": rows.tolist()}
+    table = vectors.pa.table(columns)
+    batches = [b for k in (0, 7, 19, 30) for b in table.slice(k, {0: 7, 7: 12, 19: 11, 30: 30}[k]).combine_chunks().to_batches()]
+    found = {frozenset((r["a"], r["b"])) for b in vectors._compare_windows(0.999)(iter(batches)) for r in b.to_pylist()}
+    assert found == {frozenset((15, 21))}
+    columns["key"] = np.zeros(60, np.int64)
+    monkeypatch.setattr(vectors, "_CELL", 64)
+    batches = vectors.pa.table(columns).to_batches(max_chunksize=13)
+    found = {frozenset((r["a"], r["b"])) for b in vectors._compare_windows(0.999)(iter(batches)) for r in b.to_pylist()}
+    assert found == {frozenset((15, 21)), frozenset((10, 40))}, "a run is compared whole"

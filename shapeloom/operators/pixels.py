@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import io
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from shapeloom.session import BATCH_BYTES, bound_batches
+
 # Cubic coefficients of the 8-bit and of the float resampler.
 CUBIC_ANTIALIASED = -0.5
 CUBIC_INTERPOLATED = -0.75
@@ -131,6 +133,18 @@ def normalized_chw(image: np.ndarray) -> np.ndarray:
 PLAN_COLUMNS = ["load_w", "load_h", "resize_w", "resize_h", "crop_x", "crop_y", "bucket_w", "bucket_h"]
 
 
+def frames_of_bytes(pdf: pd.DataFrame, sizes: np.ndarray, limit: int = BATCH_BYTES // 2) -> Iterator[pd.DataFrame]:
+    """``pdf`` in stretches of rows whose results, of ``sizes`` bytes, take at most ``limit`` together, or of one row."""
+    begin, held = 0, 0
+    for end, size in enumerate(sizes.tolist()):
+        if held and held + size > limit:
+            yield pdf.iloc[begin:end]
+            begin, held = end, 0
+        held += size
+    if begin < len(pdf):
+        yield pdf.iloc[begin:]
+
+
 def to_rgb(images: DataFrame, keep: list[str], order: str = "BGR") -> DataFrame:
     """Replace interleaved ``data`` of 1, 3 or 4 channels by RGB bytes.
 
@@ -144,12 +158,15 @@ def to_rgb(images: DataFrame, keep: list[str], order: str = "BGR") -> DataFrame:
 
     def run(batches):
         for pdf in batches:
-            rgb = [
-                np.ascontiguousarray(rgb_from_bytes(d, h, w, c, order)).tobytes()
-                for d, h, w, c in zip(pdf["data"], pdf["height"], pdf["width"], pdf["nChannels"])
-            ]
-            yield pdf[[*keep, "height", "width"]].assign(data=rgb)
-
+            sizes = pdf["height"].to_numpy(np.int64) * pdf["width"].to_numpy(np.int64) * 3
+            for part in frames_of_bytes(pdf, sizes):
+                rgb = [
+                    np.ascontiguousarray(rgb_from_bytes(d, h, w, c, order)).tobytes()
+                    for d, h, w, c in zip(part["data"], part["height"], part["width"], part["nChannels"])
+                ]
+                yield part[[*keep, "height", "width"]].assign(data=rgb)
+
+    bound_batches(images.sparkSession)
     return images.select(*keep, "height", "width", "nChannels", "data").mapInPandas(run, T.StructType(fields))
 
 
@@ -165,12 +182,15 @@ def resize_pixels(images: DataFrame, keep: list[str], kernel: str = "cubic") ->
 
     def run(batches):
         for pdf in batches:
-            tensors = [
-                normalized_chw(carry_out(rgb_from_bytes(d, h, w, 3, "RGB"), plan, kernel))
-                for d, h, w, plan in zip(pdf["data"], pdf["height"], pdf["width"], pdf[PLAN_COLUMNS].to_dict("records"))
-            ]
-            yield pdf[keep].assign(pixels=[t.ravel() for t in tensors], pixel_shape=[list(t.shape) for t in tensors])
-
+            sizes = pdf["bucket_h"].to_numpy(np.int64) * pdf["bucket_w"].to_numpy(np.int64) * 12
+            for part in frames_of_bytes(pdf, sizes):
+                tensors = [
+                    normalized_chw(carry_out(rgb_from_bytes(d, h, w, 3, "RGB"), plan, kernel))
+                    for d, h, w, plan in zip(part["data"], part["height"], part["width"], part[PLAN_COLUMNS].to_dict("records"))
+                ]
+                yield part[keep].assign(pixels=[t.ravel() for t in tensors], pixel_shape=[list(t.shape) for t in tensors])
+
+    bound_batches(images.sparkSession)
     return images.select(*dict.fromkeys([*keep, "height", "width", "data", *PLAN_COLUMNS])).mapInPandas(run, T.StructType(fields))
 
 

@@ -32,7 +32,7 @@ from shapeloom.operators.consolidate import caption_map
 from shapeloom.operators.encoders import caption_images, encode_texts, model_token, once_per_worker
 from shapeloom.operators.joins import optional_captions, pair_members, required_captions
 from shapeloom.operators.pixels import PLAN_COLUMNS, SETUP_FAULTS, SetupFault, carry_out, decode_with_pillow, encode_batch, image_seeds
-from shapeloom.session import shared_dir, ship_package
+from shapeloom.session import bound_batches, shared_dir, ship_package
 from shapeloom.sinks.writers import write_partitioned
 from shapeloom.sources import footers
 from shapeloom.sources.catalog import scan_catalog
@@ -148,6 +148,7 @@ def encode_images(planned: DataFrame, settings: ImageSettings, keep: list[str],
             error=errors,
         )
 
+    bound_batches(planned.sparkSession)
     return apply_local_batches(slim, ["resolution"], run, T.StructType(fields), settings.batch_size)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 
 from shapeloom.functions.buckets import GRID_1024, BucketGrid
 from shapeloom.operators.batching import spread_rows
-from shapeloom.session import table
+from shapeloom.session import bound_batches, table
 
 # Image sizes of the lineitem rows (no unique key) and of the documents (unique id).
 LINE_IMAGES_SQL = """line_images AS (
@@ -116,15 +117,28 @@ def open_png(content: bytes) -> np.ndarray:
     return np.repeat(pixels, 3, axis=2) if channels == 1 else pixels[:, :, :3]
 
 
+PAINTED_ROWS = 512
+
+
+def _painter(paint_one: Callable[[int, int, int, int], bytes]) -> Callable[..., Column]:
+    """``paint_one`` on every row; the pictures of few rows are held at a time."""
+
+    @F.pandas_udf(T.BinaryType())
+    def paint(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for plans in batches:
+            for begin in range(0, len(plans[0]), PAINTED_ROWS):
+                rows = zip(*(p.iloc[begin : begin + PAINTED_ROWS] for p in plans))
+                yield pd.Series([paint_one(*map(int, p)) for p in rows], dtype=object)
+
+    return paint
+
+
 def pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, lang, key, jpg, text)``: one encoded picture per document."""
     docs = spread_rows(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), ["doc_id"])
     width, height, channels = picture_size(F.col("doc_id"))
-
-    @F.pandas_udf(T.BinaryType())
-    def paint(ids: pd.Series, widths: pd.Series, heights: pd.Series, depths: pd.Series) -> pd.Series:
-        return pd.Series([png_bytes(draw(*map(int, p))) for p in zip(ids, widths, heights, depths)], dtype=object)
-
+    bound_batches(spark)
+    paint = _painter(lambda *plan: png_bytes(draw(*plan)))
     return docs.select(
         "doc_id", "lang", F.col("doc_id").cast("string").alias("key"), paint("doc_id", width, height, channels).alias("jpg"), "text"
     )
@@ -135,15 +149,13 @@ def raw_pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread_rows(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), ["doc_id"])
     width, height, channels = picture_size(F.col("doc_id"))
 
-    @F.pandas_udf(T.BinaryType())
-    def paint(ids: pd.Series, widths: pd.Series, heights: pd.Series, depths: pd.Series) -> pd.Series:
-        def data(doc_id: int, w: int, h: int, c: int) -> bytes:
-            pixels = draw(doc_id, w, h, c)
-            order = [2, 1, 0, 3][:c] if c > 1 else [0]
-            return np.ascontiguousarray(pixels[:, :, order]).tobytes()
-
-        return pd.Series([data(*map(int, p)) for p in zip(ids, widths, heights, depths)], dtype=object)
+    def data(doc_id: int, w: int, h: int, c: int) -> bytes:
+        pixels = draw(doc_id, w, h, c)
+        order = [2, 1, 0, 3][:c] if c > 1 else [0]
+        return np.ascontiguousarray(pixels[:, :, order]).tobytes()
 
+    bound_batches(spark)
+    paint = _painter(data)
     return docs.select(
         "doc_id",
         width.cast("int").alias("width"),

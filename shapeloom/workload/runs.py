@@ -198,7 +198,7 @@ def _in_time_order(spark, sf_dir, folder, part, parts):
     if part == parts - 1:  # a late last event of every run lets the watermark pass all others
         far = events.groupBy("event_type").agg(F.timestamp_micros(F.lit(ends[1] + 10 * 86_400_000_000)).alias("ts"))
         mine = mine.unionByName(far)
-    mine.coalesce(1).write.mode("append").parquet(folder)
+    mine.repartition(1).write.mode("append").parquet(folder)
 
 
 def _streamed_rates(spark, sf_dir, rated):

@@ -45,3 +45,19 @@ def test_frames_keep_every_row_once():
     cut = list(pixels.frames_of_bytes(pdf, np.array([1, 9, 2, 3, 50, 1, 1]), limit=10))
     assert [f["n"].tolist() for f in cut] == [[0, 1], [2, 3], [4], [5, 6]]
     assert list(pixels.frames_of_bytes(pdf.iloc[:0], np.array([], int))) == []
+
+
+def test_rows_that_carry_images_cross_in_small_batches(spark):
+    """Also for the jobs: sizing the images bounds the batches, unless the session has a bound of its own."""
+    from shapeloom.functions.image_header import add_dimensions
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    images = spark.range(0, 20, 1, 1).withColumn("content", F.expr("cast(repeat('x', 1048576 + cast(id as int)) as binary)"))
+    sized = add_dimensions(images)
+    rows, held = largest(sized, "content", 1)
+    assert rows == 20 and held <= BATCH_BYTES + (2 << 20)
+    spark.conf.set(key, "3000000")
+    add_dimensions(images)
+    assert spark.conf.get(key) in ("3000000", "3000000b")
+    spark.conf.unset(key)

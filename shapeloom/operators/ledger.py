@@ -11,11 +11,15 @@ still pending. Ids are never used twice.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shapeloom.session import few_listing_tasks
+
 LOG_SCHEMA = "path string, status string, attempt int, run string, error string, logged_at timestamp"
 STARTED, FINISHED, FAILED, EMPTY = "started", "finished", "failed", "empty"
 #: A round that stopped for a fault of the setup gives its inputs back: they are pending, and not suspects.
@@ -115,7 +119,30 @@ def path_exists(spark: SparkSession, location: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
-def read_committed(spark: SparkSession, output: str, log: DataFrame) -> DataFrame:
-    """Output rows of the runs that reached the log (a few run ids, so partitions prune)."""
+def child_folders(spark: SparkSession, location: str) -> list[str]:
+    """Names of what lies directly in a folder."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return [f.getPath().getName() for f in hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop_path)]
+
+
+def read_committed(spark: SparkSession, output: str, log: DataFrame, within: str | None = None) -> DataFrame:
+    """Output rows of the runs that reached the log (a few run ids, so partitions prune).
+
+    With ``within``, a folder such as ``outcome=ok`` below each run's, nothing else is
+    listed; where no run has it all of ``output`` is read, so filter on its column too.
+    """
     runs = log.filter(F.col("status") == FINISHED).select("run").distinct()
-    return spark.read.parquet(output).join(runs, "run", "left_semi")
+    folders = _folders_within(spark, output, {r.run for r in runs.collect()}, within) if within else []
+    with few_listing_tasks(spark):
+        if folders:
+            rows = spark.read.option("basePath", output).parquet(*folders)
+        else:
+            rows = spark.read.parquet(output)
+    return rows.join(runs, "run", "left_semi")
+
+
+def _folders_within(spark: SparkSession, output: str, runs: set[str], within: str) -> list[str]:
+    named = [n for n in child_folders(spark, output) if n.startswith("run=") and unquote(n[4:]) in runs]
+    if any(re.search(r"[\[\]{}*?\\\\]", n) for n in named):  # a reader takes these for patterns
+        return []
+    return [f"{output}/{n}/{within}" for n in named if path_exists(spark, f"{output}/{n}/{within}")]

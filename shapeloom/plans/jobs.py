@@ -109,11 +109,15 @@ def replan(planned: DataFrame, of_file: DataFrame, file: str, settings: ImageSet
     return crop_plan(resize_plan(shared, "load_w", "load_h"), settings.crop, key, settings.seed)
 
 
-def encode_images(planned: DataFrame, settings: ImageSettings, keep: list[str], content: str | None = None, folder: str | None = None, token: str | None = None) -> DataFrame:
+UNREADABLE = "unreadable image header"
+
+
+def encode_images(planned: DataFrame, settings: ImageSettings, keep: list[str], content: str | None = None, folder: str | None = None, token: str | None = None, refused: str | None = None) -> DataFrame:
     """Pixels to latents in one narrow pass over batches of one bucket size.
 
     Bytes come from column ``content`` or from byte ranges of shards in ``folder``.
-    Rows that fail keep their ids and carry an ``error`` instead of a latent.
+    Rows that fail keep their ids and carry an ``error`` instead of a latent; so do rows
+    with a null resolution whose reason stands in column ``refused``, unopened.
     """
     fields = [planned.schema[c] for c in [*keep, "resolution"]] + [
         T.StructField("latent", T.ArrayType(T.FloatType())),
@@ -121,14 +125,15 @@ def encode_images(planned: DataFrame, settings: ImageSettings, keep: list[str],
         T.StructField("error", T.StringType()),
     ]
     source = [content] if content else ["shard", "offset", "size"]
-    slim = planned.select(*dict.fromkeys([*keep, "resolution", *PLAN_COLUMNS, *source]))
+    slim = planned.select(*dict.fromkeys([*keep, "resolution", *PLAN_COLUMNS, *source, *([refused] if refused else [])]))
     make_encoder, decode, kernel = settings.make_encoder, settings.decode, settings.kernel
     sampling, seed = settings.sampling, settings.seed
     token = token or model_token()
     opened: dict[str, ShardFiles] = {}
 
     def unreadable(frame: pd.DataFrame) -> pd.DataFrame:
-        return frame[[*keep, "resolution"]].assign(latent=None, latent_shape=None, error="unreadable image header")
+        reason = frame[refused].fillna(UNREADABLE) if refused else UNREADABLE
+        return frame[[*keep, "resolution"]].assign(latent=None, latent_shape=None, error=reason)
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         if frame["resolution"].iloc[0] is None:
@@ -257,7 +262,7 @@ def _committed(spark: SparkSession, space: Workspace, outcome: str) -> DataFrame
     log = ledger.read_log(spark, space.log)
     if log.filter(F.col("status") == ledger.FINISHED).isEmpty() or not ledger.path_exists(spark, space.data):
         return spark.createDataFrame([], EMPTY_OUTPUT)
-    return ledger.read_committed(spark, space.data, log).filter(F.col("outcome") == outcome).drop("outcome")
+    return ledger.read_committed(spark, space.data, log, f"outcome={outcome}").filter(F.col("outcome") == outcome).drop("outcome")
 
 
 def read_output(spark: SparkSession, work: str) -> DataFrame:
@@ -444,13 +449,17 @@ def prepare_tar(
         counts = {r["fate"]: r["count"] for r in rows.groupBy("fate").count().collect()}
         seen = {"images": sum(counts.values())} | {f.replace(" ", "_"): counts.get(f, 0) for f in FATES}
         kept = ["shard", "member", "image_id", "caption"]
-        placed = place_by_range(rows.filter(F.col("fate") == PLANNED), fetch_tasks(readable))
-        encoded = encode_images(placed, settings, kept, folder=folder, token=model_token(job, "encoder"))
-        unusable = rows.filter(F.col("fate").isin(*REJECTED)).select(*kept, F.col("fate").alias("error"))
+        # Rejects lie beside the images of their shard, so that a shard is written by one task or two, not by every task that holds a reject.
+        unusable = F.col("fate").isin(*REJECTED)
+        marked = rows.filter((F.col("fate") == PLANNED) | unusable).withColumns(
+            {"resolution": F.when(~unusable, F.col("resolution")), "refused": F.when(unusable, F.col("fate"))}
+        )
+        placed = place_by_range(marked, fetch_tasks(readable))
+        encoded = encode_images(placed, settings, kept, folder=folder, token=model_token(job, "encoder"), refused="refused")
         written: dict[str, int] = {"encoded": 0, "rejected": 0}
         if counts.get(PLANNED, 0) or any(counts.get(f, 0) for f in REJECTED):
             with _released_on_setup_fault(spark, space, run_id, paths):
-                done = _write(encoded.unionByName(unusable, allowMissingColumns=True), space, run_id, "shard", settings, rebalance=False)
+                done = _write(encoded, space, run_id, "shard", settings, rebalance=False)
             written = done.get
             if counts.get(PLANNED, 0) and not written["encoded"]:
                 raise SetupFault(f"SetupFault: no image of round {run_id} could be encoded; nothing of it is logged as finished")

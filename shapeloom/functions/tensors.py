@@ -24,6 +24,9 @@ E5M2_OVERFLOW = 61440.0
 E5M2_NAN = 127
 E5M2_INF = 124
 
+# Values encoded at a time: some ten temporary arrays of eight bytes a value lie beside them.
+STRETCH_VALUES = 1 << 16
+
 
 # ---- scaling -----------------------------------------------------------------
 
@@ -186,15 +189,21 @@ def _validity(array) -> pa.Buffer | None:
     return pa.array(array.is_valid().to_numpy(zero_copy_only=False), pa.bool_()).buffers()[1]
 
 
+def _by_stretches(encode, values: np.ndarray) -> np.ndarray:
+    """``encode`` of every value; what it needs beside the result is that of one stretch."""
+    cuts = range(0, max(1, len(values)), STRETCH_VALUES)
+    return np.concatenate([encode(values[at : at + STRETCH_VALUES]) for at in cuts])
+
+
 def _lists_to_binary(lists, encode, width: int):
-    """Encode every list's values in one pass; ``width`` bytes per element."""
+    """Encode every list's values, stretch by stretch; ``width`` bytes per element."""
     if len(lists) == 0:
         return pa.array([], pa.binary())
     lists, bounds, first = _rows_of(lists)
     values = lists.values.slice(first, int(bounds[-1]) - first)
     if values.null_count:
         raise ValueError("tensor values must not be null")
-    data = encode(values.to_numpy(zero_copy_only=False))
+    data = _by_stretches(encode, values.to_numpy(zero_copy_only=False))
     offsets = (bounds - first) * width
     if offsets[-1] > np.iinfo(np.int32).max:
         raise ValueError("Arrow batch too large to pack; lower spark.sql.execution.arrow.maxRecordsPerBatch")

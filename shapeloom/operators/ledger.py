@@ -18,7 +18,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shapeloom.session import few_listing_tasks
+from shapeloom.session import empty_table, few_listing_tasks
 
 LOG_SCHEMA = "path string, status string, attempt int, run string, error string, logged_at timestamp"
 STARTED, FINISHED, FAILED, EMPTY = "started", "finished", "failed", "empty"
@@ -90,7 +90,7 @@ def shard_status(rows: DataFrame, shard: str = "shard", error: str = "error") ->
 
 def read_log(spark: SparkSession, location: str) -> DataFrame:
     """The log, or an empty table where none was written yet."""
-    empty = spark.createDataFrame([], LOG_SCHEMA)
+    empty = empty_table(spark, LOG_SCHEMA)
     if not path_exists(spark, location):
         return empty
     return spark.read.schema(LOG_SCHEMA).parquet(location)

@@ -32,7 +32,7 @@ from shapeloom.operators.consolidate import caption_map
 from shapeloom.operators.encoders import caption_images, encode_texts, model_token, once_per_worker
 from shapeloom.operators.joins import optional_captions, pair_members, required_captions
 from shapeloom.operators.pixels import PLAN_COLUMNS, SETUP_FAULTS, SetupFault, carry_out, decode_with_pillow, encode_batch, image_seeds
-from shapeloom.session import bound_batches, shared_dir, ship_package
+from shapeloom.session import bound_batches, empty_table, shared_dir, ship_package, text_table
 from shapeloom.sinks.writers import write_partitioned
 from shapeloom.sources import footers
 from shapeloom.sources.catalog import scan_catalog
@@ -218,7 +218,7 @@ def _rounds(spark: SparkSession, space: Workspace, listing: DataFrame, run: str,
         if smallest is not None:
             take = take[: max(1, smallest // SHRINK)]
         run_id = f"{run}-{number:05d}-{call}"
-        entries = spark.createDataFrame([(p, ledger.STARTED, run_id) for p in take], "path string, status string, run string")
+        entries = text_table(spark, ["path", "status", "run"], [(p, ledger.STARTED, run_id) for p in take])
         ledger.append_log(entries, space.log)
         yield run_id, take
         number += 1
@@ -231,7 +231,7 @@ def _released_on_setup_fault(spark: SparkSession, space: Workspace, run: str, pa
         yield
     except Exception as problem:
         if any(mark in str(problem) for mark in SETUP_MARKS):
-            entries = spark.createDataFrame([(p, ledger.RELEASED, run) for p in paths], "path string, status string, run string")
+            entries = text_table(spark, ["path", "status", "run"], [(p, ledger.RELEASED, run) for p in paths])
             ledger.append_log(entries, space.log)
         raise
 
@@ -261,7 +261,7 @@ def _report(spark: SparkSession, space: Workspace, run: str, inputs: int, began:
 def _committed(spark: SparkSession, space: Workspace, outcome: str) -> DataFrame:
     log = ledger.read_log(spark, space.log)
     if log.filter(F.col("status") == ledger.FINISHED).isEmpty() or not ledger.path_exists(spark, space.data):
-        return spark.createDataFrame([], EMPTY_OUTPUT)
+        return empty_table(spark, EMPTY_OUTPUT)
     return ledger.read_committed(spark, space.data, log, f"outcome={outcome}").filter(F.col("outcome") == outcome).drop("outcome")
 
 
@@ -325,7 +325,7 @@ def prepare_catalog(
         paths = sorted_out.good
         broken = [(p, ledger.FAILED, run_id, reason) for p, reason in sorted_out.failed]
         if broken:
-            ledger.append_log(spark.createDataFrame(broken, "path string, status string, run string, error string"), space.log)
+            ledger.append_log(text_table(spark, ["path", "status", "run", "error"], broken), space.log)
         if not paths:
             continue
         rows = scan_catalog(spark, root, paths)
@@ -364,7 +364,7 @@ def prepare_catalog(
         if outcome["rejected"] and not outcome["encoded"]:
             raise SetupFault(f"SetupFault: no image of round {run_id} could be encoded; nothing of it is logged as finished")
         _report(spark, space, run_id, len(paths), began, counts, outcome)
-        done = spark.createDataFrame([(p, ledger.FINISHED, run_id) for p in paths], "path string, status string, run string")
+        done = text_table(spark, ["path", "status", "run"], [(p, ledger.FINISHED, run_id) for p in paths])
         ledger.append_log(done, space.log)
     return read_output(spark, work)
 
@@ -466,7 +466,7 @@ def prepare_tar(
         _report(spark, space, run_id, len(paths), began, seen, written)
 
         usable = rows.filter(F.col("fate").isin(PLANNED, TOO_SMALL)).select(F.col("shard").alias("path"), F.lit(True).alias("usable")).distinct()
-        taken = spark.createDataFrame([(p,) for p in paths], "path string")
+        taken = text_table(spark, ["path"], [(p,) for p in paths])
         outcome = taken.join(failed.withColumnRenamed("shard", "path"), "path", "left").join(usable, "path", "left")
         status = (
             F.when(F.col("error").isNotNull(), ledger.FAILED).when(F.col("usable"), ledger.FINISHED).otherwise(F.lit(ledger.EMPTY))
@@ -571,7 +571,7 @@ def resume_table(spark: SparkSession, images: DataFrame, captions: DataFrame, se
     if tried["all"] and not tried["good"] and not retry_rejects:
         raise SetupFault(f"SetupFault: no image of run {run_id} could be encoded; nothing of it is logged as finished")
     bloom.bloom_of(own, "image_id").write.parquet(space.part("bloom", run_id))
-    ledger.append_log(spark.createDataFrame([(run_id, ledger.FINISHED, run_id)], "path string, status string, run string"), space.log)
+    ledger.append_log(text_table(spark, ["path", "status", "run"], [(run_id, ledger.FINISHED, run_id)]), space.log)
     good = _table_rows(spark, work, [*finished, run_id]).where(F.col("error").isNull()).drop("error", "resolution", "attempt", "run")
     return required_captions(good, captions, "image_id", "caption", on_missing, count_from=good.select("image_id"))
 

@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 
+from shapeloom.session import text_table
 from shapeloom.sources.files import resolve
 
 PROBED = "path string, rows bigint, kinds string, error string"
@@ -51,7 +52,7 @@ def probe_footers(spark: SparkSession, root: str, paths: list[str], columns: lis
             yield pa.RecordBatch.from_arrays(columns_of, ["path", "rows", "kinds", "error"])
 
     tasks = min(len(paths), 4 * spark.sparkContext.defaultParallelism)
-    return spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, tasks)).mapInArrow(run, PROBED)
+    return text_table(spark, ["path"], [(p,) for p in paths]).repartition(max(1, tasks)).mapInArrow(run, PROBED)
 
 
 def _kind(schema: pa.Schema, column: str) -> pa.DataType | None:

@@ -8,8 +8,8 @@ from __future__ import annotations
 
 import io
 import zlib
+from collections import OrderedDict
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -61,7 +61,27 @@ def _lanczos(x: np.ndarray) -> np.ndarray:
     return np.where(np.abs(x) < 3, np.sinc(x) * np.sinc(x / 3), 0.0)
 
 
-@lru_cache(maxsize=256)
+#: Weights of resizes met before, the latest last, in every worker process.
+WEIGHTS_BYTES = 4 << 20
+_known_weights: OrderedDict[tuple[int, int, str], tuple[np.ndarray, np.ndarray]] = OrderedDict()
+_held_weights = [0]
+
+
+def _weights_of(source: int, target: int, kernel: str) -> tuple[np.ndarray, np.ndarray]:
+    """``resample_weights``, kept for later images: as many as ``WEIGHTS_BYTES`` hold, so many of small images and few of large ones."""
+    key = (source, target, kernel)
+    found = _known_weights.get(key)
+    if found is None:
+        found = _known_weights[key] = resample_weights(*key)
+        _held_weights[0] += found[0].nbytes + found[1].nbytes
+        while _held_weights[0] > WEIGHTS_BYTES and len(_known_weights) > 1:
+            taps, weights = _known_weights.popitem(last=False)[1]
+            _held_weights[0] -= taps.nbytes + weights.nbytes
+    else:
+        _known_weights.move_to_end(key)
+    return found
+
+
 def resample_weights(source: int, target: int, kernel: str) -> tuple[np.ndarray, np.ndarray]:
     """(tap indices, tap weights), each ``[target, taps]``, of a 1-D resize.
 
@@ -87,13 +107,15 @@ def resample_weights(source: int, target: int, kernel: str) -> tuple[np.ndarray,
     return np.clip(taps, 0, source - 1), weights / weights.sum(axis=1, keepdims=True)
 
 
-def _apply_taps(image: np.ndarray, taps: np.ndarray, weights: np.ndarray, axis: int) -> np.ndarray:
-    """Weighted sum of shifted slices: work grows with the number of taps, not with the source size."""
-    shape = [1] * image.ndim
-    shape[axis] = len(taps)
-    total = 0.0
-    for k in range(taps.shape[1]):
-        total = total + image.take(taps[:, k], axis=axis) * weights[:, k].reshape(shape).astype(np.float32)
+def _apply_taps(lines: np.ndarray, taps: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Weighted sums of whole lines (the first axis): work grows with the number of taps, not with the source size."""
+    factors = weights.astype(np.float32).T.reshape(*taps.T.shape, *[1] * (lines.ndim - 1))
+    total = lines.take(taps[:, 0], axis=0)
+    total *= factors[0]
+    for k in range(1, taps.shape[1]):
+        part = lines.take(taps[:, k], axis=0)
+        part *= factors[k]
+        total += part
     return total
 
 
@@ -104,14 +126,14 @@ def resize_crop(image: np.ndarray, plan: dict[str, int], kernel: str) -> np.ndar
     'interpolate' keeps fractions.
     """
     x, y = plan["crop_x"], plan["crop_y"]
-    tx, wx = resample_weights(image.shape[1], plan["resize_w"], kernel)
-    ty, wy = resample_weights(image.shape[0], plan["resize_h"], kernel)
+    tx, wx = _weights_of(image.shape[1], plan["resize_w"], kernel)
+    ty, wy = _weights_of(image.shape[0], plan["resize_h"], kernel)
     tx, wx = tx[x : x + plan["bucket_w"]], wx[x : x + plan["bucket_w"]]
     ty, wy = ty[y : y + plan["bucket_h"]], wy[y : y + plan["bucket_h"]]
-    top, bottom = int(ty.min()), int(ty.max()) + 1
-    out = image[top:bottom].astype(np.float32)
-    for taps, weights, axis in ((tx, wx, 1), (ty - top, wy, 0)):
-        out = _apply_taps(out, taps, weights, axis)
+    top, bottom = int(ty[0, 0]), int(ty[-1, -1]) + 1  # taps ascend
+    out = image[top:bottom]
+    for taps, weights in ((tx, wx), (ty - top, wy)):  # columns are lines of the image on its side
+        out = _apply_taps(np.ascontiguousarray(out.swapaxes(0, 1), np.float32), taps, weights)
         if kernel != "interpolate":
             out = np.clip(np.floor(out + 0.5), 0, 255)
     return out
@@ -127,7 +149,7 @@ def carry_out(image: np.ndarray, plan: dict[str, int], kernel: str) -> np.ndarra
 
 def normalized_chw(image: np.ndarray) -> np.ndarray:
     """``[h, w, 3]`` 0..255 -> float32 ``[3, h, w]`` in about [-1, 1]."""
-    return (image.transpose(2, 0, 1) / 255.0 * 2.0 - 1.0).astype(np.float32)
+    return (image.transpose(2, 0, 1) / 255.0 * 2.0 - 1.0).astype(np.float32, copy=False)
 
 
 PLAN_COLUMNS = ["load_w", "load_h", "resize_w", "resize_h", "crop_x", "crop_y", "bucket_w", "bucket_h"]
@@ -217,9 +239,10 @@ def encode_batch(
     stacked, places = [], []
     latents: list[np.ndarray | None] = [None] * len(frame)
     errors: list[str | None] = [None] * len(frame)
-    for place, (data, plan) in enumerate(zip(frame[content], frame[PLAN_COLUMNS].astype("int64").to_dict("records"))):
+    plans = zip(*(frame[c].astype("int64").tolist() for c in PLAN_COLUMNS))
+    for place, (data, plan) in enumerate(zip(frame[content], plans)):
         try:
-            stacked.append(normalized_chw(carry_out(decode(data), plan, kernel)))
+            stacked.append(normalized_chw(carry_out(decode(data), dict(zip(PLAN_COLUMNS, plan)), kernel)))
             places.append(place)
         except SETUP_FAULTS:
             raise

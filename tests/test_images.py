@@ -249,3 +249,24 @@ def test_payloads_come_back_by_range(spark, shards):
 def test_shards_are_listed_by_relative_path(spark, shards):
     listed = sorted(r.shard for r in tar.list_shards(spark, str(shards)).collect())
     assert listed == ["a.tar", "c.tar", "cut.tar", "empty.tar", "sub/b.tar"]
+
+
+def _shrink(width: int, target: int) -> np.ndarray:
+    plan = {"resize_w": target, "resize_h": 4, "crop_x": 0, "crop_y": 0, "bucket_w": target, "bucket_h": 4}
+    return pixels.resize_crop(np.full((4, width, 3), 7, np.uint8), plan, "interpolate")
+
+
+def test_weights_of_many_small_sizes_are_made_once(monkeypatch):
+    made = []
+    plain = pixels._cubic
+    monkeypatch.setattr(pixels, "_cubic", lambda x, a: made.append(x.shape) or plain(x, a))
+    for _ in range(2):
+        for width in range(1000, 1400):
+            assert (_shrink(width, 8) == 7).all()
+    assert len(made) <= 401  # 400 widths and one height
+
+
+def test_weights_of_large_sizes_are_not_all_kept():
+    for width in range(20_000, 20_030):
+        _shrink(width, 9000)
+    assert sum(t.nbytes + w.nbytes for t, w in pixels._known_weights.values()) <= pixels.WEIGHTS_BYTES

@@ -1,6 +1,7 @@
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -102,3 +103,30 @@ def test_odd_rows(odd_docs, no_docs, model):
 def test_query_is_lossless(spark):
     rows = queries.op5_sentencepiece(spark, "/root/testdata/sf0.001").collect()
     assert len(rows) == 200 and all(r.lossless and r.n_pieces == len(r.pieces) for r in rows)
+
+
+def test_texts_are_decoded_as_buffers(monkeypatch):
+    model = pieces.load_model()
+    texts = ["", "a", "ÄÖ 漢字 🙂", " two  spaces ", "▁"] * 400
+    gone = np.arange(len(texts) + 1) % 7 == 3
+    gone[-1] = False
+    ids, at = pieces.encode_texts(model, ["" if g else t for t, g in zip(texts, gone)], np.arange(len(texts)), 0.1)
+    lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32), mask=gone), pa.array(ids))
+    expected = [None if g else t for t, g in zip(texts, gone)]
+    monkeypatch.setattr(pieces, "_PIECES", 100)
+    assert pieces.decode_lists(model, lists).to_pylist() == expected
+    assert pieces.decode_lists(model, lists.slice(5, 40)).to_pylist() == expected[5:45]
+    assert pieces.decode_lists(model, lists[:0]).to_pylist() == []
+    mark, *most, last = pieces.encode_texts(model, ["\U0001f9ff"], np.zeros(1), 0.0)[0].tolist()
+    with pytest.raises(ValueError):
+        pieces.decode_lists(model, pa.array([[mark, *most], [mark, last]], pa.list_(pa.int32())))
+
+
+@pytest.mark.parametrize("rate", [2.0**-53, 1e-9, 0.1, 1 / 3, 0.5, 1 - 2.0**-53, 1.0])
+def test_skips_are_those_of_the_53_upper_bits(rate):
+    key = pieces.mix(np.arange(20_000, dtype=np.uint64))
+    place = np.arange(20_000) % 29
+    span = place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (place + 1).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    drawn = pieces.mix(key + span + (place + 2).astype(np.uint64) * np.uint64(0x165667B19E3779F9))
+    expected = (drawn >> np.uint64(11)).astype(np.float64) < rate * 2.0**53
+    np.testing.assert_array_equal(pieces._skipped(key, place, place + 1, place + 2, rate), expected)
